@@ -103,6 +103,7 @@ def supplier_line(ptype: Column, qty: Column, ppu: Column, disc_pct: Column,
     vat_calc = F.coalesce(round2(net_unsigned * pct_factor(vat_rate)), F.lit(0))
     vat_unsigned = F.when(overridden_tax.isNotNull(), overridden_tax).otherwise(vat_calc)
     return {
+        "pct_discount": pct_disc,
         "total_excluding_vat": _by_purchase_type(ptype, gross),
         "discount_total": _by_purchase_type(ptype, pct_disc) + fixed,
         "net": _by_purchase_type(ptype, gross - pct_disc) - fixed,

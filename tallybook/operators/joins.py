@@ -75,3 +75,24 @@ def attach_group_total(df: DataFrame, key: str, value: Column | str, name: str,
     src = df if where is None else df.where(where)
     totals = src.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum(v).alias(name))
     return df.join(totals, key, "left")
+
+
+def attach_newest(df: DataFrame, keys: Sequence[str], value: str, order_by: Sequence[str],
+                  name: str) -> DataFrame:
+    """Each row plus ``value`` taken from the newest row of its ``keys`` group:
+    ``FIRST_VALUE(value) OVER (PARTITION BY keys ORDER BY order_by DESC)``,
+    ties broken by the later ``order_by`` columns, also descending.
+
+    Written as ``max_by`` over a struct of the ordering columns — an aggregate
+    that is combined partially before the shuffle — and a null-safe join back,
+    so a hot group never has to sit sorted in one task as a window would.
+    """
+    renamed = {k: f"__g_{k}" for k in keys}
+    newest = (df.groupBy(*keys)
+              .agg(F.max_by(F.col(value), F.struct(*[F.col(c) for c in order_by])).alias(name))
+              .select(*[F.col(k).alias(renamed[k]) for k in keys], name))
+    cond = None
+    for k in keys:
+        c = df[k].eqNullSafe(newest[renamed[k]])
+        cond = c if cond is None else cond & c
+    return df.join(newest, cond, "left").drop(*renamed.values())

@@ -34,7 +34,8 @@ def receivable_balances(m: InvoiceModel) -> DataFrame:
       customer has no such row at all (the source builds it as a separate
       grouped table and left-joins it);
     ppm_balance: balance - ex_ppm_balance (NULL when ex_ppm_balance is NULL,
-      so a customer with only PPM invoices shows 0 in the report).
+      so a customer with only PPM invoices shows 0 in the report; NULL for
+      the group of invoices without a customer, whose key matches nothing).
     """
     not_ppm = F.col("type_of_invoice") != "P"
     g = (receivable_rows(m).groupBy("customer_auto_id")
@@ -42,8 +43,8 @@ def receivable_balances(m: InvoiceModel) -> DataFrame:
               F.coalesce(F.sum(F.when(not_ppm, F.col("outstanding"))), F.lit(0)).alias("_ex"),
               F.count(F.when(not_ppm, F.lit(1))).alias("_n_ex")))
     ex = F.when(F.col("_n_ex") > 0, F.col("_ex"))
-    return g.select("customer_auto_id", "balance", ex.alias("ex_ppm_balance"),
-                    (F.col("balance") - ex).alias("ppm_balance"))
+    ppm = F.when(F.col("customer_auto_id").isNotNull(), F.col("balance") - ex)
+    return g.select("customer_auto_id", "balance", ex.alias("ex_ppm_balance"), ppm.alias("ppm_balance"))
 
 
 def customer_tags(m: InvoiceModel) -> DataFrame:

@@ -30,7 +30,7 @@ def non_draft_headers(m: InvoiceModel) -> DataFrame:
             .select("unique_id", "credit_note", "id", "credited_invoice_guid"))
 
 
-def _lines_by_source(m: InvoiceModel) -> DataFrame:
+def tagged_lines(m: InvoiceModel) -> DataFrame:
     """The three line tables in one shape, tagged by source ('S', 'P', 'C'),
     each with its VAT rate looked up."""
     cols = ["invoice_guid", "qty", "price", "discount_amount", "discount_percentage", "tax_code_id"]
@@ -62,7 +62,7 @@ def _eligible_invoices(m: InvoiceModel) -> DataFrame:
 
 def settlement_lines(m: InvoiceModel) -> DataFrame:
     """B2: every settled line with its VAT rate and its header's credit flag."""
-    return (_lines_by_source(m).join(_eligible_invoices(m), ["source", "invoice_guid"])
+    return (tagged_lines(m).join(_eligible_invoices(m), ["source", "invoice_guid"])
             .select("invoice_guid", "qty", "price", "discount_amount", "discount_percentage",
                     "vat_rate", "credit"))
 
@@ -92,7 +92,7 @@ def invoice_gross(m: InvoiceModel) -> DataFrame:
     Columns: unique_id, invoice_number, credited_invoice_guid,
     total_including_vat, credit_note.
     """
-    per_source = (_rule1(_lines_by_source(m))
+    per_source = (_rule1(tagged_lines(m))
                   .groupBy("source", "invoice_guid")
                   .agg(sum_coalesced(F.col("line_value") + F.col("vat_value")).alias("gross")))
     per_invoice = (per_source.join(_eligible_invoices(m), ["source", "invoice_guid"])
