@@ -15,7 +15,7 @@ that have no header or no job).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions.money import (AMOUNT, MONEY, money, money_ratio, round2,
@@ -47,50 +47,48 @@ def invoice_context(m: InvoiceModel, how: str) -> DataFrame:
     ``line_key`` is the sub-type header's own id, used to find its lines;
     ``invoice_guid`` is the base header's id (NULL without a header when
     ``how='left'``).
+
+    The three sub-type headers are brought to one shape first (each with its
+    own job or contract lookup), so the base header, customer and site are
+    each joined once for all of them.
     """
     how = _check_how(how)
+    job = m.job.select(F.col("auto_id").alias("j_auto"), F.col("id").alias("j_id"),
+                       F.col("customer_auto_id").alias("j_cust"), F.col("site_auto_id").alias("j_site"),
+                       F.col("description").alias("j_desc"))
+    s = (m.invoice.join(job, F.col("job_auto_id") == F.col("j_auto"), how)
+         .select(F.lit(0).alias("invoice_type"), F.lit("S").alias("type_of_invoice"),
+                 F.col("unique_id").alias("line_key"), F.col("j_cust").alias("cust_key"),
+                 F.col("j_site").alias("site_key"), F.col("j_id").alias("job_id"),
+                 _null_like(m.ppm_contract, "unique_id", "ppm_contract_id"), F.col("j_auto").alias("job_auto_id"),
+                 F.col("j_desc").alias("description"), "user_id"))
+    pc = m.ppm_contract.select(F.col("unique_id").alias("p_uid"), F.col("description").alias("p_desc"),
+                               F.col("customer_auto_id").alias("p_cust"), F.col("site_auto_id").alias("p_site"))
+    p = (m.ppm_invoices.join(pc, F.col("ppm_contract_id") == F.col("p_uid"), "left")
+         .select(F.lit(1).alias("invoice_type"), F.lit("P").alias("type_of_invoice"),
+                 F.col("unique_id").alias("line_key"), F.col("p_cust").alias("cust_key"),
+                 F.col("p_site").alias("site_key"), _null_like(m.job, "id", "job_id"),
+                 F.col("p_uid").alias("ppm_contract_id"), _null_like(m.job, "auto_id", "job_auto_id"),
+                 F.col("p_desc").alias("description"), _null_like(m.invoice, "user_id", "user_id")))
+    c = m.cg_invoice.select(
+        F.lit(2).alias("invoice_type"), F.lit("C").alias("type_of_invoice"), F.col("unique_id").alias("line_key"),
+        F.col("customer_auto_id").alias("cust_key"), _null_like(m.job, "site_auto_id", "site_key"),
+        _null_like(m.job, "id", "job_id"), _null_like(m.ppm_contract, "unique_id", "ppm_contract_id"),
+        _null_like(m.job, "auto_id", "job_auto_id"), _null_like(m.job, "description", "description"),
+        _null_like(m.invoice, "user_id", "user_id"))
+    heads = s.unionByName(p).unionByName(c)
+
     bi = m.base_invoice.select(F.col("unique_id").alias("bi_guid"), F.col("credit_note").alias("credit"))
     cust = m.customer.select(F.col("auto_last_id").alias("c_auto"), F.col("id").alias("customer_id"),
                              F.col("name").alias("customer_name"))
     site = m.contract.select(F.col("auto_id").alias("s_auto"), F.col("id").alias("site_id"), "site")
-
-    s = (m.invoice.join(bi, F.col("unique_id") == F.col("bi_guid"), how)
-         .join(m.job.select(F.col("auto_id").alias("j_auto"), F.col("id").alias("j_id"),
-                            F.col("customer_auto_id").alias("j_cust"), F.col("site_auto_id").alias("j_site"),
-                            F.col("description").alias("j_desc")),
-               F.col("job_auto_id") == F.col("j_auto"), how)
-         .join(cust, F.col("j_cust") == F.col("c_auto"), "left")
-         .join(site, F.col("j_site") == F.col("s_auto"), "left")
-         .select(F.lit(0).alias("invoice_type"), F.col("c_auto").alias("customer_auto_id"), "customer_id",
-                 "customer_name", F.col("s_auto").alias("site_auto_id"), "site_id", "site",
-                 F.col("j_id").alias("job_id"), _null_like(m.ppm_contract, "unique_id", "ppm_contract_id"),
-                 F.col("j_auto").alias("job_auto_id"), F.col("j_desc").alias("description"),
-                 "user_id", F.lit("S").alias("type_of_invoice"),
-                 F.col("bi_guid").alias("invoice_guid"), "credit", F.col("unique_id").alias("line_key")))
-
-    pc = m.ppm_contract.select(F.col("unique_id").alias("p_uid"), F.col("description").alias("p_desc"),
-                               F.col("customer_auto_id").alias("p_cust"), F.col("site_auto_id").alias("p_site"))
-    p = (m.ppm_invoices.join(bi, F.col("unique_id") == F.col("bi_guid"), how)
-         .join(pc, F.col("ppm_contract_id") == F.col("p_uid"), "left")
-         .join(cust, F.col("p_cust") == F.col("c_auto"), "left")
-         .join(site, F.col("p_site") == F.col("s_auto"), "left")
-         .select(F.lit(1).alias("invoice_type"), F.col("c_auto").alias("customer_auto_id"), "customer_id",
-                 "customer_name", F.col("s_auto").alias("site_auto_id"), "site_id", "site",
-                 _null_like(m.job, "id", "job_id"), F.col("p_uid").alias("ppm_contract_id"),
-                 _null_like(m.job, "auto_id", "job_auto_id"), F.col("p_desc").alias("description"),
-                 _null_like(m.invoice, "user_id", "user_id"), F.lit("P").alias("type_of_invoice"),
-                 F.col("bi_guid").alias("invoice_guid"), "credit", F.col("unique_id").alias("line_key")))
-
-    c = (m.cg_invoice.join(bi, F.col("unique_id") == F.col("bi_guid"), how)
-         .join(cust, F.col("customer_auto_id") == F.col("c_auto"), "left")
-         .select(F.lit(2).alias("invoice_type"), F.col("c_auto").alias("customer_auto_id"), "customer_id",
-                 "customer_name", _null_like(m.contract, "auto_id", "site_auto_id"),
-                 _null_like(m.contract, "id", "site_id"), _null_like(m.contract, "site", "site"),
-                 _null_like(m.job, "id", "job_id"), _null_like(m.ppm_contract, "unique_id", "ppm_contract_id"),
-                 _null_like(m.job, "auto_id", "job_auto_id"), _null_like(m.job, "description", "description"),
-                 _null_like(m.invoice, "user_id", "user_id"), F.lit("C").alias("type_of_invoice"),
-                 F.col("bi_guid").alias("invoice_guid"), "credit", F.col("unique_id").alias("line_key")))
-    return s.unionByName(p).unionByName(c)
+    df = (heads.join(bi, F.col("line_key") == F.col("bi_guid"), how)
+          .join(cust, F.col("cust_key") == F.col("c_auto"), "left")
+          .join(site, F.col("site_key") == F.col("s_auto"), "left"))
+    return df.select("invoice_type", F.col("c_auto").alias("customer_auto_id"), "customer_id", "customer_name",
+                     F.col("s_auto").alias("site_auto_id"), "site_id", "site", "job_id", "ppm_contract_id",
+                     "job_auto_id", "description", "user_id", "type_of_invoice",
+                     F.col("bi_guid").alias("invoice_guid"), "credit", "line_key")
 
 
 def ledger_line_sources(m: InvoiceModel) -> DataFrame:
@@ -149,38 +147,118 @@ def with_global_discount(m: InvoiceModel, how: str) -> DataFrame:
     return df.select("*", amt.alias("global_line_value"))
 
 
-def _is_global(credit_value: bool) -> Column:
-    return (F.col("discount_line") == 2) & (F.col("credit") == F.lit(credit_value))
-
-
 def _rounded(c: Column) -> Column:
     return money(round2(c))
 
 
+def _sum_join(a: Column, b: Column) -> Column:
+    """Combine two partial SUMs: NULL only when both are NULL (no value seen)."""
+    return F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(
+        F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
+
+
+def line_partials(m: InvoiceModel) -> DataFrame:
+    """Per (type_of_invoice, line_key): partial sums of every line amount the
+    invoice grouping needs.
+
+    Computed from the line tables alone (plus the VAT-rate lookup), so the
+    sums are combined map-side before any shuffle and the line table itself
+    is never shuffled. Amounts are unsigned: a credit note's sign is one
+    value per invoice and is applied afterwards, since rounding half away
+    from zero is symmetric (``sum(round(-x)) = -sum(round(x))``).
+
+    ``x_*`` sum the lines that are not invoice-wide percentage lines, ``y_*``
+    the ones that are (used only when the credit flag is NULL: the source then
+    falls through to the plain line value). ``pct_counts`` lists, per distinct
+    entered percentage, how many invoice-wide percentage lines carry it — the
+    rounded amount of such a line depends only on (invoice net, percentage),
+    and the list is bounded by the number of distinct percentages.
+    """
+    tax = m.tax_codes.select(F.col("unique_id").alias("tc_uid"), F.col("value").alias("vat_rate"))
+    df = ledger_line_sources(m).join(tax, F.col("tax_code_id") == F.col("tc_uid"), "left")
+    kind = F.when(F.col("type_of_invoice") == "S",
+                  discount_kind(F.col("price"), F.col("discount_amount"), F.col("discount_percentage")))
+    qtp = qty_times_price(F.col("qty"), F.col("price"))
+    df = df.select("type_of_invoice", "line_key", "discount_percentage", "vat_rate", kind.alias("kind"),
+                   qtp.alias("qtp"),
+                   ledger_net(qtp, F.col("discount_amount"), F.col("discount_percentage")).alias("lv"))
+    df = df.select("*", (F.col("qtp") - F.col("lv")).alias("dv"),
+                   ledger_vat(F.col("lv"), F.col("vat_rate")).alias("vat"))
+    is2 = F.coalesce(F.col("kind") == 2, F.lit(False))
+    lv, dv, vat = F.col("lv"), F.col("dv"), F.col("vat")
+    keys = ["type_of_invoice", "line_key"]
+    by_pct = (df.groupBy(*keys, F.when(is2, F.col("discount_percentage")).alias("pct2"))
+              .agg(F.count(F.lit(1)).alias("n"),
+                   F.sum(lv).alias("p_net"),
+                   F.sum(F.when(~is2, _rounded(lv))).alias("x_lv"),
+                   F.sum(F.when(~is2, _rounded(dv))).alias("x_dv"),
+                   F.sum(F.when(~is2, _rounded(lv + vat))).alias("x_inc"),
+                   F.sum(F.when(is2, _rounded(lv))).alias("y_lv"),
+                   F.sum(F.when(is2, _rounded(dv))).alias("y_dv"),
+                   F.sum(F.when(is2, _rounded(lv + vat))).alias("y_inc"),
+                   F.sum(_rounded(F.col("qtp"))).alias("vnd"),
+                   F.sum(_rounded(vat)).alias("vat"),
+                   F.sum(F.when(F.col("kind") == 1, dv)).alias("g1")))
+    sums = ["p_net", "x_lv", "x_dv", "x_inc", "y_lv", "y_dv", "y_inc", "vnd", "vat", "g1"]
+    pair = F.struct(F.col("pct2").alias("pct"), F.col("n").cast("decimal(18,0)").alias("n"))
+    return (by_pct.groupBy(*keys)
+            .agg(F.sum("n").alias("n_lines"), *[F.sum(c).alias(c) for c in sums],
+                 F.collect_list(F.when(F.col("pct2").isNotNull(), pair)).alias("pct_counts")))
+
+
 def invoice_grouping(m: InvoiceModel, how: str) -> DataFrame:
     """Per invoice, sums of per-line amounts rounded to 2 dp.
 
     Invoice-wide percentage lines reduce the net and the gross and add to the
-    discount (signs swap on a credit note); they do not reduce VAT.
+    discount (signs swap on a credit note); they do not reduce VAT. Their
+    amount is the invoice's summed net (over every line of every context row
+    with that invoice id) times the entered percentage.
+
+    Plan: per-invoice partial sums (:func:`line_partials`) joined to the
+    per-invoice context; the invoice net is a window sum over the (at most a
+    few) context rows of one invoice id; the result is grouped on the 14
+    context keys as the source does, so identical context rows merge.
     """
-    df = with_global_discount(m, how)
-    lv, dv, vat, gl = (F.col("line_value"), F.col("discount_value"), F.col("vat_value"),
-                       F.col("global_line_value"))
+    keys = ["type_of_invoice", "line_key"]
+    df = invoice_context(m, how).join(line_partials(m), keys, "left")
+    guid = F.col("invoice_guid")
+    # rows without an invoice id never meet an invoice total; they are spread
+    # over the window's partitions by their own key instead of piling up
+    w = Window.partitionBy(guid, F.when(guid.isNull(), F.struct(*keys)))
+    net = F.when(guid.isNotNull(), F.sum("p_net").over(w)).cast(AMOUNT)
+    df = df.select("*", net.alias("invoice_net"))
+
+    has_pct = guid.isNotNull() & (F.size("pct_counts") > 0)
+    z_acc = F.aggregate("pct_counts", F.lit(0).cast("decimal(38,4)"),
+                        lambda acc, p: (acc + p["n"] * _rounded(
+                            invoice_wide_discount(F.col("invoice_net"), p["pct"]))).cast("decimal(38,4)"))
+    g2_acc = F.aggregate("pct_counts", F.lit(0).cast("decimal(38,6)"),
+                         lambda acc, p: (acc + p["n"] * invoice_wide_discount(F.col("invoice_net"), p["pct"]))
+                         .cast("decimal(38,6)"))
+    df = df.select("*", F.when(has_pct, z_acc).alias("z"), F.when(has_pct, g2_acc).alias("g2"))
+
     cr = F.col("credit")
-    excl = (F.when(_is_global(False), -gl).when(_is_global(True), gl)
-            .otherwise(signed_by_credit(cr, lv)))
-    disc = (F.when(_is_global(False), gl).when(_is_global(True), -gl)
-            .otherwise(signed_by_credit(cr, dv)))
-    incl = (F.when(_is_global(False), -gl).when(_is_global(True), gl)
-            .otherwise(signed_by_credit(cr, lv + vat)))
-    gdisc = F.when(F.col("discount_line") == 2, gl).when(F.col("discount_line") == 1, dv)
+    c_false, c_true = cr == F.lit(False), cr == F.lit(True)
+    x_lv, x_dv, x_inc = F.col("x_lv"), F.col("x_dv"), F.col("x_inc")
+    z = F.col("z")
+    excl = (F.when(c_false, _sum_join(x_lv, -z)).when(c_true, _sum_join(-x_lv, z))
+            .otherwise(_sum_join(x_lv, F.col("y_lv"))))
+    disc = (F.when(c_false, _sum_join(x_dv, z)).when(c_true, _sum_join(-x_dv, -z))
+            .otherwise(_sum_join(x_dv, F.col("y_dv"))))
+    incl = (F.when(c_false, _sum_join(x_inc, -z)).when(c_true, _sum_join(-x_inc, z))
+            .otherwise(_sum_join(x_inc, F.col("y_inc"))))
+    # an invoice without lines still has one row whose amounts are all 0
+    no_lines = F.col("n_lines").isNull()
+
+    def filled(c: Column) -> Column:
+        return F.when(no_lines, F.lit(0)).otherwise(c)
     return (df.groupBy(*GROUP_KEYS)
-            .agg(F.sum(_rounded(excl)).alias("excluding_vat"),
-                 F.sum(_rounded(signed_by_credit(cr, F.col("qtimesp")))).alias("value_no_discount"),
-                 F.sum(_rounded(disc)).alias("discount_value"),
-                 F.sum(_rounded(signed_by_credit(cr, vat))).alias("vat_amount"),
-                 F.sum(_rounded(incl)).alias("including_vat"),
-                 F.sum(gdisc).alias("global_discount")))
+            .agg(F.sum(filled(excl)).alias("excluding_vat"),
+                 F.sum(filled(signed_by_credit(cr, F.col("vnd")))).alias("value_no_discount"),
+                 F.sum(filled(disc)).alias("discount_value"),
+                 F.sum(filled(signed_by_credit(cr, F.col("vat")))).alias("vat_amount"),
+                 F.sum(filled(incl)).alias("including_vat"),
+                 F.sum(_sum_join(F.col("g1"), F.col("g2"))).alias("global_discount")))
 
 
 HEADER_COLS = ["auto_id", "unique_id", "id", "passed_to_accounts", "date", "order_no", "account_number",

@@ -138,18 +138,46 @@ def invoice_credit_combine(m: InvoiceModel, gross: DataFrame | None = None) -> D
     return a.unionByName(b)
 
 
+def invoice_with_credits(m: InvoiceModel) -> DataFrame:
+    """Per non-draft, non-credit invoice: its own gross and the total of the
+    credit notes raised against it (B8 summed over its two rows).
+
+    One aggregation over the per-invoice gross: a credit note is keyed by the
+    invoice it credits, any other invoice by its own id, so each invoice meets
+    its credits without a second pass over the gross. Credits pointing at an
+    invoice that is a draft, a credit note or missing find no own row and are
+    dropped, as the source's header-driven left join drops them.
+    """
+    g = invoice_gross(m)
+    is_credit = F.col("credit_note") == F.lit(True)
+    is_own = F.col("credit_note") == F.lit(False)
+    key = F.when(is_credit, F.col("credited_invoice_guid")).when(is_own, F.col("unique_id"))
+    return (g.where(key.isNotNull())
+            .groupBy(key.alias("invoice_guid"))
+            .agg(F.max(F.when(is_own, F.col("invoice_number"))).alias("invoice_number"),
+                 F.count(F.when(is_own, F.lit(1))).alias("_own_rows"),
+                 F.sum(F.when(is_own, F.col("total_including_vat"))).alias("invoice_total"),
+                 F.coalesce(F.sum(F.when(is_credit, F.col("total_including_vat"))), F.lit(0)).alias("total_credit"))
+            .where(F.col("_own_rows") > 0)
+            .select("invoice_number", "invoice_guid", "invoice_total",
+                    (F.col("invoice_total") + F.col("total_credit")).alias("invoice_total_inc_credits")))
+
+
 def payment_status(m: InvoiceModel) -> DataFrame:
     """Per invoice (and payment row): totals, paid and status.
 
     Status is tested in order: due <= paid -> 'Paid' (so a zero-value invoice
-    is Paid), paid <= 0 -> 'Unpaid', due > paid -> 'Partially Paid'.
+    is Paid), paid <= 0 -> 'Unpaid', due > paid -> 'Partially Paid'. An
+    invoice paid from two sources has one row per distinct paid amount.
     """
-    comb = invoice_credit_combine(m)
+    inv = invoice_with_credits(m)
     pay = payments_by_source(m).withColumnRenamed("invoice_guid", "pay_guid")
-    g = (comb.join(pay, comb["invoice_guid"] == pay["pay_guid"], "left")
+    # grouped on the paid amount as the source does: two payment rows of the
+    # same amount merge into one row that counts the invoice twice
+    g = (inv.join(pay, inv["invoice_guid"] == pay["pay_guid"], "left")
          .groupBy("invoice_number", "amount", "invoice_guid")
-         .agg(F.sum("total_including_vat").alias("invoice_total"),
-              F.sum(F.col("total_including_vat") + F.col("total_credit")).alias("invoice_total_inc_credits")))
+         .agg(F.sum("invoice_total").alias("invoice_total"),
+              F.sum("invoice_total_inc_credits").alias("invoice_total_inc_credits")))
     paid = F.coalesce(F.col("amount"), F.lit(0))
     due = F.col("invoice_total_inc_credits")
     status = (F.when(due <= paid, "Paid").when(paid <= 0, "Unpaid").when(due > paid, "Partially Paid"))

@@ -141,3 +141,17 @@ def from_parquet(spark: SparkSession, root: str) -> InvoiceModel:
     tables = {name: spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet").select(*cols)
               for name, cols in SCHEMA.items()}
     return InvoiceModel(**tables).check()
+
+
+def write_model(m: InvoiceModel, root: str, files_per_table: int | None = None) -> None:
+    """Write every table of ``m`` to ``<root>/<table>.parquet``.
+
+    ``root`` must be shared storage on a cluster (e.g. under the folder named
+    by ``spark.checkpoint.dir``). Each table is spread over
+    ``files_per_table`` files (default: the cluster's default parallelism) so
+    a later scan is split across tasks even when the source was one file.
+    """
+    for f in fields(m):
+        df = getattr(m, f.name)
+        n = files_per_table or df.sparkSession.sparkContext.defaultParallelism
+        df.repartition(n).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{f.name}.parquet")
