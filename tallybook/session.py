@@ -19,6 +19,9 @@ _CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # generated methods above the JVM's JIT limit would run interpreted; let
+    # Spark fall back to its compiled expression path for them instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
