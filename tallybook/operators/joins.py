@@ -20,7 +20,8 @@ def null_columns(df: DataFrame, like: DataFrame, skip: Sequence[str] = ()) -> Da
                             for f in like.schema.fields if f.name not in skip])
 
 
-def left_join_many(one: DataFrame, many: DataFrame, on: str | Sequence[str]) -> DataFrame:
+def left_join_many(one: DataFrame, many: DataFrame, on: str | Sequence[str],
+                   present: DataFrame | None = None) -> DataFrame:
     """``one LEFT JOIN many USING (on)`` for a ``many`` side that may hold a hot key.
 
     A left outer join can only have its preserved (left) side split when a key
@@ -29,10 +30,13 @@ def left_join_many(one: DataFrame, many: DataFrame, on: str | Sequence[str]) ->
     either side, plus the ``one`` rows without a partner, found by an anti join
     against the *distinct* keys of ``many`` (partially aggregated before the
     shuffle, so a hot key shrinks to one row per task).
+
+    ``present`` may give those keys from a cheaper source (e.g. the raw table
+    an expensive ``many`` is derived from row for row).
     """
     keys = [on] if isinstance(on, str) else list(on)
     matched = one.join(many, keys, "inner")
-    present = many.select(*keys).dropna(how="any").distinct()
+    present = (many if present is None else present).select(*keys).dropna(how="any").distinct()
     unmatched = null_columns(one.join(present, keys, "left_anti"), many, skip=keys)
     return matched.unionByName(unmatched)
 

@@ -22,7 +22,7 @@ from tallybook.functions.money import (AMOUNT, MONEY, money, money_ratio, round2
                                        signed_by_credit)
 from tallybook.functions.valuation import (discount_kind, invoice_wide_discount, ledger_net,
                                            ledger_vat, qty_times_price)
-from tallybook.operators.joins import attach_group_total, left_join_many
+from tallybook.operators.joins import left_join_many
 from tallybook.sources.model import InvoiceModel
 
 GROUP_KEYS = ["type_of_invoice", "customer_auto_id", "customer_id", "customer_name", "site_id",
@@ -138,10 +138,21 @@ def ledger_values(m: InvoiceModel, how: str) -> DataFrame:
                      ledger_vat(F.col("line_value"), F.col("vat_rate")).alias("vat_value"))
 
 
+def invoice_nets(m: InvoiceModel, how: str) -> DataFrame:
+    """Summed line net per base invoice id over all its context rows (the
+    total an invoice-wide percentage applies to). Built from the per-invoice
+    partial sums, so it costs a narrow pre-aggregated scan of the lines, not a
+    second pass over the enriched line rows."""
+    keys = ["type_of_invoice", "line_key"]
+    return (invoice_context(m, how).where(F.col("invoice_guid").isNotNull())
+            .join(line_partials(m).select(*keys, "p_net"), keys, "left")
+            .groupBy("invoice_guid").agg(F.sum("p_net").alias("invoice_net")))
+
+
 def with_global_discount(m: InvoiceModel, how: str) -> DataFrame:
     """Amount of each invoice-wide percentage line (kind 2): the invoice's
     summed net times the percentage entered on the line. Other lines: NULL."""
-    df = attach_group_total(ledger_values(m, how), "invoice_guid", "line_value", "invoice_net")
+    df = ledger_values(m, how).join(invoice_nets(m, how), "invoice_guid", "left")
     amt = F.when(F.col("discount_line") == 2,
                  invoice_wide_discount(F.col("invoice_net"), F.col("discount_percentage")))
     return df.select("*", amt.alias("global_line_value"))

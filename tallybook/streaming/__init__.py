@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reports reproduced here are batch queries over table snapshots: the
+source workload has no stream, watermark, window-over-time or stateful
+operator, so nothing in it calls for Structured Streaming. The package exists
+so the layout stays uniform; it holds no code rather than an operator the
+workload does not have.
+"""
