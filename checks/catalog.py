@@ -27,9 +27,11 @@ from tallybook.plans import customers, ledger, purchase, sales, settlement
 from tallybook.sources.lift import lift
 from tallybook.sources.model import InvoiceModel
 
-ALL_CTES = (LIFT_CTES + SETTLEMENT_CTES + ledger_ctes("ac") + ledger_ctes("se") + CUSTOMER_CTES
-            + PURCHASE_CTES + SALES_CTES)
-_WITH = "with " + ",\n".join(f"{name} as ({body})" for name, body in ALL_CTES)
+CHAIN_CTES = (SETTLEMENT_CTES + ledger_ctes("ac") + ledger_ctes("se") + CUSTOMER_CTES + PURCHASE_CTES
+              + SALES_CTES)
+_WITH = "with " + ",\n".join(f"{name} as ({body})" for name, body in LIFT_CTES + CHAIN_CTES)
+# the chains alone, for model tables registered directly as t_<table> (tests)
+CHAIN_WITH = "with " + ",\n".join(f"{name} as ({body})" for name, body in CHAIN_CTES)
 
 
 def decimals_to_double(df: DataFrame) -> DataFrame:
@@ -39,6 +41,7 @@ def decimals_to_double(df: DataFrame) -> DataFrame:
 
 SPARK: dict[str, Callable[[InvoiceModel], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+ORACLE_BODY: dict[str, str] = {}
 
 
 def query(key: str, sql: str, dbl: tuple[str, ...] = ()):
@@ -50,6 +53,7 @@ def query(key: str, sql: str, dbl: tuple[str, ...] = ()):
         if dbl:
             rep = ", ".join(f'cast("{c}" as double) as "{c}"' for c in dbl)
             body = f"select * replace ({rep}) from ({body}) q"
+        ORACLE_BODY[key] = body
         ORACLE[key] = f"{_WITH}\n{body}"
         return fn
     return deco
