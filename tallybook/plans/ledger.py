@@ -15,8 +15,11 @@ that have no header or no job).
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from tallybook.functions.money import (AMOUNT, MONEY, money, money_ratio, round2,
                                        signed_by_credit)
@@ -162,6 +165,24 @@ def _rounded(c: Column) -> Column:
     return money(round2(c))
 
 
+def _cents(c: Column) -> Column:
+    """An amount rounded to 2 dp as an integer number of cents."""
+    return (round2(c) * F.lit(100)).cast("bigint")
+
+
+def _from_cents(c: Column) -> Column:
+    return (c.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(DecimalType(22, 2))
+
+
+def _units4(c: Column) -> Column:
+    """An amount with 4 decimals as an integer number of 1/10000."""
+    return (c * F.lit(10000)).cast("bigint")
+
+
+def _from_units4(c: Column) -> Column:
+    return (c.cast("decimal(20,0)") * F.lit(Decimal("0.0001"))).cast(DecimalType(24, 4))
+
+
 def _sum_join(a: Column, b: Column) -> Column:
     """Combine two partial SUMs: NULL only when both are NULL (no value seen)."""
     return F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(
@@ -198,23 +219,27 @@ def line_partials(m: InvoiceModel) -> DataFrame:
     is2 = F.coalesce(F.col("kind") == 2, F.lit(False))
     lv, dv, vat = F.col("lv"), F.col("dv"), F.col("vat")
     keys = ["type_of_invoice", "line_key"]
+    # rounded amounts are exact multiples of 0.01, so they are summed as
+    # integer cents (long arithmetic; an overflow raises under ANSI mode)
     by_pct = (df.groupBy(*keys, F.when(is2, F.col("discount_percentage")).alias("pct2"))
               .agg(F.count(F.lit(1)).alias("n"),
-                   F.sum(lv).alias("p_net"),
-                   F.sum(F.when(~is2, _rounded(lv))).alias("x_lv"),
-                   F.sum(F.when(~is2, _rounded(dv))).alias("x_dv"),
-                   F.sum(F.when(~is2, _rounded(lv + vat))).alias("x_inc"),
-                   F.sum(F.when(is2, _rounded(lv))).alias("y_lv"),
-                   F.sum(F.when(is2, _rounded(dv))).alias("y_dv"),
-                   F.sum(F.when(is2, _rounded(lv + vat))).alias("y_inc"),
-                   F.sum(_rounded(F.col("qtp"))).alias("vnd"),
-                   F.sum(_rounded(vat)).alias("vat"),
-                   F.sum(F.when(F.col("kind") == 1, dv)).alias("g1")))
-    sums = ["p_net", "x_lv", "x_dv", "x_inc", "y_lv", "y_dv", "y_inc", "vnd", "vat", "g1"]
+                   F.sum(_cents(lv)).alias("p_net"),
+                   F.sum(F.when(~is2, _cents(lv))).alias("x_lv"),
+                   F.sum(F.when(~is2, _cents(dv))).alias("x_dv"),
+                   F.sum(F.when(~is2, _cents(lv + vat))).alias("x_inc"),
+                   F.sum(F.when(is2, _cents(lv))).alias("y_lv"),
+                   F.sum(F.when(is2, _cents(dv))).alias("y_dv"),
+                   F.sum(F.when(is2, _cents(lv + vat))).alias("y_inc"),
+                   F.sum(_cents(F.col("qtp"))).alias("vnd"),
+                   F.sum(_cents(vat)).alias("vat"),
+                   F.sum(F.when(F.col("kind") == 1, _units4(dv))).alias("g1")))
+    cents = ["p_net", "x_lv", "x_dv", "x_inc", "y_lv", "y_dv", "y_inc", "vnd", "vat"]
     pair = F.struct(F.col("pct2").alias("pct"), F.col("n").cast("decimal(18,0)").alias("n"))
-    return (by_pct.groupBy(*keys)
-            .agg(F.sum("n").alias("n_lines"), *[F.sum(c).alias(c) for c in sums],
-                 F.collect_list(F.when(F.col("pct2").isNotNull(), pair)).alias("pct_counts")))
+    agg = (by_pct.groupBy(*keys)
+           .agg(F.sum("n").alias("n_lines"), *[F.sum(c).alias(c) for c in cents + ["g1"]],
+                F.collect_list(F.when(F.col("pct2").isNotNull(), pair)).alias("pct_counts")))
+    return agg.select(*keys, "n_lines", "pct_counts", *[_from_cents(F.col(c)).alias(c) for c in cents],
+                      _from_units4(F.col("g1")).alias("g1"))
 
 
 def invoice_grouping(m: InvoiceModel, how: str) -> DataFrame:

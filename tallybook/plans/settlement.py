@@ -15,10 +15,12 @@ credit flag, which is one value per invoice, so ``sum(-x) = -sum(x)`` applies.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions.money import signed_by_credit
+from tallybook.functions.money import round2, signed_by_credit
 from tallybook.functions.valuation import settlement_net, settlement_vat
 from tallybook.operators.aggregates import sum_coalesced
 from tallybook.sources.model import InvoiceModel
@@ -92,9 +94,15 @@ def invoice_gross(m: InvoiceModel) -> DataFrame:
     Columns: unique_id, invoice_number, credited_invoice_guid,
     total_including_vat, credit_note.
     """
+    # both parts of a line's gross are rounded to 2 dp, so the partial sums
+    # run on integer cents (long arithmetic; an overflow raises under ANSI)
+    cents = (round2(F.col("line_value") + F.col("vat_value")) * F.lit(100)).cast("bigint")
     per_source = (_rule1(tagged_lines(m))
                   .groupBy("source", "invoice_guid")
-                  .agg(sum_coalesced(F.col("line_value") + F.col("vat_value")).alias("gross")))
+                  .agg(F.sum(F.coalesce(cents, F.lit(0))).alias("gross_cents"))
+                  .select("source", "invoice_guid",
+                          (F.col("gross_cents").cast("decimal(20,0)") * F.lit(Decimal("0.01")))
+                          .cast("decimal(22,2)").alias("gross")))
     per_invoice = (per_source.join(_eligible_invoices(m), ["source", "invoice_guid"])
                    .groupBy("invoice_guid", "credit")
                    .agg(F.sum("gross").alias("gross"))
