@@ -15,6 +15,10 @@ _CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # per-invoice stages carry heavy decimal expressions over little data; a
+    # lower floor keeps small shuffles spread over the cores (large shuffles
+    # are still cut at the advisory size)
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
