@@ -20,9 +20,10 @@ from checks.oracle_chains import (CUSTOMER_CTES, CUSTOMERS_SELECT, PURCHASE_CTES
 from checks.oracle_lift import LIFT_CTES
 from tallybook.functions.dates import localise, uk_date
 from tallybook.functions.money import money, round2
-from tallybook.functions.text import blank_fallback, labelled_percent, no_if_false, yes_if_true
+from tallybook.functions.text import blank_fallback, labelled_percent, no_if_false, text_to_int, yes_if_true
 from tallybook.functions.valuation import ledger_net, qty_times_price, supplier_line
-from tallybook.operators.joins import explode_id_list, left_join_either_key
+from tallybook.operators.aggregates import sum_coalesced
+from tallybook.operators.joins import attach_newest, explode_id_list, left_join_either_key
 from tallybook.plans import customers, ledger, purchase, sales, settlement
 from tallybook.sources.lift import lift
 from tallybook.sources.model import InvoiceModel
@@ -292,7 +293,6 @@ select t.auto_last_id, t.value, jct.description
 from o_tmp1 t left join t_jobctl jct
      on jct.auto_id = case when trim(t.value) = '' then 0 else try_cast(trim(t.value) as integer) end""")
 def _jn_csv_ids(m):
-    from tallybook.functions.text import text_to_int
     ids = explode_id_list(m.customer, "job_type_ids", ["auto_last_id"], "value")
     jct = m.jobctl.select(F.col("auto_id").alias("jct_id"), "description")
     return (ids.join(jct, text_to_int(F.col("value")) == F.col("jct_id"), "left")
@@ -336,7 +336,6 @@ def _ag_sum(m):
 @query("ag_sum_coalesce", "select invoice_guid, sum(coalesce(amount, 0)) as amount from t_invoice_payments "
                           "group by invoice_guid", ("amount",))
 def _ag_sum_coalesce(m):
-    from tallybook.operators.aggregates import sum_coalesced
     return m.invoice_payments.groupBy("invoice_guid").agg(sum_coalesced(F.col("amount")).alias("amount"))
 
 
@@ -523,7 +522,6 @@ from (select 'S' as type_of_invoice, invoice_guid as line_key, unique_id as line
       union all select 'P', invoice_id, unique_id, tax_code_id, created_at from t_ppm_lines
       union all select 'C', invoice_guid, unique_id, tax_code_id, created_at from t_cg_lines) s""")
 def _wn_first_value(m):
-    from tallybook.operators.joins import attach_newest
     src = ledger.ledger_line_sources(m).select("type_of_invoice", "line_key", "line_unique_id", "tax_code_id",
                                                "created_at")
     return attach_newest(src, ["type_of_invoice", "line_key"], "tax_code_id", ["created_at", "line_unique_id"],
