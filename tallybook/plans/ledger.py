@@ -357,5 +357,5 @@ def invoice_totals(m: InvoiceModel, how: str) -> DataFrame:
 
 
 __all__ = ["invoice_context", "ledger_line_sources", "line_context", "coded_lines", "ledger_values",
-           "with_global_discount", "invoice_grouping", "invoice_combined", "invoice_totals",
-           "total_discount_percent", "GROUP_KEYS", "AMOUNT"]
+           "invoice_nets", "with_global_discount", "line_partials", "invoice_grouping", "invoice_combined",
+           "invoice_totals", "total_discount_percent", "GROUP_KEYS"]
