@@ -1,7 +1,7 @@
 """Run the reports over a model folder and write the results.
 
-    spark-submit -m tallybook.cli --model ROOT --out DIR [--report all|customers|purchase|sales]
-                                  [--format parquet|csv]
+    spark-submit --py-files tallybook.zip tallybook/cli.py --model ROOT --out DIR
+                 [--report all|customers|purchase|sales] [--format parquet|csv]
     python -m tallybook.cli ...            (local runs)
 
 ROOT holds ``<table>.parquet`` for the tables of ``tallybook.sources.model``.
