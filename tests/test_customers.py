@@ -70,3 +70,12 @@ def test_report(mk):
     assert (c1["Filter in Back Office (Yes/No)"], c2["Filter in Back Office (Yes/No)"]) == ("Yes", "No")
     assert c1["Uplift/Discount %"] == "Uplift-2.50%" and c2["Uplift/Discount %"] is None
     assert c1["Default SOR Library"] == "Main" and c2["Default SOR Library"] is None
+
+
+def test_ppm_invoice_has_contract_but_no_job(mk):
+    # Q8: a PPM invoice carries its contract id; its job id is NULL (the
+    # contract number goes to a column the source drops)
+    from tallybook.plans import ledger
+    t = {r.unique_id: r for r in ledger.invoice_totals(_model(mk), "inner").collect()}
+    assert (t[20].type_of_invoice, t[20].ppm_contract_id, t[20].job_id, t[20].customer_id) == ("P", 1, None, "C1")
+    assert (t[21].type_of_invoice, t[21].job_id, t[21].ppm_contract_id) == ("S", "J300", None)

@@ -76,3 +76,20 @@ def test_invoice_totals_discount_percent_and_credit(mk):
     assert t[11].global_discount == 0                      # NULL global discount reads 0
     assert (t[11].credit_number, t[11].credit_id) == ("INV10", 10)
     assert t[10].invoice_value == D("85.50")
+
+
+def test_settlement_and_ledger_rules_differ(mk):
+    # Q2: one line of 0.50 x 0.05 = 0.025 with a 0 % discount at 50 % VAT.
+    # settlement: net round(0.025) = 0.03, VAT round(0.025 x 0.5 = 0.0125) = 0.01 -> 0.04
+    # ledger:     net 0.03, VAT from the rounded net 0.015 -> 0.02             -> 0.05
+    from tallybook.plans import settlement
+    m = mk(base_invoice=[dict(unique_id=1, auto_id=1, id="INV1", credit_note=False, is_draft=False,
+                              passed_to_accounts=False, date=T0)],
+           cg_invoice=[dict(unique_id=1)],
+           cg_lines=[dict(unique_id="x", invoice_guid=1, qty=D("0.5"), price=D("0.05"),
+                          discount_percentage=D(0), tax_code_id=5)],
+           tax_codes=[dict(unique_id=5, code="H", value=D(50))])
+    gross = settlement.invoice_gross(m).first().total_including_vat
+    grouped = ledger.invoice_grouping(m, "inner").first()
+    assert gross == D("0.04")
+    assert (grouped.excluding_vat, grouped.vat_amount, grouped.including_vat) == (D("0.03"), D("0.02"), D("0.05"))
