@@ -4,7 +4,12 @@ invoice model, so every report runs over tables that grow with the scale factor.
 This is test scaffolding, not part of the engine: it follows the view
 specification in FIXTURES.md §3 and fills the columns that specification
 leaves out with deterministic values (or typed NULLs). The same lift is
-written independently in DuckDB SQL for the oracle (``checks/oracle.py``).
+written independently in DuckDB SQL for the oracle (``checks/oracle_lift.py``).
+
+The modulo and range expressions below decide *which* invoice is of which
+sub-type, which customers lack a job, which lines carry discounts and so on;
+they shape the test data and never subset it: every order and every line of
+the shared tables flows into the model and through the reports.
 """
 
 from __future__ import annotations
