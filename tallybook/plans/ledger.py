@@ -1,13 +1,18 @@
 """Ledger totals chain, shared by the customer report and the sales export.
 
-    invoice_context (per invoice) ⟕ lines -> line_context      (B10, B11)
-    -> coded_lines (tax / nominal codes, qty x price)          (B12)
-    -> ledger_values (net, discount, VAT)                      (B13, B14)
-    -> with_global_discount (invoice-wide percentage lines)    (B15)
-    -> invoice_grouping (five rounded sums per invoice)        (B16)
+    invoice_context (per invoice) ⟕ lines -> line_context      (B10, B11, line level)
+    -> coded_lines (tax / nominal codes, qty x price)          (B12, line level)
+    -> ledger_values (net, discount, VAT)                      (B13, B14, line level)
+    -> with_global_discount (invoice-wide percentage lines)    (B15, line level, via invoice_nets)
+
+    line_partials (per invoice, map-side) + invoice_context
+    -> invoice_grouping (five rounded sums per invoice)        (B16, no line-level shuffle)
     -> invoice_combined (header, discount %)                   (B17)
     -> invoice_totals (credited invoice, final rounding)       (B18)
 
+The line-level stages serve the line-level outputs; the invoice totals are
+built from per-invoice partial sums so the line table is never shuffled.
+
 ``how`` selects the join type of the header joins: ``"inner"`` for the
 customer report, ``"left"`` for the sales export (which keeps invoice rows
 that have no header or no job).

@@ -4,8 +4,10 @@ paid against it, and its payment status.
 Stages (all lazy DataFrames):
 
     non_draft_headers  -> settlement_lines -> valued_settlement_lines -> signed_gross
-    invoice_gross (per invoice) -> credit_totals -> invoice_credit_combine
-    payments_by_source -> payment_status
+    invoice_gross (per invoice) -> credit_totals -> invoice_credit_combine   (B7, B8 as the source
+                                                                              shapes them)
+    invoice_gross -> invoice_with_credits (B8 in one aggregation)
+    payments_by_source -> payment_status (B9, from invoice_with_credits)
 
 ``invoice_gross`` does not join raw lines to headers: it sums every line per
 (source, invoice) first (partial aggregation before the shuffle) and then
