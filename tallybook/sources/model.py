@@ -10,6 +10,8 @@ from __future__ import annotations
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Table name -> columns the reports read. This is the whole input contract.
 SCHEMA: dict[str, tuple[str, ...]] = {
@@ -133,13 +135,53 @@ class InvoiceModel:
         return self
 
 
-def from_parquet(spark: SparkSession, root: str) -> InvoiceModel:
+# Per table, the columns that hold GUID keys in the source
+# system (compared case-insensitively there). When stored as text they are
+# lower-cased once at load, so every join on them is a plain equi-join.
+# Integer identity ids (auto ids, cost-line references) are not listed.
+GUID_COLUMNS: dict[str, tuple[str, ...]] = {
+    "base_invoice": ("unique_id", "credited_invoice_guid"),
+    "invoice": ("unique_id",),
+    "invdets": ("unique_id", "invoice_guid", "tax_code_id", "nominal_code_id"),
+    "ppm_invoices": ("unique_id", "ppm_contract_id"),
+    "ppm_lines": ("unique_id", "invoice_id", "tax_code_id", "nominal_code_id"),
+    "ppm_contract": ("unique_id",),
+    "cg_invoice": ("unique_id",),
+    "cg_lines": ("unique_id", "invoice_guid", "tax_code_id", "nominal_code_id", "credited_invoice_line_guid"),
+    "invoice_payments": ("invoice_guid",),
+    "ppm_payments": ("ppm_contract_invoice_id",),
+    "cg_payments": ("invoice_guid",),
+    "tax_codes": ("unique_id",),
+    "nominal_codes": ("unique_id",),
+    "customer": ("unique_id",),
+    "tag_level": ("level_id", "tag_id"),
+    "tag": ("unique_id",),
+    "supplier_invoice": ("unique_id", "purchase_order_id"),
+    "supplier_invoice_lines": ("unique_id", "supplier_invoice_id", "tax_code_id", "nominal_code_id"),
+    "purchase_order_lines": ("supplier_invoice_line_id", "supplier_credit_line_id"),
+    "purchase_order": ("unique_id",),
+    "subcontractor_invoice": ("unique_id", "purchase_order_id"),
+    "subcontractor_invoice_lines": ("unique_id", "subcontractor_invoice_id", "tax_code_id", "nominal_code_id"),
+    "subcontractor_po_lines": ("invoice_line_id", "credit_line_id"),
+    "subcontractor_po": ("unique_id",),
+}
+
+
+def from_parquet(spark: SparkSession, root: str, normalise_guids: bool = True) -> InvoiceModel:
     """Read the model from ``<root>/<table>.parquet`` (one folder or file per table).
 
     Only the columns in :data:`SCHEMA` are selected, so scans read no more.
+    Text GUID keys (:data:`GUID_COLUMNS`) are lower-cased unless
+    ``normalise_guids`` is False; numeric ids are left as they are.
     """
-    tables = {name: spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet").select(*cols)
-              for name, cols in SCHEMA.items()}
+    tables = {}
+    for name, cols in SCHEMA.items():
+        df = spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet").select(*cols)
+        if normalise_guids:
+            text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+            guids = set(GUID_COLUMNS.get(name, ())) & text
+            df = df.select(*[F.lower(F.col(c)).alias(c) if c in guids else F.col(c) for c in cols])
+        tables[name] = df
     return InvoiceModel(**tables).check()
 
 

@@ -62,3 +62,28 @@ def test_cli_writes_the_three_reports(spark, tmp_path):
                       "sales": SPARK["rp_sales"](m).count()}
     run(spark, root, out, ["customers"], fmt="parquet")
     assert "Uplift/Discount %" in spark.read.parquet(f"{out}/customers").columns
+
+
+def test_text_guids_are_matched_case_insensitively(spark, tmp_path):
+    # a customer-grouped invoice whose id is stored in another letter case than
+    # its base header's: lower-cased at load, the two meet in the header join
+    from conftest import model, table
+    from tallybook.plans import ledger
+    guid = "unique_id string"
+    m = model(spark,
+              base_invoice=table(spark, "base_invoice", [dict(unique_id="AB-01", id="INV1", credit_note=False,
+                                                              is_draft=False)],
+                                 "unique_id string, auto_id bigint, id string, credit_note boolean, "
+                                 "credited_invoice_guid string, is_draft boolean, passed_to_accounts boolean, "
+                                 "date timestamp_ntz, order_no string, account_number string, name string, "
+                                 "address1 string, address2 string, address3 string, address4 string, "
+                                 "postcode string, reason string"),
+              invoice=table(spark, "invoice", [], f"{guid}, job_auto_id bigint, user_id bigint"),
+              ppm_invoices=table(spark, "ppm_invoices", [], f"{guid}, ppm_contract_id bigint"),
+              cg_invoice=table(spark, "cg_invoice", [dict(unique_id="ab-01")], f"{guid}, customer_auto_id bigint"))
+    root = str(tmp_path / "guids")
+    write_model(m, root, files_per_table=1)
+    ctx = ledger.invoice_context(from_parquet(spark, root), "inner").collect()
+    assert [(r.invoice_guid, r.type_of_invoice) for r in ctx] == [("ab-01", "C")]
+    raw = ledger.invoice_context(from_parquet(spark, root, normalise_guids=False), "inner").collect()
+    assert raw == []
