@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -55,11 +55,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting must point at shared storage and is read as is.
-    Only when it is unset (local tests) a fresh local folder is created.
+    Only in a single-machine session (master ``local`` or ``local[...]``) that
+    leaves it unset a fresh local folder is made, once for the session.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="tallybook-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        d = tempfile.mkdtemp(prefix="tallybook-ckpt-")
+        sc.setCheckpointDir(d)
     return d

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 from decimal import Decimal
 
 import pytest
@@ -24,8 +23,6 @@ def spark():
          .config("spark.sql.adaptive.enabled", "true")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):  # tests only: a local folder when unset
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tallybook-test-ckpt-"))
     yield s
 
 
