@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tallybook.llm import bloom_dedup, byte_bpe, rans
+from tallybook.llm import bloom_dedup, byte_bpe, minhash_inverted, rans
 from tallybook.llm.common import table
 
 
+def op6_minhash_inverted(spark, sf_dir):
+    return minhash_inverted.link(table(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark, sf_dir):
     return byte_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -20,7 +24,7 @@ def op9_bloom_dedup(spark, sf_dir):
     return bloom_dedup.decide(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op7_byte_bpe, op8_rans_blocks, op9_bloom_dedup)}
+QUERIES = {f.__name__: f for f in (op6_minhash_inverted, op7_byte_bpe, op8_rans_blocks, op9_bloom_dedup)}
 
 ORACLE = {
     "op9_bloom_dedup": r"""

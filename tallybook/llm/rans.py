@@ -11,6 +11,8 @@ Extra columns of the input are ignored. An empty table gives no blocks and no ro
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -28,34 +30,52 @@ END_ID = 1
 BITS, LOW = 20, np.uint64(1 << 31)
 LANES, STRIDE, BLOCK_TOKENS = 512, 256, 1 << 18
 MAGIC, HEAD = b"RNS1", struct.Struct("<4sQIIIIII")
-#: Pieces that a worker remembers the ids of, and the longest of them.
-CACHE_PIECES, CACHE_CHARS = 400_000, 64
+#: Pre-tokens that a worker remembers the ids of, and the longest of them.
+CACHE_WORDS, CACHE_CHARS = 400_000, 64
+#: Characters other than ASCII, Latin-1, Latin Extended-A and general punctuation.
+OTHER = re.compile("[^\x00-\x1b\x20-\x84\x86-\u017f\u2010-\u2027\u2030-\u205e]")
+#: The pattern of the word vocabulary's pre-tokenizer (fixed value), and its matches in lower-case texts without those others.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ſ]+|[0-9²³¹¼-¾]|[^\\sa-zªµºß-öø-ſ0-9²³¹¼-¾]+")
 
 
 # ---- tokens
 
 class PieceIds(dict):
-    """Piece between white space -> ids as little-endian bytes, encoded on first use."""
+    """Pre-token -> ids as little-endian bytes, encoded on first use by the tokenizer's model."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.vocabulary = self.tokenizer.get_vocab_size()
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer, self.model, self.pre_tokenizer = tokenizer, tokenizer.model, tokenizer.pre_tokenizer
+        self.known = json.dumps(SPLIT) in json.dumps(json.loads(tokenizer.to_str()))
+        self.vocabulary = tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, self.kind).tobytes()
-        if len(piece) <= CACHE_CHARS:
-            if len(self) >= CACHE_PIECES:
+        self.one = struct.Struct("<H" if self.kind.itemsize == 2 else "<I").pack
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        if (ids := self.old.get(word)) is None:
+            if word.isascii():
+                found = self.model.tokenize(word)
+            else:  # the pre-tokenizer writes each byte as a character
+                found = [t for w, _ in self.pre_tokenizer.pre_tokenize_str(word) for t in self.model.tokenize(w)]
+            ids = b"".join([self.one(t.id) for t in found])
+        if len(word) <= CACHE_CHARS:
+            if len(self) >= CACHE_WORDS:
+                self.old = dict(self)
                 self.clear()
-            self[piece] = ids
+            self[word] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
-        """The tokenizer splits at white space and works on each piece alone, so pieces may be encoded alone."""
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
+        """As the whole tokenizer would, special tokens' strings being ordinary text. Where a text has only plain
+        Latin characters, lower case is all that the normalizer does to its words and WORD finds the pre-tokens."""
+        if self.known and OTHER.search(text) is None:
+            return b"".join(map(self.__getitem__, WORD.findall(text.lower())))
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
 
 _CACHES: dict[str, PieceIds] = {}  # in each Python worker
