@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -11,6 +14,22 @@ from pyspark.sql import functions as F
 from tallybook.session import checkpoint_dir
 
 
+def ship(spark: SparkSession) -> None:
+    """Have Spark send this package to the executors, whose Python workers import it. Once per session's context."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        root = Path(__file__).parents[1]
+        file = Path(tempfile.mkdtemp(), f"{root.name}.zip")
+        with zipfile.ZipFile(file, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        sc.addPyFile(str(file))
+        _SHIPPED.add(sc.applicationId)
+
+
+_SHIPPED: set[str] = set()
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back, so that later uses
     see one and the same result and a lost executor costs no recomputation."""
@@ -36,6 +55,7 @@ def fresh(df: DataFrame, base: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -58,6 +78,6 @@ def ranked(df: DataFrame, order: list[Column], name: str, per: list[str] = ()) -
     runs = rows.groupBy(*key).agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = W.partitionBy(*per).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    same = [rows[k].eqNullSafe(runs[k]) for k in key]
-    return (rows.join(runs, same, "left")
-            .select(*[rows[c] for c in cols], (F.col("_before") + F.col("_row") - F.col("_first")).alias("rank")))
+    runs = runs.select(*[F.col(k).alias(f"_run{i}") for i, k in enumerate(key)], "_first", "_before")
+    same = [F.col(k).eqNullSafe(F.col(f"_run{i}")) for i, k in enumerate(key)]
+    return rows.join(runs, same, "left").select(*cols, (F.col("_before") + F.col("_row") - F.col("_first")).alias("rank"))

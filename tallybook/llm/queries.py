@@ -3,9 +3,51 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from tallybook.llm import bloom_dedup, byte_bpe, minhash_inverted, rans
-from tallybook.llm.common import table
+from tallybook.llm import (
+    bloom_dedup,
+    byte_bpe,
+    counterfactual_toxicity,
+    fm_quality,
+    lang_fusion,
+    length_buckets,
+    minhash_inverted,
+    page_diff,
+    rans,
+    threshold_topk,
+)
+from tallybook.llm.common import in_fold, table
+
+SCORED = 0.3  # from this score on a label is predicted
+
+
+def _scored(docs, score, held_out):
+    rows = docs.select(F.col("doc_id"), held_out.alias("held_out"), score.alias("score"))
+    return rows.withColumn("predicted", (F.col("score") >= SCORED).cast("int"))
+
+
+def op1_fm_quality(spark, sf_dir):
+    docs, labels, held_out = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), in_fold(F.col("doc_id"), 5, 0)
+    return _scored(docs, fm_quality.score(docs, fm_quality.fit(docs, labels, ~held_out)), held_out)
+
+
+def op2_page_diff(spark, sf_dir):
+    return page_diff.extract(table(spark, sf_dir, "pages"))
+
+
+def op3_length_buckets(spark, sf_dir):
+    return length_buckets.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op4_threshold_topk(spark, sf_dir):
+    x = threshold_topk.scaled(table(spark, sf_dir, "embeddings"))
+    return threshold_topk.top_k(x, x.where("vec_id % 100 = 0"), 10)
+
+
+def op5_counterfactual_toxicity(spark, sf_dir):
+    docs, labels, held_out = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), in_fold(F.col("doc_id"), 4, 2)
+    return _scored(docs, counterfactual_toxicity.score(docs, counterfactual_toxicity.fit(docs, labels, ~held_out)), held_out)
 
 
 def op6_minhash_inverted(spark, sf_dir):
@@ -24,9 +66,22 @@ def op9_bloom_dedup(spark, sf_dir):
     return bloom_dedup.decide(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_minhash_inverted, op7_byte_bpe, op8_rans_blocks, op9_bloom_dedup)}
+def op10_lang_fusion(spark, sf_dir):
+    rows, name = lang_fusion.of_documents(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.col(name)["language"].alias("language"), F.col(name)["probability"].alias("probability"), F.col(name)["accepted"].alias("kept"))
+
+
+QUERIES = {f.__name__: f for f in (op1_fm_quality, op2_page_diff, op3_length_buckets, op4_threshold_topk, op5_counterfactual_toxicity,
+                                   op6_minhash_inverted, op7_byte_bpe, op8_rans_blocks, op9_bloom_dedup, op10_lang_fusion)}
 
 ORACLE = {
+    "op4_threshold_topk": """
+        with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as x from embeddings
+                   where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        s as (select q.vec_id as query_id, v.vec_id, list_sum(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * v.x[i])) as score
+              from v as q join v on q.vec_id <> v.vec_id where q.vec_id % 100 = 0),
+        r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+        select query_id, cast(rank as integer) as rank, vec_id, cast(score as bigint) as score from r where rank <= 10""",
     "op9_bloom_dedup": r"""
         with t as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256 from documents),
         g as (select text_sha256, min(doc_id) as keep_id, count(*) as group_size from t group by 1)
