@@ -115,7 +115,7 @@ def encode_words(words: Column, path: str) -> Column:
                            lambda s, _: merge(table, s), lambda s: F.transform(s["p"], lambda x: look(table, x)))
 
     def ids(table, w):
-        return one(look(table, w), lambda whole: F.when(whole != NONE, F.array(whole)).otherwise(fold(table, w)))
+        return one(look(table, w), lambda whole: F.when(whole != NONE, F.array(whole)).when(F.length(w) == 0, F.array().cast("array<int>")).otherwise(fold(table, w)))
 
     def both(table, pieces, w):
         return one(ids(table, w), lambda i: F.struct(i.alias("ids"), F.aggregate(i, F.lit(b""), lambda a, k: F.concat(a, F.get(pieces, k))).alias("bytes")))

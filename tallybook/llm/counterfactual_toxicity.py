@@ -2,7 +2,7 @@
 
 Logistic regression over the presence of hashed words and word beginnings. Besides the loss on the labels it pays for every change of
 the score that swapping identity terms makes: in each sentence of a labelled text that names a group, the names
-are replaced by others of their list, and PENALTY times the squared change of z is added to the loss. So a group's name alone
+are replaced by others of their list, and ``PENALTY`` times the squared change of z is added to the loss. So a group's name alone
 can't carry weight, and neutral mentions aren't taken for insults. Only features whose log odds ratio between the labels is at least
 ``STRONG`` standard errors from 0 in grouped counts take part, so that the many harmless words of long texts don't add up
 noise. Fitted on at most about ``MAX_TRAIN`` labelled rows.
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -74,7 +75,7 @@ def swaps(text: str, terms=IDENTITY_TERMS) -> list[tuple[set[str], set[str]]]:
     return out
 
 
-def epoch(params: list[np.ndarray], rows: pa.Table, turn: int) -> list[np.ndarray]:
+def epoch(params: list[np.ndarray], rows: pa.Table, turn: int, penalty: float = PENALTY) -> list[np.ndarray]:
     w, b = params
     g, g0 = np.full(len(w), 0.1), 1.0
     idx, y = rows.column("idx").to_pylist(), rows.column("label").to_numpy()
@@ -89,7 +90,7 @@ def epoch(params: list[np.ndarray], rows: pa.Table, turn: int) -> list[np.ndarra
         for p, q in zip(pairs[i][::2], pairs[i][1::2]):
             p, q = np.frombuffer(p, np.int32), np.frombuffer(q, np.int32)
             here, there = np.setdiff1d(p, q), np.setdiff1d(q, p)
-            d = 2 * PENALTY * (w[here].sum() - w[there].sum()) / max(1, len(here) + len(there))
+            d = 2 * penalty * (w[here].sum() - w[there].sum()) / max(1, len(here) + len(there))
             w[here] -= d / 2
             w[there] += d / 2
     return [w, b]
@@ -113,7 +114,7 @@ def strong(rows: DataFrame) -> np.ndarray:
     return keep
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", terms=IDENTITY_TERMS) -> list[np.ndarray]:
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", terms=IDENTITY_TERMS, penalty: float = PENALTY) -> list[np.ndarray]:
     sample = federated.labelled_sample(docs, labels, label, learn, MAX_TRAIN)
     kind = "idx binary, swaps array<binary>, label double, shard int"
 
@@ -138,7 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic",
         for batch in batches:
             yield pa.record_batch([pa.array(map(cut, batch.column("idx").to_pylist()), pa.binary()), pa.array([list(map(cut, s)) for s in batch.column("swaps").to_pylist()], pa.list_(pa.binary())),
                                    batch.column("label"), batch.column("shard")], ["idx", "swaps", "label", "shard"])
-    return federated.train(rows.mapInArrow(choose, kind), [np.zeros(PLACES, np.float32), np.zeros(1, np.float32)], epoch, ROUNDS)
+    return federated.train(rows.mapInArrow(choose, kind), [np.zeros(PLACES, np.float32), np.zeros(1, np.float32)], partial(epoch, penalty=penalty), ROUNDS)
 
 
 def score(docs: DataFrame, params: list[np.ndarray]) -> Column:

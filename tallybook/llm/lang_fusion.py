@@ -3,7 +3,7 @@
     log P(language | all) = log P(text | language) + log P(declared | language) + log P(language | host) + constant
 
 * text: naive Bayes over hashed byte trigrams, counted over all documents by declared language; as neighbouring trigrams
-  depend on one another, a text counts as at most ``EFFECTIVE`` of them;
+  depend on one another, a text counts as at most ``EFFECTIVE`` of them; counts are smoothed towards the corpus;
 * declared markup language: how often documents whose text looks like a language declare it;
 * host prior: languages of the host's texts, smoothed towards those of its address suffix (the last label of the host
   name), smoothed towards those of the corpus. All of it comes from one grouped count.
@@ -30,7 +30,7 @@ from tallybook.llm.common import fresh, staged
 
 BUCKETS, LANGUAGES = 1 << 14, 64
 EFFECTIVE, ENOUGH = 60, 100
-SURE, HOST_WEIGHT = 0.5, 20.0
+SURE, HOST_WEIGHT, SMOOTH = 0.5, 20.0, 2000.0
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
@@ -77,9 +77,10 @@ def text_model(docs: DataFrame, text: str, declared: str) -> tuple[list[str], np
             at = np.flatnonzero(n[k])
             yield pa.record_batch([pa.array(np.full(len(at), i), pa.int32()), pa.array(at, pa.int32()), pa.array(n[k][at], pa.int64())], ["l", "bucket", "n"])
     counts = docs.select(declared, text).mapInArrow(run, "l int, bucket int, n long").groupBy("l", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    n = np.full((len(languages), BUCKETS), 0.1)
-    n[counts["l"].to_numpy(), counts["bucket"].to_numpy()] += counts["n"].to_numpy()
-    return languages, np.log(n / n.sum(1, keepdims=True))
+    n = np.zeros((len(languages), BUCKETS))
+    n[counts["l"].to_numpy(), counts["bucket"].to_numpy()] = counts["n"].to_numpy()
+    corpus = (n.sum(0) + 0.1) / (n.sum() + 0.1 * BUCKETS)
+    return languages, np.log((n + SMOOTH * corpus) / (n.sum(1, keepdims=True) + SMOOTH))
 
 
 def _likelihoods(docs: DataFrame, text: str, logs: np.ndarray) -> Column:

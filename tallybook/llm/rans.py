@@ -214,7 +214,7 @@ def unpack(data: bytes, t: Table) -> tuple[list, list[np.ndarray]]:
 
 # ---- jobs
 
-def write(docs: DataFrame, tokenizer: str, out: str) -> np.ndarray:
+def write(docs: DataFrame, tokenizer: str, out: str, block_tokens: int = BLOCK_TOKENS) -> np.ndarray:
     """Encode ``docs`` into files of blocks under ``out`` in ascending doc_id order; returns the counts that define the table."""
     spark = docs.sparkSession
     tokens = staged(tokenize(docs, tokenizer), "tokens")
@@ -232,7 +232,7 @@ def write(docs: DataFrame, tokenizer: str, out: str) -> np.ndarray:
         for b in batches:
             for d, x in zip(b.column("doc_id").to_pylist(), b.column("ids").to_pylist()):
                 x = np.frombuffer(x, kind).astype(np.uint32)
-                if n and n + len(x) > BLOCK_TOKENS:
+                if n and n + len(x) > block_tokens:
                     yield flush()
                     ids, docs_, n, block = [], [], 0, block + 1
                 ids.append(d)
@@ -270,6 +270,6 @@ def read(spark: SparkSession, path: str, counts: np.ndarray) -> DataFrame:
     return docs.join(places, ["part", "block"]).select("doc_id", (F.col("base") + F.col("off") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     out = scratch(docs.sparkSession, "rans")
-    return read(docs.sparkSession, out, write(docs, tokenizer, out))
+    return read(docs.sparkSession, out, write(docs, tokenizer, out, block_tokens))
