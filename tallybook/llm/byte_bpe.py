@@ -20,6 +20,7 @@ import base64
 import hashlib
 import heapq
 import json
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -38,6 +39,8 @@ NONE = 2147483647
 DICTIONARY = 1 << 17
 LONG_WORD = 256
 BATCH_WORDS, COUNTED_WORDS = 1 << 21, 1 << 18
+#: Letters and numbers up to here have long been the same for everyone.
+BEYOND_LATIN = re.compile("[^\x00-\u0250]")
 
 
 @cache
@@ -47,7 +50,7 @@ def ranks(path: str) -> dict[bytes, int]:
 
 
 @cache
-def _newer() -> tuple[regex.Pattern, dict[int, str]]:
+def _newer() -> tuple[re.Pattern, dict[int, str]]:
     """Characters that are letters or numbers for the regex module but, being newer, not for tiktoken: how to find
     them, and a table that puts a private-use character, which is neither, in their place."""
     import tiktoken
@@ -57,12 +60,14 @@ def _newer() -> tuple[regex.Pattern, dict[int, str]]:
     for pattern in (r"\p{L}", r"\p{N}"):
         known = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks={bytes([i]): i for i in range(256)}, special_tokens={})
         newer |= set(regex.findall(pattern, every)).difference(bytes(known.encode_ordinary(every)).decode())
-    return regex.compile("[" + "".join(sorted(newer)) + "]" if newer else r"(?!)"), {ord(c): "\ue000" for c in newer}
+    return re.compile("[" + "".join(sorted(newer)) + "]" if newer else r"(?!)"), {ord(c): "\ue000" for c in newer}
 
 
 def split_words(text: str, pattern: regex.Pattern) -> list[str]:
+    if not BEYOND_LATIN.search(text):
+        return pattern.findall(text)
     find, table = _newer()
-    if text.isascii() or not find.search(text):
+    if not find.search(text):
         return pattern.findall(text)
     return [text[m.start():m.end()] for m in pattern.finditer(text.translate(table))]
 

@@ -9,11 +9,11 @@ that agree in at least ``MATCHES`` coordinates are kept, and their similarity is
   one of the first c - MATCHES + 1, so only those are merged;
 * skip: the longest MATCHES - 1 lists are never merged; their collisions are counted on the signatures.
 
-For two sets of similarity 0.8 the chance of fewer than MATCHES agreements is about 2e-8.
+For two sets of similarity 0.8 the chance of fewer than MATCHES agreements is 3e-7.
 
-A list of n nodes isn't expanded into all pairs: first each node meets the list's pivot and components are formed, with
-further rounds and other pivots while many pairs are left; then all pairs of a list that lie in different components
-are compared, so no component is missed. Links inside a component change nothing and aren't needed.
+A list of n nodes isn't expanded into all pairs: first each node meets the pivots of its shortest lists and components are
+formed, with further rounds and other pivots while many pairs are left and get fewer; then all pairs of a list that lie in
+different components are compared, so no component is missed. Links inside a component change nothing and aren't needed.
 
 Texts without words (null, empty) have an empty set, no links, and are kept. Rows that repeat a doc_id are one document
 as far as their texts agree. A null doc_id is larger than any other. An empty table gives an empty result.
@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 from tallybook.llm.common import fresh, staged
 
 WIDTH, SHARE = 4, 80  # words in a shingle; percent of the union that linked sets have in common
-COORDINATES, MATCHES = 32, 12
-#: Star rounds, and pairs for each posting at which they end.
-ROUNDS, FEW = 6, 4
+COORDINATES, MATCHES = 64, 34
+#: Lists of a node that star rounds use (its shortest ones), most star rounds, and pairs for each posting at which they end.
+STAR_LISTS, ROUNDS, FEW = 8, 4, 2
 
 _RNG = np.random.default_rng(20240601)
 _A = _RNG.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) | np.uint64(1)
@@ -113,19 +113,14 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return sets.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
-def _confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, sets: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """Those of ``pairs`` (a, b) that are linked, and the sets known by now."""
+def _confirm(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) that are linked."""
     def side(k):
         return nodes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("tokens").alias(f"t{k}"))
     small, large = F.least("na", "nb"), F.greatest("na", "nb")
     agree = F.size(F.filter(F.zip_with("ta", "tb", lambda x, y: x == y), lambda same: same))
     near = staged(pairs.join(side("a"), "a").join(side("b"), "b")
                   .where((small * 100 >= large * SHARE) & (agree >= MATCHES)).select("a", "b"), "near")
-    ends = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    if sets is not None:
-        ends = ends.join(sets, "node", "left_anti")
-    more = staged(_sets(docs, ends.join(nodes, "node").select("node", "doc")), "sets")
-    sets = more if sets is None else sets.unionByName(more)
 
     def run(batches):
         for b in batches:
@@ -137,7 +132,7 @@ def _confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, sets: DataFram
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
     full = near.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
-    return staged(full.select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary"), "links"), sets
+    return staged(full.select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary"), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -161,37 +156,38 @@ def components(links: DataFrame) -> DataFrame:
 
 def link(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
+    spark = docs.sparkSession
     rows = staged(_signatures(docs), "signatures")
     nodes = staged(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n"), F.first("tokens").alias("tokens")), "nodes")
     posts = nodes.select("node", F.explode("tokens").alias("token"))
     lengths = staged(posts.groupBy("token").agg(F.count(F.lit(1)).alias("length")).where("length > 1"), "lengths")
     lists = (posts.join(lengths, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("length", "token"))).alias("lists"))  # at most COORDINATES
              .where(F.size("lists") >= MATCHES)
-             .select("node", F.explode(F.slice("lists", F.lit(1), F.size("lists") - MATCHES + 1)).alias("l")).select("node", F.col("l.token").alias("token")))
+             .select("node", F.posexplode(F.slice("lists", F.lit(1), F.size("lists") - MATCHES + 1)).alias("place", "l")).select("node", "place", F.col("l.token").alias("token")))
     lists = staged(lists, "lists")
+    some = staged(lists.select("node").distinct().join(nodes, "node"), "candidates")
+    sets = staged(_sets(docs, some.select("node", "doc")), "sets")
     size = lists.count()
-    roots, links, sets = None, None, None
-    for turn in range(ROUNDS + 1):
-        known = lists.withColumn("root", F.col("node")) if roots is None else (
-            lists.join(roots, "node", "left").select("node", "token", F.coalesce("root", "node").alias("root")))
-        runs = known.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"))
-        open_ = staged(runs.groupBy("token").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("same"), F.collect_set("root").alias("roots"))
-                       .where(F.size("roots") > 1), "open") if roots is not None else None
-        known = known if open_ is None else known.join(open_.select("token"), "token", "left_semi")
-        few = open_ is not None and (open_.agg(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2)).first()[0] or 0) <= FEW * size
-        if open_ is not None and open_.isEmpty():
-            break
-        if few or turn == ROUNDS:  # all pairs of a list from different components
-            ends = known.join(runs.select("token", F.col("root").alias("other")), "token").where("root < other").withColumnRenamed("node", "a")
-            pairs = ends.join(known.select("token", F.col("root").alias("other"), F.col("node").alias("b")), ["token", "other"]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        else:
-            pivot = known.groupBy("token").agg(F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(turn))).alias("p"))
-            pairs = known.join(staged(pivot, "pivots"), "token").where("root <> p.root").select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"))
-        found, sets = _confirm(pairs.distinct(), nodes, docs, sets)
-        links = found if roots is None else found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        roots = components(links)
-        if few or turn == ROUNDS:
+
+    def labelled(roots):
+        return lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    roots = spark.createDataFrame([], "node binary, root binary")
+    left = None
+    for turn in range(ROUNDS):
+        first = labelled(roots).where(F.col("place") < STAR_LISTS)
+        pivots = first.groupBy("token").agg(F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(turn))).alias("p"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+        pairs = first.join(staged(pivots, "pivots"), "token").where("root <> p.root").select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
+        roots = components(_confirm(pairs, some, sets).unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        runs = staged(labelled(roots).groupBy("token", "root").agg(F.count(F.lit(1)).alias("n")), "runs")
+        open_ = staged(runs.groupBy("token").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("same"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high"), "open")
+        before, left = left, int(open_.agg(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2)).first()[0] or 0)
+        if left <= FEW * size or before and left > 0.7 * before:
             break
+    if left:  # all pairs of a list from different components
+        known = labelled(roots).join(open_.select("token"), "token", "left_semi").select("token", "root", "node")
+        ends = known.join(runs.select("token", F.col("root").alias("other")), "token").where("root < other").withColumnRenamed("node", "a")
+        pairs = ends.join(known.select("token", F.col("root").alias("other"), F.col("node").alias("b")), ["token", "other"]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        roots = components(_confirm(pairs.distinct(), some, sets).unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     owner = nodes.join(roots, "node", "left").select("node", "doc", F.coalesce("root", "node").alias("root"))
     least = owner.groupBy("root").agg(F.min("doc").alias("component_id"))
     owner = staged(owner.join(least, "root").select("node", "component_id"), "owners")

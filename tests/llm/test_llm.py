@@ -123,7 +123,7 @@ def near_rows():
     return [(3 * i, t) for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize("few", [0, 4])  # 0: all star rounds
+@pytest.mark.parametrize("few", [0, 1000])  # star rounds as long as they help, or one
 def test_near_duplicates(spark, monkeypatch, few):
     monkeypatch.setattr(minhash_inverted, "FEW", few)
     rows = near_rows()
