@@ -163,7 +163,9 @@ def link(docs: DataFrame) -> DataFrame:
     lengths = staged(posts.groupBy("token").agg(F.count(F.lit(1)).alias("length")).where("length > 1"), "lengths")
     lists = (posts.join(lengths, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("length", "token"))).alias("lists"))  # at most COORDINATES
              .where(F.size("lists") >= MATCHES)
-             .select("node", F.posexplode(F.slice("lists", F.lit(1), F.size("lists") - MATCHES + 1)).alias("place", "l")).select("node", "place", F.col("l.token").alias("token")))
+             .withColumn("typical", F.aggregate("lists", F.lit(0).cast("long"), lambda a, l: a + l["length"]))
+             .withColumn("merged", F.transform(F.slice("lists", F.lit(1), F.size("lists") - MATCHES + 1), lambda l: l["token"]))
+             .select("node", "typical", "merged", F.posexplode("merged").alias("place", "token")))
     lists = staged(lists, "lists")
     some = staged(lists.select("node").distinct().join(nodes, "node"), "candidates")
     sets = staged(_sets(docs, some.select("node", "doc")), "sets")
@@ -175,7 +177,9 @@ def link(docs: DataFrame) -> DataFrame:
     left = None
     for turn in range(ROUNDS):
         first = labelled(roots).where(F.col("place") < STAR_LISTS)
-        pivots = first.groupBy("token").agg(F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(turn))).alias("p"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+        # first the most typical member, the one with the longest lists, later any other
+        order = F.struct(F.col("typical") if turn == 0 else F.lit(0).cast("long"), F.xxhash64("node", F.lit(turn)))
+        pivots = first.groupBy("token").agg(F.max_by(F.struct("node", "root"), order).alias("p"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
         pairs = first.join(staged(pivots, "pivots"), "token").where("root <> p.root").select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
         roots = components(_confirm(pairs, some, sets).unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
         runs = staged(labelled(roots).groupBy("token", "root").agg(F.count(F.lit(1)).alias("n")), "runs")
@@ -184,10 +188,13 @@ def link(docs: DataFrame) -> DataFrame:
         if left <= FEW * size or before and left > 0.7 * before:
             break
     if left:  # all pairs of a list from different components
-        known = labelled(roots).join(open_.select("token"), "token", "left_semi").select("token", "root", "node")
-        ends = known.join(runs.select("token", F.col("root").alias("other")), "token").where("root < other").withColumnRenamed("node", "a")
-        pairs = ends.join(known.select("token", F.col("root").alias("other"), F.col("node").alias("b")), ["token", "other"]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        roots = components(_confirm(pairs.distinct(), some, sets).unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        known = labelled(roots).join(open_.select("token"), "token", "left_semi").join(some.select("node", "n"), "node").select("token", "root", "node", "merged", "n")
+        a = known.join(runs.select("token", F.col("root").alias("other")), "token").where("root < other").select("token", "other", F.col("node").alias("a"), F.col("merged").alias("ma"), F.col("n").alias("na"))
+        b = known.select(F.col("token").alias("tb"), F.col("root").alias("rb"), F.col("node").alias("b"), F.col("merged").alias("mb"), F.col("n").alias("nb"))
+        once = F.array_min(F.array_intersect("ma", "mb")) == F.col("token")  # a pair of several lists is taken from one
+        alike = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * SHARE
+        pairs = a.join(b, (a["token"] == b["tb"]) & (a["other"] == b["rb"]) & alike & once).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        roots = components(_confirm(pairs, some, sets).unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     owner = nodes.join(roots, "node", "left").select("node", "doc", F.coalesce("root", "node").alias("root"))
     least = owner.groupBy("root").agg(F.min("doc").alias("component_id"))
     owner = staged(owner.join(least, "root").select("node", "component_id"), "owners")
