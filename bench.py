@@ -43,7 +43,7 @@ def main() -> None:
 
     model_root = f"{checkpoint_dir(spark).rstrip('/')}/bench-model-{os.getpid()}"
     t = time.perf_counter()
-    write_model(lift(spark, sf_dir), model_root)
+    write_model(lift(spark, sf_dir), model_root, files_per_table=cpus)
     lift_sec = round(time.perf_counter() - t, 3)
     model = from_parquet(spark, model_root)
 

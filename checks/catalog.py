@@ -307,7 +307,7 @@ def _jn_fanout(m):
     r = sales.rounded_sales_lines(m).select("line_unique_id", "invdet_auto_id")
     co = m.cost.select(F.col("invoice_line_id").alias("invdet_auto_id"), F.col("cost_type_id").alias("cost_type"))
     qc = m.qcost.select(F.col("invoice_line_id").alias("invdet_auto_id"), F.col("cost_type_id").alias("qcost_type"))
-    return (r.join(co, "invdet_auto_id", "left").join(qc, "invdet_auto_id", "left")
+    return (r.join(sales.cost_pairs(co, qc), "invdet_auto_id", "left")
             .select("line_unique_id", "cost_type", "qcost_type"))
 
 
@@ -676,11 +676,12 @@ def _bz_subcontractor_line(m):
 @query("bz_rounded_lines", """
 select invoice_guid, vat_rate, tax_code, tax_code_id, nom_code, details, unit_value, qty, credit_note, is_draft, id,
        invdet_auto_id, line_value, line_value_no_discount, discount_value, discount_percentage_calc, vat_value,
-       including_vat, global_discount_line, job_auto_id, type_of_invoice, line_unique_id
+       including_vat, global_discount_line, job_auto_id, type_of_invoice, line_unique_id,
+       credited_line_unique_id
 from o_rsil""", ("vat_rate", "unit_value", "qty", "line_value", "line_value_no_discount", "discount_value",
                  "discount_percentage_calc", "vat_value", "including_vat"))
 def _bz_rounded_lines(m):
-    return sales.rounded_sales_lines(m)
+    return sales.rounded_lines_with_credits(m)
 
 
 @query("rp_customers", CUSTOMERS_SELECT)

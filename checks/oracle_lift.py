@@ -40,7 +40,7 @@ select concat_ws('-', cast(l_orderkey as varchar), cast(l_linenumber as varchar)
        cast(l_quantity as decimal(9,2)) as qty,
        cast(case when l_linenumber in (6, 7) then 0 else l_extendedprice end as decimal(12,2)) as price,
        cast(case l_linenumber when 3 then 5.00 when 6 then 25.00 end as decimal(12,2)) as discount_amount,
-       cast(case when l_linenumber in (2, 7) then l_discount * 100 end as decimal(5,2)) as discount_percentage,
+       cast(case when l_linenumber in (2, 7) then l_discount * 100 + cast(0.3333 as double) end as decimal(7,4)) as discount_percentage,
        case when l_tax > 0 then cast(round(l_tax * 100) as int) end as tax_code_id,
        l_partkey as nominal_code_id,
        concat('part ', cast(l_partkey as varchar), ' supplied by ', cast(l_suppkey as varchar), ' flag ',
@@ -58,13 +58,13 @@ select line_uid as unique_id, invoice_guid as invoice_id, qty as quantity, price
 from fx_line where kind = 'P'"""),
     ("t_cg_lines", """
 select line_uid as unique_id, invoice_guid, qty, price, discount_amount, discount_percentage, tax_code_id,
-       nominal_code_id, details, invoice_guid as job_auto_id, cast(null as varchar) as credited_invoice_line_guid,
+       nominal_code_id, details, invoice_guid as job_auto_id, case when invoice_guid % 10 = 9 then line_uid end as credited_invoice_line_guid,
        created_at
 from fx_line where kind = 'C'"""),
     ("t_tax_codes", """
 select tax_code_id as unique_id, concat('T', cast(tax_code_id as varchar)) as code,
-       cast(tax_code_id as decimal(5,2)) as value, concat('Rate ', cast(tax_code_id as varchar)) as description
-from (select distinct tax_code_id from fx_line where tax_code_id is not null)"""),
+       cast(tax_code_id + case when tax_code_id % 4 = 1 then 0.555 else 0 end as decimal(6,3)) as value, concat('Rate ', cast(tax_code_id as varchar)) as description
+from (select distinct tax_code_id from fx_line where tax_code_id is not null and tax_code_id <> 3)"""),
     ("t_nominal_codes", "select p_partkey as unique_id, p_brand as code from part where p_partkey % 7 <> 0"),
     ("fx_pay", """
 select event_id % 5000 as invoice_guid, cast(value as decimal(12,2)) as amount, event_type

@@ -7,7 +7,6 @@ functions/  Column -> Column helpers: money rounding, valuation rules, text, dat
 operators/  reusable DataFrame operators: skew-safe joins, either-key join,
             id-list explode, text aggregation, group totals
 plans/      the business chains and the three reports built from them
-streaming/  (nothing in the reported workload is a stream; see module docstring)
 """
 
 from tallybook.session import build_session, checkpoint_dir

@@ -1,9 +1,10 @@
 """Exact-decimal money helpers (Column -> Column).
 
-All amounts stay ``DecimalType``; nothing is rounded on a double. Factors such
-as ``pct / 100`` are written as ``pct * 0.01`` and narrowed to ``decimal(7,4)``
-so a chain of products never passes 38 digits (which would make Spark drop
-scale and round twice).
+All amounts stay ``DecimalType``; nothing is rounded on a double. ``pct / 100``
+is written as ``pct * 0.01`` and held at 8 decimal places, which is exact for
+percentages and rates of up to 6; the model refuses wider ones when it is
+loaded. A product of quantity, price and one such factor is exact (37 digits);
+with two factors Spark keeps 12 decimal places.
 """
 
 from __future__ import annotations
@@ -19,9 +20,10 @@ from pyspark.sql.types import DecimalType
 MONEY = DecimalType(19, 4)
 # Rounded line amount (2 dp).
 AMOUNT = DecimalType(18, 2)
-# A percentage turned into a multiplier, e.g. 17.50 -> 0.1750.
-FACTOR = DecimalType(7, 4)
-
+# A percentage turned into a multiplier, e.g. 17.555 -> 0.17555.
+FACTOR = DecimalType(12, 8)
+# Quantity times price, and the operands of a quotient.
+PRODUCT = DecimalType(24, 8)
 
 
 def _cent() -> Column:
@@ -57,25 +59,24 @@ def signed_by_credit(credit: Column, x: Column) -> Column:
     return F.when(credit == F.lit(True), -x).otherwise(x)
 
 
-def _scaled_int(c: Column) -> Column:
-    """An amount with at most 4 decimals as an integer count of 1/10000."""
-    return (c * F.lit(10000)).cast("bigint")
+def product(qty: Column, price: Column) -> Column:
+    """Quantity times price, exact, in a width that leaves room for a factor."""
+    return (qty * price).cast(PRODUCT)
 
 
 def money_ratio(num: Column, den: Column) -> Column:
     """``num / den`` for two money values: the quotient truncated to 4 dp.
 
     SQL Server keeps money / money at money scale by cutting the digits after
-    the fourth. Done on integers so neither engine rounds on the way.
+    the fourth. The decimals are divided as they are, to a whole number.
     """
-    q = F.call_function("div", _scaled_int(num) * F.lit(10000), _scaled_int(den))
+    q = F.call_function("div", num.cast(PRODUCT) * F.lit(Decimal(10000)), den.cast(PRODUCT))
     return (q.cast("decimal(20,0)") * F.lit(Decimal("0.0001"))).cast("decimal(24,4)")
 
 
 def percent_round2(num: Column, den: Column) -> Column:
-    """``ROUND(100 * num / den, 2)`` exactly, half away from zero, on integers."""
-    n = _scaled_int(num) * F.lit(10000)
-    d = _scaled_int(den)
-    q = F.call_function("div", F.abs(n) * 2 + F.abs(d), F.abs(d) * 2)
-    q = F.when((n < 0) != (d < 0), -q).otherwise(q)
+    """``ROUND(100 * num / den, 2)`` exactly, half away from zero."""
+    n, d = F.abs(num.cast(PRODUCT)), F.abs(den.cast(PRODUCT))
+    q = F.call_function("div", n * F.lit(Decimal(20000)) + d, d * F.lit(Decimal(2)))
+    q = F.when((num < 0) != (den < 0), -q).otherwise(q)
     return (q.cast("decimal(20,0)") * _cent()).cast("decimal(22,2)")

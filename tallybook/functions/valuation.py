@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallybook.functions.money import (AMOUNT, money, one_minus_pct, pct_factor,
-                                       rate_or_zero, round2)
+                                       product, rate_or_zero, round2)
 
 
 # --------------------------------------------------------------------------- #
@@ -24,17 +24,17 @@ from tallybook.functions.money import (AMOUNT, money, one_minus_pct, pct_factor,
 def settlement_net(qty: Column, price: Column, disc_amt: Column, disc_pct: Column) -> Column:
     """Net of one line: a fixed discount wins over a percentage; an undiscounted
     line is first cast to money (4 dp) and then rounded to 2 dp."""
-    qp = qty * price
+    qp = product(qty, price)
     v = (F.when(disc_amt.isNotNull(), round2(qp - disc_amt))
           .when(disc_pct.isNotNull(), round2(qp * one_minus_pct(disc_pct)))
           .otherwise(round2(money(qp))))
-    return round2(money(v))
+    return money(v)
 
 
 def settlement_vat(qty: Column, price: Column, disc_amt: Column, disc_pct: Column,
                    vat_rate: Column) -> Column:
     """VAT of one line from the *unrounded* discounted net, rounded to 2 dp."""
-    qp = qty * price
+    qp = product(qty, price)
     r = rate_or_zero(vat_rate)
     v = (F.when(disc_amt.isNotNull(), round2((qp - disc_amt) * r))
           .when(disc_pct.isNotNull(), round2(qp * one_minus_pct(disc_pct) * r))
@@ -47,7 +47,7 @@ def settlement_vat(qty: Column, price: Column, disc_amt: Column, disc_pct: Colum
 # --------------------------------------------------------------------------- #
 def qty_times_price(qty: Column, price: Column) -> Column:
     """``COALESCE(qty * price, 0)`` — a line with no quantity or price is 0."""
-    return F.coalesce(qty * price, F.lit(0))
+    return F.coalesce(product(qty, price), F.lit(0))
 
 
 def ledger_net(qtp: Column, disc_amt: Column, disc_pct: Column) -> Column:
@@ -96,7 +96,7 @@ def supplier_line(ptype: Column, qty: Column, ppu: Column, disc_pct: Column,
     applied to the net (so a credit's net is ``-(gross - pct) - fixed``), but
     inside the sign for VAT and the total.
     """
-    gross = round2(qty * ppu)
+    gross = round2(product(qty, ppu))
     pct_disc = F.coalesce(round2(gross * pct_factor(disc_pct)), F.lit(0))
     fixed = F.coalesce(disc_amt, F.lit(0))
     net_unsigned = gross - pct_disc - fixed
@@ -114,7 +114,7 @@ def supplier_line(ptype: Column, qty: Column, ppu: Column, disc_pct: Column,
 
 def subcontractor_line(ptype: Column, qty: Column, ppu: Column, vat_rate: Column) -> dict[str, Column]:
     """Subcontractor line: not rounded; anything but type 0 counts as a credit."""
-    gross = qty * ppu
+    gross = product(qty, ppu)
     vat = gross * pct_factor(vat_rate)
     credit = ~(F.coalesce(ptype == 0, F.lit(False)))
     return {

@@ -16,11 +16,6 @@ def string_agg(col_name: str, sep: str = ", ") -> Column:
     return F.expr(f"listagg(`{col_name}`, '{s}') WITHIN GROUP (ORDER BY `{col_name}`)")
 
 
-def sum_or_zero(c: Column) -> Column:
-    """``COALESCE(SUM(c), 0)``: a group of NULLs (or an empty left join) is 0."""
-    return F.coalesce(F.sum(c), F.lit(0))
-
-
 def sum_coalesced(c: Column) -> Column:
     """``SUM(COALESCE(c, 0))``."""
     return F.sum(F.coalesce(c, F.lit(0)))

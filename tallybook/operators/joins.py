@@ -71,8 +71,10 @@ def attach_group_total(df: DataFrame, key: str, value: Column | str, name: str,
     """Each row plus the total of ``value`` over its ``key`` group.
 
     Written as group-then-join rather than a window: the sum is partially
-    aggregated before the shuffle and the join can be split on a hot key,
-    whereas a window would pull a whole hot group into one task. Rows whose
+    aggregated before the shuffle, whereas a window would pull a whole hot
+    group into one task, sorted. (Adaptive execution doesn't split this join,
+    as its right side is an aggregate: write the totals first if one key holds
+    a large part of the rows.) Rows whose
     key is NULL get a NULL total (an inner join in the source drops them).
     """
     v = F.col(value) if isinstance(value, str) else value

@@ -77,7 +77,7 @@ def lift(spark: SparkSession, root: str) -> InvoiceModel:
         F.col("l_quantity").cast("decimal(9,2)").alias("qty"),
         F.when(ln.isin(6, 7), F.lit(0.0)).otherwise(F.col("l_extendedprice")).cast("decimal(12,2)").alias("price"),
         F.when(ln == 3, F.lit(5.00)).when(ln == 6, F.lit(25.00)).cast("decimal(12,2)").alias("discount_amount"),
-        F.when(ln.isin(2, 7), F.col("l_discount") * 100).cast("decimal(5,2)").alias("discount_percentage"),
+        F.when(ln.isin(2, 7), F.col("l_discount") * 100 + F.lit(0.3333)).cast("decimal(7,4)").alias("discount_percentage"),
         F.when(F.col("l_tax") > 0, F.round(F.col("l_tax") * 100).cast("int")).alias("tax_code_id"),
         F.col("l_partkey").alias("nominal_code_id"),
         F.concat(F.lit("part "), F.col("l_partkey").cast("string"), F.lit(" supplied by "),
@@ -99,13 +99,14 @@ def lift(spark: SparkSession, root: str) -> InvoiceModel:
     cg_lines = line.where(F.col("kind") == "C").select(
         F.col("line_uid").alias("unique_id"), "invoice_guid", "qty", "price", "discount_amount",
         "discount_percentage", "tax_code_id", "nominal_code_id", "details",
-        F.col("invoice_guid").alias("job_auto_id"), _null("string", "credited_invoice_line_guid"),
+        F.col("invoice_guid").alias("job_auto_id"), F.when(F.col("invoice_guid") % 10 == 9, F.col("line_uid")).alias("credited_invoice_line_guid"),
         "created_at")
 
-    tax_codes = (line.where(F.col("tax_code_id").isNotNull()).select("tax_code_id").distinct()
+    # code 3 is missing, so some lines name a tax code that isn't there
+    tax_codes = (line.where(F.col("tax_code_id").isNotNull() & (F.col("tax_code_id") != 3)).select("tax_code_id").distinct()
                  .select(F.col("tax_code_id").alias("unique_id"),
                          F.concat(F.lit("T"), F.col("tax_code_id").cast("string")).alias("code"),
-                         F.col("tax_code_id").cast("decimal(5,2)").alias("value"),
+                         (F.col("tax_code_id") + F.when(F.col("tax_code_id") % 4 == 1, F.lit(0.555)).otherwise(0.0)).cast("decimal(6,3)").alias("value"),
                          F.concat(F.lit("Rate "), F.col("tax_code_id").cast("string")).alias("description")))
     nominal_codes = part.where(F.col("p_partkey") % 7 != 0).select(
         F.col("p_partkey").alias("unique_id"), F.col("p_brand").alias("code"))

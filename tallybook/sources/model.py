@@ -7,11 +7,12 @@ are compared as given: normalise their case once when loading, not per join.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DecimalType, IntegralType, StringType
 
 # Table name -> columns the reports read. This is the whole input contract.
 SCHEMA: dict[str, tuple[str, ...]] = {
@@ -132,9 +133,18 @@ class InvoiceModel:
             missing = [c for c in SCHEMA[f.name] if c not in have]
             if missing:
                 raise ValueError(f"table {f.name} lacks columns {missing}")
+            for c in getattr(self, f.name).select(*SCHEMA[f.name]).schema.fields:
+                most = 6 if (f.name, c.name) == ("tax_codes", "value") else PLACES.get(c.name)
+                if most is not None and not (isinstance(c.dataType, DecimalType) and c.dataType.scale <= most or isinstance(c.dataType, IntegralType)):
+                    raise ValueError(f"{f.name}.{c.name} must be a decimal of at most {most} decimal places, not {c.dataType.simpleString()}")
         return self
 
 
+# Decimal places up to which the valuation rules are exact.
+PLACES = {"qty": 4, "quantity": 4, "price": 4, "price_per_unit": 4, "discount_amount": 4, "overridden_tax_amount": 4,
+          "amount": 4, "discount_percentage": 6}
+
+
 # Per table, the columns that hold GUID keys in the source
 # system (compared case-insensitively there). When stored as text they are
 # lower-cased once at load, so every join on them is a plain equi-join.
@@ -174,9 +184,18 @@ def from_parquet(spark: SparkSession, root: str, normalise_guids: bool = True) -
     Text GUID keys (:data:`GUID_COLUMNS`) are lower-cased unless
     ``normalise_guids`` is False; numeric ids are left as they are.
     """
+    return _model(lambda name: spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet"), normalise_guids)
+
+
+def from_catalog(spark: SparkSession, schema: str, normalise_guids: bool = True) -> InvoiceModel:
+    """The same from the tables ``<schema>.<table>`` of the session's catalog."""
+    return _model(lambda name: spark.table(f"{schema}.{name}"), normalise_guids)
+
+
+def _model(read: Callable[[str], DataFrame], normalise_guids: bool) -> InvoiceModel:
     tables = {}
     for name, cols in SCHEMA.items():
-        df = spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet").select(*cols)
+        df = read(name).select(*cols)
         if normalise_guids:
             text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
             guids = set(GUID_COLUMNS.get(name, ())) & text
@@ -189,11 +208,10 @@ def write_model(m: InvoiceModel, root: str, files_per_table: int | None = None)
     """Write every table of ``m`` to ``<root>/<table>.parquet``.
 
     ``root`` must be shared storage on a cluster (e.g. under the folder named
-    by ``spark.checkpoint.dir``). Each table is spread over
-    ``files_per_table`` files (default: the cluster's default parallelism) so
-    a later scan is split across tasks even when the source was one file.
+    by ``spark.checkpoint.dir``). A table is spread over
+    ``files_per_table`` files if that is given (small sources of one file);
+    otherwise its partitions are written as they are, without a shuffle.
     """
     for f in fields(m):
         df = getattr(m, f.name)
-        n = files_per_table or df.sparkSession.sparkContext.defaultParallelism
-        df.repartition(n).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{f.name}.parquet")
+        (df.repartition(files_per_table) if files_per_table else df).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{f.name}.parquet")

@@ -9,7 +9,8 @@ from tallybook.functions.dates import localise, uk_date
 from tallybook.functions.money import money_ratio, percent_round2, round2
 from tallybook.functions.text import (blank_fallback, labelled_percent, no_if_false, text_to_int,
                                       yes_if_true)
-from tallybook.functions.valuation import settlement_net, settlement_vat
+from tallybook.functions.valuation import (ledger_net, qty_times_price, settlement_net, settlement_vat,
+                                           subcontractor_line, supplier_line)
 
 
 def one(spark, col, ddl="x int", row=(1,)):
@@ -33,6 +34,22 @@ def test_money_ratio_truncates_at_four_places(spark):
     assert one(spark, money_ratio(dec("85.50"), dec(100))) == Decimal("0.8550")
 
 
+def test_quotients_of_large_and_of_fine_amounts(spark):
+    assert one(spark, money_ratio(dec("99999999999.99", "decimal(19,4)"), dec("99999999999.99", "decimal(19,4)"))) == Decimal("1.0000")
+    assert one(spark, percent_round2(dec("0.000149", "decimal(18,6)"), dec("0.000199", "decimal(18,6)"))) == Decimal("74.87")
+
+
+def test_percentages_and_rates_keep_their_decimals(spark):
+    # 33.3333 % off 30,000.00; a rate of 17.555 on 30,000.00
+    one_, price, pct, none = dec(1), dec(30000), dec("33.3333", "decimal(9,4)"), F.lit(None).cast("decimal(12,2)")
+    assert one(spark, settlement_net(one_, price, none, pct)) == Decimal("20000.01")
+    assert one(spark, ledger_net(qty_times_price(one_, price), none, pct)) == Decimal("20000.01")
+    assert one(spark, supplier_line(F.lit(0), one_, price, pct, none, none, none)["net"]) == Decimal("20000.01")
+    rate = dec("17.555", "decimal(6,3)")
+    assert one(spark, settlement_vat(one_, price, none, none, rate)) == Decimal("5266.50")
+    assert one(spark, subcontractor_line(F.lit(0), one_, price, rate)["vat"]) == Decimal("5266.50")
+
+
 def test_percent_round2_is_exact_half_away(spark):
     assert one(spark, percent_round2(dec(1), dec(8))) == Decimal("12.50")
     assert one(spark, percent_round2(dec(1), dec(800))) == Decimal("0.13")

@@ -1,10 +1,13 @@
 """Physical-plan checks on the report queries (sf0.001 tables)."""
 
+from dataclasses import fields, replace
+
 import pytest
+from pyspark.sql import functions as F
 
 from checks.catalog import SPARK
 from tallybook.sources.lift import lift
-from tallybook.sources.model import from_parquet, write_model
+from tallybook.sources.model import from_catalog, from_parquet, write_model
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ["BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython", "PythonUDF"]
@@ -23,12 +26,29 @@ def test_no_nested_loop_cartesian_or_python(lifted, key):
         assert bad not in plan, f"{key}: {bad} in plan"
 
 
-def test_grouping_never_shuffles_raw_lines_twice(lifted):
-    # the invoice grouping reads each line table once and aggregates it before
-    # its first shuffle: no sort-merge join has a line table on either side
-    from tallybook.plans import ledger
-    plan = ledger.invoice_grouping(lifted, "inner")._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Window") <= 2
+def test_sales_export_scans_each_line_table_at_most_twice(spark, tmp_path):
+    from tallybook.plans import sales
+    root = str(tmp_path / "model")
+    write_model(lift(spark, SF), root, files_per_table=2)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # keep file names in the plan text
+    plan = sales.sales_export(from_parquet(spark, root))._jdf.queryExecution().executedPlan().toString()
+    for name in ("invdets", "ppm_lines", "cg_lines"):
+        assert 1 <= plan.count(f"/{name}.parquet") <= 3, name
+
+
+def test_amounts_must_be_decimals(spark, tmp_path):
+    m = lift(spark, SF)
+    for wrong in (F.col("price").cast("double"), F.col("price").cast("decimal(19,6)")):
+        with pytest.raises(ValueError, match="invdets.price"):
+            replace(m, invdets=m.invdets.withColumn("price", wrong)).check()
+
+
+def test_reading_by_catalog_name(spark):
+    m = lift(spark, SF)
+    for f in fields(m):
+        getattr(m, f.name).limit(5).createOrReplaceGlobalTempView(f.name)
+    got = from_catalog(spark, "global_temp")
+    assert got.customer.count() == 5 and got.check() is got
 
 
 def test_filters_and_columns_reach_the_scan(spark, tmp_path):
