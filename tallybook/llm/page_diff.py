@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import ranked, staged
+from tallybook.llm.common import ranked
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
                    r"|<(script|style|noscript|template|textarea|title|iframe|svg|math|select|button|object|noframes|xmp)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?</\1\s*>"
@@ -161,12 +161,14 @@ def extract(pages: DataFrame) -> DataFrame:
                                        pa.array([x for x, _ in got], pa.list_(pa.string())), pa.array([s for _, s in got], pa.bool_())], ["page_id", "url", "host", "path", "lines", "sure"])
     rows = ranked(pages.select("page_id", "url", "html").mapInArrow(parse, f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, host string, path string, lines array<string>, sure boolean"),
                   [F.col(c) for c in ("host", "path", "page_id", "url")], "pages")
-    rows = staged(rows, "ranked")
     near = rows.select("rank", "host", "path", "lines")
 
     def beside(step, name):
         return near.select((F.col("rank") + step).alias("rank"), F.struct("host", "path", "lines").alias(name))
-    sure, open_ = rows.where("sure").select("page_id", "url", "lines"), rows.where("not sure").join(beside(1, "before"), "rank", "left").join(beside(-1, "after"), "rank", "left")
+    sure, open_ = rows.where("sure").select("page_id", "url", "lines"), rows.where("not sure")
+    if open_.isEmpty():  # nothing to align, so no lines to shuffle
+        return _texts(sure)
+    open_ = open_.join(beside(1, "before"), "rank", "left").join(beside(-1, "after"), "rank", "left")
 
     def align(batches):
         for b in batches:
@@ -178,6 +180,9 @@ def extract(pages: DataFrame) -> DataFrame:
                         best, long = x["lines"], n
                 out.append(own_lines(lines, best))
             yield pa.record_batch([b.column("page_id"), b.column("url"), pa.array(out, pa.list_(pa.string()))], ["page_id", "url", "lines"])
-    kept = sure.unionByName(open_.select("page_id", "url", "host", "path", "lines", "before", "after").mapInArrow(align, sure.schema))
+    return _texts(sure.unionByName(open_.select("page_id", "url", "host", "path", "lines", "before", "after").mapInArrow(align, sure.schema)))
+
+
+def _texts(pages: DataFrame) -> DataFrame:
     text = F.array_join("lines", " ")
-    return kept.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
+    return pages.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
