@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallybook.functions.text import labelled_percent, no_if_false, text_to_int, yes_if_true
 from tallybook.operators.aggregates import string_agg
 from tallybook.operators.joins import explode_id_list
-from tallybook.plans.ledger import invoice_totals
+from tallybook.plans.ledger import invoice_combined
 from tallybook.plans.settlement import payment_status
 from tallybook.sources.model import InvoiceModel
 
@@ -19,7 +19,8 @@ def receivable_rows(m: InvoiceModel) -> DataFrame:
     rows: (customer_auto_id, type_of_invoice, outstanding). An invoice paid
     from two sources appears twice; drafts and credit notes have no
     settlement row and add NULL."""
-    sit = invoice_totals(m, "inner").select("customer_auto_id", "unique_id", "type_of_invoice")
+    # the credited invoice that the totals (B18) add isn't needed here
+    sit = invoice_combined(m, "inner").select("customer_auto_id", "unique_id", "type_of_invoice")
     ips = payment_status(m).select(
         F.col("invoice_guid"), (F.col("invoice_total_inc_credits") - F.col("paid")).alias("outstanding"))
     return (sit.join(ips, sit["unique_id"] == ips["invoice_guid"], "left")

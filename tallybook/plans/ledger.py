@@ -149,23 +149,47 @@ def ledger_values(m: InvoiceModel, how: str) -> DataFrame:
 def invoice_nets(m: InvoiceModel, how: str) -> DataFrame:
     """Summed line net per base invoice id over all its context rows (the
     total an invoice-wide percentage applies to). Built from the per-invoice
-    partial sums, so it costs a narrow pre-aggregated scan of the lines, not a
-    second pass over the enriched line rows."""
+    partial sums and the header ids alone: a narrow pre-aggregated scan of the
+    lines, without the look-ups of the context and a second pass over the
+    enriched line rows."""
     keys = ["type_of_invoice", "line_key"]
-    return (invoice_context(m, how).where(F.col("invoice_guid").isNotNull())
+    return (invoice_ids(m, how)
             .join(line_partials(m).select(*keys, "p_net"), keys, "left")
-            .groupBy("invoice_guid").agg(F.sum("p_net").alias("invoice_net")))
+            .groupBy(F.col("line_key").alias("invoice_guid")).agg(F.sum("p_net").alias("invoice_net")))
+
+
+def invoice_ids(m: InvoiceModel, how: str) -> DataFrame:
+    """(type_of_invoice, line_key) of each row of the context that has a base header."""
+    s = m.invoice.select(F.lit("S").alias("type_of_invoice"), F.col("unique_id").alias("line_key"), "job_auto_id")
+    if _check_how(how) == "inner":
+        s = s.join(m.job.select(F.col("auto_id").alias("j_auto")), F.col("job_auto_id") == F.col("j_auto"), "left_semi")
+    p = m.ppm_invoices.select(F.lit("P").alias("type_of_invoice"), F.col("unique_id").alias("line_key"))
+    c = m.cg_invoice.select(F.lit("C").alias("type_of_invoice"), F.col("unique_id").alias("line_key"))
+    heads = s.drop("job_auto_id").unionByName(p).unionByName(c)
+    return heads.join(m.base_invoice.select(F.col("unique_id").alias("line_key")), "line_key", "left_semi")
 
 
 def with_global_discount(m: InvoiceModel, how: str) -> DataFrame:
     """Amount of each invoice-wide percentage line (kind 2): the invoice's
     summed net times the percentage entered on the line. Other lines: NULL."""
-    df = ledger_values(m, how).join(invoice_nets(m, how), "invoice_guid", "left")
+    df = with_invoice_net(ledger_values(m, how), invoice_nets(m, how))
     amt = F.when(F.col("discount_line") == 2,
                  invoice_wide_discount(F.col("invoice_net"), F.col("discount_percentage")))
     return df.select("*", amt.alias("global_line_value"))
 
 
+def with_invoice_net(lines: DataFrame, nets: DataFrame) -> DataFrame:
+    """``lines`` with ``invoice_net`` beside those of kind 2, the only ones that
+    need it. The others have no key and are dealt out by their line id, so an
+    invoice with very many lines doesn't meet in one task."""
+    is2 = F.coalesce(F.col("discount_line") == 2, F.lit(False))
+    nets = nets.select(F.col("invoice_guid").alias("_net_guid"), F.lit(0).cast("long").alias("_net_spread"), "invoice_net")
+    keyed = lines.select("*", F.when(is2, F.col("invoice_guid")).alias("_guid"),
+                         F.when(is2, F.lit(0).cast("long")).otherwise(F.xxhash64("line_unique_id")).alias("_spread"))
+    return (keyed.join(nets, (F.col("_guid") == F.col("_net_guid")) & (F.col("_spread") == F.col("_net_spread")), "left")
+            .drop("_guid", "_spread", "_net_guid", "_net_spread"))
+
+
 def _rounded(c: Column) -> Column:
     return money(round2(c))
 

@@ -10,9 +10,10 @@ Stages (all lazy DataFrames):
     payments_by_source -> payment_status (B9, from invoice_with_credits)
 
 ``invoice_gross`` does not join raw lines to headers: it sums every line per
-(source, invoice) first (partial aggregation before the shuffle) and then
-joins those per-invoice sums to the headers. Signs come from the header's
-credit flag, which is one value per invoice, so ``sum(-x) = -sum(x)`` applies.
+invoice first, standard lines beside the others (partial aggregation before
+the shuffle), and joins those sums and the "has a job" flag to one scan of the
+headers. Signs come from the header's credit flag, which is one value per
+invoice, so ``sum(-x) = -sum(x)`` applies.
 """
 
 from __future__ import annotations
@@ -47,6 +48,11 @@ def tagged_lines(m: InvoiceModel) -> DataFrame:
     return s.unionByName(p).unionByName(c).join(tax, "tax_code_id", "left").drop("tax_code_id")
 
 
+def _invoices_with_job(m: InvoiceModel) -> DataFrame:
+    return (m.invoice.join(m.job.select(F.col("auto_id").alias("job_auto_id")), "job_auto_id")
+            .select(F.col("unique_id").alias("invoice_guid")))
+
+
 def _eligible_invoices(m: InvoiceModel) -> DataFrame:
     """(source, invoice_guid, credit) of every invoice whose lines are settled.
 
@@ -56,9 +62,7 @@ def _eligible_invoices(m: InvoiceModel) -> DataFrame:
     """
     ed = non_draft_headers(m).select(F.col("unique_id").alias("invoice_guid"),
                                      F.col("credit_note").alias("credit"))
-    with_job = (m.invoice.join(m.job.select(F.col("auto_id").alias("job_auto_id")), "job_auto_id")
-                .select(F.col("unique_id").alias("invoice_guid")))
-    s = ed.join(with_job, "invoice_guid").select(F.lit("S").alias("source"), "invoice_guid", "credit")
+    s = ed.join(_invoices_with_job(m), "invoice_guid").select(F.lit("S").alias("source"), "invoice_guid", "credit")
     p = ed.select(F.lit("P").alias("source"), "invoice_guid", "credit")
     c = ed.select(F.lit("C").alias("source"), "invoice_guid", "credit")
     return s.unionByName(p).unionByName(c)
@@ -98,21 +102,21 @@ def invoice_gross(m: InvoiceModel) -> DataFrame:
     """
     # both parts of a line's gross are rounded to 2 dp, so the partial sums
     # run on integer cents (long arithmetic; an overflow raises under ANSI)
-    cents = (round2(F.col("line_value") + F.col("vat_value")) * F.lit(100)).cast("bigint")
-    per_source = (_rule1(tagged_lines(m))
-                  .groupBy("source", "invoice_guid")
-                  .agg(F.sum(F.coalesce(cents, F.lit(0))).alias("gross_cents"))
-                  .select("source", "invoice_guid",
-                          (F.col("gross_cents").cast("decimal(20,0)") * F.lit(Decimal("0.01")))
-                          .cast("decimal(22,2)").alias("gross")))
-    per_invoice = (per_source.join(_eligible_invoices(m), ["source", "invoice_guid"])
-                   .groupBy("invoice_guid", "credit")
-                   .agg(F.sum("gross").alias("gross"))
-                   .select(F.col("invoice_guid").alias("unique_id"),
-                           signed_by_credit(F.col("credit"), F.col("gross")).alias("gross")))
-    return (non_draft_headers(m).join(per_invoice, "unique_id", "left")
+    cents = F.coalesce((round2(F.col("line_value") + F.col("vat_value")) * F.lit(100)).cast("bigint"), F.lit(0))
+    standard = F.col("source") == "S"
+    per_invoice = (_rule1(tagged_lines(m)).where(F.col("invoice_guid").isNotNull())
+                   .groupBy(F.col("invoice_guid").alias("unique_id"))
+                   .agg(F.sum(F.when(standard, cents)).alias("standard_cents"),
+                        F.sum(F.when(~standard, cents)).alias("other_cents")))
+    # the lines of a standard invoice count only if it has a job
+    job = _invoices_with_job(m).select(F.col("invoice_guid").alias("unique_id"), F.lit(True).alias("has_job"))
+    counted = (F.coalesce(F.col("other_cents"), F.lit(0))
+               + F.when(F.col("has_job"), F.coalesce(F.col("standard_cents"), F.lit(0))).otherwise(F.lit(0)))
+    gross = (counted.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast("decimal(22,2)")
+    return (non_draft_headers(m).join(per_invoice, "unique_id", "left").join(job, "unique_id", "left")
             .select("unique_id", F.col("id").alias("invoice_number"), "credited_invoice_guid",
-                    F.coalesce(F.col("gross"), F.lit(0)).alias("total_including_vat"), "credit_note"))
+                    F.coalesce(signed_by_credit(F.col("credit_note"), gross), F.lit(0)).alias("total_including_vat"),
+                    "credit_note"))
 
 
 def payments_by_source(m: InvoiceModel) -> DataFrame:
