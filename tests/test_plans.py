@@ -36,6 +36,15 @@ def test_sales_export_scans_each_line_table_at_most_twice(spark, tmp_path):
         assert 1 <= plan.count(f"/{name}.parquet") <= 3, name
 
 
+def test_customer_report_scans_the_headers_at_most_three_times(spark, tmp_path):
+    from tallybook.plans import customers
+    root = str(tmp_path / "model")
+    write_model(lift(spark, SF), root, files_per_table=2)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # keep file names in the plan text
+    plan = customers.customers_report(from_parquet(spark, root))._jdf.queryExecution().executedPlan().toString()
+    assert 1 <= plan.count("/base_invoice.parquet") <= 3
+
+
 def test_amounts_must_be_decimals(spark, tmp_path):
     m = lift(spark, SF)
     for wrong in (F.col("price").cast("double"), F.col("price").cast("decimal(19,6)")):
