@@ -58,9 +58,9 @@ class PieceIds(dict):
 
     def __missing__(self, word: str) -> bytes:
         if (ids := self.old.get(word)) is None:
-            if word.isascii():
+            if word.isascii() and word.isprintable():
                 found = self.model.tokenize(word)
-            else:  # the pre-tokenizer writes each byte as a character
+            else:  # the pre-tokenizer writes each byte as a character, control characters as others
                 found = [t for w, _ in self.pre_tokenizer.pre_tokenize_str(word) for t in self.model.tokenize(w)]
             ids = b"".join([self.one(t.id) for t in found])
         if len(word) <= CACHE_CHARS:

@@ -217,6 +217,15 @@ def test_word_ids_are_the_tokenizers():
         assert list(np.frombuffer(own.encode(text), own.kind)) == t.encode(text, add_special_tokens=False).ids, text
 
 
+def test_word_ids_of_control_characters_are_the_tokenizers():
+    t = Tokenizer.from_file(WORDS)
+    own, r = rans.PieceIds(WORDS), random.Random(7)
+    low = "".join(map(chr, range(256)))
+    texts = ["colour\x08 red\x7f", "esc\x1b[31m red\x1b[0m", *low, *(f"a{c}b" for c in low), *("".join(r.choices(low, k=r.randint(2, 20))) for _ in range(3000))]
+    for text in texts:
+        assert list(np.frombuffer(own.encode(text), own.kind)) == t.encode(text, add_special_tokens=False).ids, text
+
+
 # ---- packing
 
 def test_boundaries_are_optimal():
