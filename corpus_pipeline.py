@@ -34,7 +34,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents in batches of their length buckets."""
-    return length_buckets.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return length_buckets.pack(docs, public_tokenizers.path("word_bpe_49k.json"), added=True)
 
 
 STAGES = [("language ID", language), ("quality classifier", quality), ("exact dedup", exact_dedup), ("MinHash near-dedup", near_dedup), ("packing", packing)]

@@ -50,20 +50,20 @@ def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int = BUCKETS)
     return out[::-1]
 
 
-def token_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
+def token_counts(docs: DataFrame, tokenizer: str, added: bool = False) -> DataFrame:
     """doc_id, n_tokens with the end id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = piece_ids(tokenizer)
+        ids = piece_ids(tokenizer, added)
         for b in batches:
             n = [len(ids.encode(t.as_py() or "")) // ids.kind.itemsize + 1 for t in b.column("text")]
             yield pa.record_batch([b.column("doc_id"), pa.array(n, pa.int64())], ["doc_id", "n_tokens"])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long")
 
 
-def pack(docs: DataFrame, tokenizer: str, max_length: int = MAX_LENGTH, buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, max_length: int = MAX_LENGTH, buckets: int = BUCKETS, budget: int = BUDGET, added: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, n_tokens, bucket (the padded length), batch, slot."""
     start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_tokens") - 1, F.lit(max_length).cast("long")))
-    pieces = token_counts(docs, tokenizer).select("doc_id", "n_tokens", start.alias("start")).select(
+    pieces = token_counts(docs, tokenizer, added).select("doc_id", "n_tokens", start.alias("start")).select(
         "doc_id", (F.col("start") / max_length).cast("int").alias("piece"), "start", F.least(F.col("n_tokens") - F.col("start"), F.lit(max_length).cast("long")).alias("n_tokens"))
     pieces = staged(pieces, "pieces")
     return batches_of(pieces, bounds_of(pieces, buckets), budget)

@@ -37,7 +37,7 @@ def op2_page_diff(spark, sf_dir):
 
 
 def op3_length_buckets(spark, sf_dir):
-    return length_buckets.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return length_buckets.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), added=True)
 
 
 def op4_threshold_topk(spark, sf_dir):
@@ -59,7 +59,7 @@ def op7_byte_bpe(spark, sf_dir):
 
 
 def op8_rans_blocks(spark, sf_dir):
-    return rans.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return rans.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), added=True)
 
 
 def op9_bloom_dedup(spark, sf_dir):

@@ -42,15 +42,18 @@ WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ſ]+|[0-9²³¹¼-
 # ---- tokens
 
 class PieceIds(dict):
-    """Pre-token -> ids as little-endian bytes, encoded on first use by the tokenizer's model."""
+    """Pre-token -> ids as little-endian bytes, encoded on first use by the tokenizer's model.
+    With ``added`` the file's special tokens are found in texts, as by the library's default; else their strings are ordinary text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        tokenizer.encode_special_tokens = not added
         self.tokenizer, self.model, self.pre_tokenizer = tokenizer, tokenizer.model, tokenizer.pre_tokenizer
-        self.known = json.dumps(SPLIT) in json.dumps(json.loads(tokenizer.to_str()))
+        found = [t for t in tokenizer.get_added_tokens_decoder().values() if added or not t.special]
+        self.added = [t.content for t in found]
+        self.known = json.dumps(SPLIT) in json.dumps(json.loads(tokenizer.to_str())) and not any(t.normalized for t in found)
         self.vocabulary = tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
         self.one = struct.Struct("<H" if self.kind.itemsize == 2 else "<I").pack
@@ -71,26 +74,26 @@ class PieceIds(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
-        """As the whole tokenizer would, special tokens' strings being ordinary text. Where a text has only plain
-        Latin characters, lower case is all that the normalizer does to its words and WORD finds the pre-tokens."""
-        if self.known and OTHER.search(text) is None:
+        """As the whole tokenizer would. Where a text has only plain Latin characters and no added token, lower case
+        is all that the normalizer does to its words and WORD finds the pre-tokens."""
+        if self.known and OTHER.search(text) is None and not any(a in text for a in self.added):
             return b"".join(map(self.__getitem__, WORD.findall(text.lower())))
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
 
-_CACHES: dict[str, PieceIds] = {}  # in each Python worker
+_CACHES: dict[tuple[str, bool], PieceIds] = {}  # in each Python worker
 
 
-def piece_ids(path: str) -> PieceIds:
-    if path not in _CACHES:
-        _CACHES[path] = PieceIds(path)
-    return _CACHES[path]
+def piece_ids(path: str, added: bool = False) -> PieceIds:
+    if (path, added) not in _CACHES:
+        _CACHES[path, added] = PieceIds(path, added)
+    return _CACHES[path, added]
 
 
-def tokenize(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
+def tokenize(docs: DataFrame, path: str, end_id: int = END_ID, added: bool = False) -> DataFrame:
     """doc_id and ids (little-endian bytes, the end id included) of each document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = piece_ids(path)
+        pieces = piece_ids(path, added)
         end = np.array([end_id], pieces.kind).tobytes()
         for b in batches:
             for at in range(0, b.num_rows, 1000):
@@ -101,10 +104,10 @@ def tokenize(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, ids binary")
 
 
-def count_ids(tokens: DataFrame, path: str) -> np.ndarray:
+def count_ids(tokens: DataFrame, path: str, added: bool = False) -> np.ndarray:
     """How often each id occurs. What reaches the driver is one row per id of the vocabulary."""
     def run(batches):
-        pieces = piece_ids(path)
+        pieces = piece_ids(path, added)
         n = np.zeros(pieces.vocabulary, np.int64)
         for b in batches:
             for ids in b.column(0):
@@ -114,7 +117,7 @@ def count_ids(tokens: DataFrame, path: str) -> np.ndarray:
         at = np.flatnonzero(n)
         yield pa.record_batch([pa.array(at, pa.int64()), pa.array(n[at], pa.int64())], ["id", "n"])
     got = tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(piece_ids(path).vocabulary, np.int64)
+    counts = np.zeros(piece_ids(path, added).vocabulary, np.int64)
     counts[got["id"].to_numpy(np.int64)] = got["n"].to_numpy(np.int64)
     return counts
 
@@ -214,16 +217,16 @@ def unpack(data: bytes, t: Table) -> tuple[list, list[np.ndarray]]:
 
 # ---- jobs
 
-def write(docs: DataFrame, tokenizer: str, out: str, block_tokens: int = BLOCK_TOKENS) -> np.ndarray:
+def write(docs: DataFrame, tokenizer: str, out: str, block_tokens: int = BLOCK_TOKENS, added: bool = False) -> np.ndarray:
     """Encode ``docs`` into files of blocks under ``out`` in ascending doc_id order; returns the counts that define the table."""
     spark = docs.sparkSession
-    tokens = staged(tokenize(docs, tokenizer), "tokens")
-    counts = count_ids(tokens, tokenizer)
+    tokens = staged(tokenize(docs, tokenizer, added=added), "tokens")
+    counts = count_ids(tokens, tokenizer, added)
     shared = spark.sparkContext.broadcast(counts)  # one number per id of the vocabulary
 
     def run(batches):
         t, part, block = Table(shared.value), TaskContext.get().partitionId(), 0
-        kind = piece_ids(tokenizer).kind
+        kind = piece_ids(tokenizer, added).kind
         ids, docs_, n = [], [], 0
 
         def flush():
@@ -270,6 +273,6 @@ def read(spark: SparkSession, path: str, counts: np.ndarray) -> DataFrame:
     return docs.join(places, ["part", "block"]).select("doc_id", (F.col("base") + F.col("off") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def round_trip(docs: DataFrame, tokenizer: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer: str, block_tokens: int = BLOCK_TOKENS, added: bool = False) -> DataFrame:
     out = scratch(docs.sparkSession, "rans")
-    return read(docs.sparkSession, out, write(docs, tokenizer, out, block_tokens))
+    return read(docs.sparkSession, out, write(docs, tokenizer, out, block_tokens, added))

@@ -226,6 +226,22 @@ def test_word_ids_of_control_characters_are_the_tokenizers():
         assert list(np.frombuffer(own.encode(text), own.kind)) == t.encode(text, add_special_tokens=False).ids, text
 
 
+def test_queries_find_added_tokens(spark, tmp_path):
+    import corpus_pipeline
+
+    t = Tokenizer.from_file(WORDS)
+    texts = ["a <|endoftext|> b", "x<|startoftext|>é<|endoftext|>", "<|ENDOFTEXT|> < |endoftext|>", "plain", "漢<|endoftext|>", "<|endoftext|>" * 3 + "\x1b"]
+    docs = docs_of(spark, list(enumerate(texts)))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    ids = [t.encode(x, add_special_tokens=False).ids + [1] for x in texts]
+    assert ids[0] == [320, 49407, 321, 1]
+    want = [(d, sum(map(len, ids[:d])), len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for d, x in enumerate(ids)]
+    got = queries.op8_rans_blocks(spark, str(tmp_path)).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    assert sorted(map(tuple, got)) == want
+    for packed in (queries.op3_length_buckets(spark, str(tmp_path)), corpus_pipeline.packing(spark, docs, str(tmp_path))):
+        assert sorted((r.doc_id, r.n_tokens) for r in packed.collect()) == [(d, len(x)) for d, x in enumerate(ids)]
+
+
 # ---- packing
 
 def test_boundaries_are_optimal():
