@@ -8,7 +8,8 @@
 * host prior: languages of the host's texts, smoothed towards those of its address suffix (the last label of the host
   name), smoothed towards those of the corpus. All of it comes from one grouped count.
 
-Languages are the at most ``LANGUAGES`` most declared ones; a further or null declaration is evidence of "other".
+Languages are all that are declared; a null declaration is evidence of "other". More than ``DENSE`` of them have a sparse text
+model, whose size goes with the distinct pairs of language and trigram; no table of languages by languages is made.
 A document is rejected if its text has no letters, if its best language has a probability below ``SURE``, or if its trigrams are less
 likely under that language than under none (each equally likely; with at least ``ENOUGH`` trigrams).
 
@@ -28,7 +29,9 @@ from pyspark.sql import functions as F
 
 from tallybook.llm.common import fresh, staged
 
-BUCKETS, LANGUAGES = 1 << 14, 64
+BUCKETS, DENSE = 1 << 14, 64
+#: Languages of which a counting task holds counts at a time, and cells (rows x languages) of a step of the verdicts.
+HELD, CELLS = 64, 1 << 19
 EFFECTIVE, ENOUGH = 60, 100
 SURE, HOST_WEIGHT, SMOOTH = 0.5, 20.0, 2000.0
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -62,92 +65,151 @@ def evidence(docs: DataFrame, text: Column, declared: Column, host: Column) -> t
     return docs.select("*", *[c.alias(names[k]) for k, c in (("text", text), ("declared", declared), ("host", host), ("suffix", suffix))]), names
 
 
-def text_model(docs: DataFrame, text: str, declared: str) -> tuple[list[str], np.ndarray]:
-    """Languages, and log P(trigram | language), counted over all documents; at most LANGUAGES x BUCKETS counts reach the driver."""
-    found = docs.where(F.col(declared).isNotNull()).groupBy(declared).count().orderBy(F.desc("count"), declared).limit(LANGUAGES).collect()
-    languages = sorted(r[0] for r in found)
+class TextModel:
+    """log P(trigram | language) from the counts ``n`` of (language ``l``, ``bucket``): a table, or for more than DENSE languages
+    what each counted pair adds to the smoothed corpus, in bucket order."""
+
+    def __init__(self, size: int, l: np.ndarray, bucket: np.ndarray, n: np.ndarray):
+        self.size, n = size, n.astype(np.float64)
+        every, total = np.bincount(bucket, n, BUCKETS), np.bincount(l, n, size)
+        corpus = (every + 0.1) / (n.sum() + 0.1 * BUCKETS)
+        self.table = None
+        if size <= DENSE:
+            counts = np.zeros((size, BUCKETS))
+            counts[l, bucket] = n
+            self.table = np.ascontiguousarray(np.log((counts + SMOOTH * corpus) / (total[:, None] + SMOOTH)).T)
+            return
+        order = np.argsort(bucket, kind="stable")
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=BUCKETS))])
+        self.l, self.more = l[order].astype(np.int32), np.log1p(n / (SMOOTH * corpus[bucket]))[order]
+        self.base, self.total = np.log(SMOOTH * corpus), np.log(total + SMOOTH)
+
+    def mean(self, x: np.ndarray) -> np.ndarray:
+        """Mean log likelihood of the trigrams ``x``, under each language."""
+        if self.table is not None:
+            return self.table[x].mean(0)
+        bucket, times = np.unique(x, return_counts=True)
+        first, many = self.first[bucket], self.first[bucket + 1] - self.first[bucket]
+        at = np.arange(many.sum()) + np.repeat(first - (np.cumsum(many) - many), many)
+        more = np.bincount(self.l[at], self.more[at] * np.repeat(times, many), self.size)
+        return (more + times @ self.base[bucket]) / len(x) - self.total
+
+
+def text_model(docs: DataFrame, text: str, declared: str) -> tuple[list[str], TextModel]:
+    """Languages, and the model of their texts, counted over all documents; a count for each language and trigram that meet reaches the driver."""
+    languages = sorted(r[0] for r in docs.where(F.col(declared).isNotNull()).select(declared).distinct().collect())
+    place = {k: i for i, k in enumerate(languages)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = {k: np.zeros(BUCKETS, np.int64) for k in languages}
+        held: dict[int, np.ndarray] = {}
+
+        def counted():
+            for i, n in held.items():
+                at = np.flatnonzero(n)
+                yield pa.record_batch([pa.array(np.full(len(at), i), pa.int32()), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())], ["l", "bucket", "n"])
+            held.clear()
         for b in batches:
             for language, t in zip(b.column(0).to_pylist(), b.column(1)):
-                if language in n:
-                    n[language] += np.bincount(trigrams(t.as_py()), minlength=BUCKETS)
-        for i, k in enumerate(languages):
-            at = np.flatnonzero(n[k])
-            yield pa.record_batch([pa.array(np.full(len(at), i), pa.int32()), pa.array(at, pa.int32()), pa.array(n[k][at], pa.int64())], ["l", "bucket", "n"])
+                if language is not None:
+                    i = place[language]
+                    if i not in held:
+                        if len(held) == HELD:
+                            yield from counted()
+                        held[i] = np.zeros(BUCKETS, np.int64)
+                    held[i] += np.bincount(trigrams(t.as_py()), minlength=BUCKETS)
+        yield from counted()
     counts = docs.select(declared, text).mapInArrow(run, "l int, bucket int, n long").groupBy("l", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    n = np.zeros((len(languages), BUCKETS))
-    n[counts["l"].to_numpy(), counts["bucket"].to_numpy()] = counts["n"].to_numpy()
-    corpus = (n.sum(0) + 0.1) / (n.sum() + 0.1 * BUCKETS)
-    return languages, np.log((n + SMOOTH * corpus) / (n.sum(1, keepdims=True) + SMOOTH))
+    return languages, TextModel(len(languages), *(counts[c].to_numpy(np.int64) for c in ("l", "bucket", "n")))
 
 
-def _likelihoods(docs: DataFrame, text: str, logs: np.ndarray) -> Column:
-    """struct: logs (text evidence per language, null without letters), mean (log likelihood of a trigram), n."""
-    shared = docs.sparkSession.sparkContext.broadcast(np.ascontiguousarray(logs.T))
+def _likelihoods(docs: DataFrame, text: str, model: TextModel) -> Column:
+    """struct: seen (the language likeliest by the text, null without letters), mean (log likelihood of a trigram, per language), n."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("logs array<double>, mean array<double>, n long")
+    @F.pandas_udf("seen int, mean array<double>, n long")
     def likelihoods(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             out = []
             for t in texts:
                 x = trigrams(t)
-                mean = shared.value[x].mean(0) if len(x) else None
-                out.append((mean * min(len(x), EFFECTIVE) if len(x) else None, mean, len(x)))
-            yield pd.DataFrame(out, columns=["logs", "mean", "n"])
+                mean = shared.value.mean(x) if len(x) else None
+                out.append((int(np.argmax(mean)) if len(x) else None, mean, len(x)))
+            yield pd.DataFrame({"seen": pd.array([o[0] for o in out], "Int32"), "mean": [o[1] for o in out], "n": [o[2] for o in out]})
     return likelihoods(text)
 
 
-def _best(scores: Column) -> Column:
-    return F.array_position(scores, F.array_max(scores)).cast("int") - 1
+def _smoothed(seen: np.ndarray | None, n: np.ndarray | None, towards: np.ndarray) -> np.ndarray:
+    """Shares of the languages, from the counts ``n`` of those ``seen``."""
+    p = towards * HOST_WEIGHT
+    if seen is None or not len(seen):
+        return towards
+    p[np.asarray(seen)] += n
+    return p / (np.sum(n) + HOST_WEIGHT)
 
 
 def identify(docs: DataFrame, text: Column, declared: Column, host: Column) -> tuple[DataFrame, str]:
     """``docs`` with a struct column (its name is returned too): language, probability, accepted."""
     rows, names = evidence(docs, text, declared, host)
-    languages, logs = text_model(rows, names["text"], names["declared"])
+    languages, model = text_model(rows, names["text"], names["declared"])
     got = fresh(rows, "_got")
     out = fresh(docs, "_language")
     if not languages:
         return docs.withColumn(out, F.struct(F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("probability"), F.lit(False).alias("accepted"))), out
-    size = len(languages)
-    rows = rows.withColumn(got, _likelihoods(rows, names["text"], logs))
-    known = F.when(F.col(names["declared"]).isin(languages), F.col(names["declared"]))
-    counts = staged(rows.select(F.col(names["host"]).alias("host"), F.col(names["suffix"]).alias("suffix"), known.alias("declared"), _best(F.col(got)["logs"]).alias("seen"))
+    size, place = len(languages), {k: i for i, k in enumerate(languages)}
+    rows = rows.withColumn(got, _likelihoods(rows, names["text"], model))
+    counts = staged(rows.select(F.col(names["host"]).alias("host"), F.col(names["suffix"]).alias("suffix"), F.col(names["declared"]).alias("declared"), F.col(got)["seen"].alias("seen"))
                     .where("seen is not null").groupBy("host", "suffix", "declared", "seen").count(), "languages")
 
-    # how languages are declared: at most (LANGUAGES + 1) x LANGUAGES numbers
-    table = np.full((size + 1, size), 0.5)
-    for r in counts.groupBy("declared", "seen").agg(F.sum("count").alias("n")).collect():
-        table[size if r[0] is None else languages.index(r[0]), r[1]] += r[2]
-    said = np.log(table / table.sum(0))
-    seen = table.sum(0) - 0.5 * (size + 1)
+    # how languages are declared: the pairs that occur, each other one counting 0.5
+    pairs = [(place.get(r[0], size), r[1], r[2]) for r in counts.groupBy("declared", "seen").agg(F.sum("count").alias("n")).collect()]
+    seen = np.bincount([s for _, s, _ in pairs], [n for _, _, n in pairs], size)
+    said: dict[int, list] = {}
+    for d, s, n in pairs:
+        said.setdefault(d, []).append((s, np.log((n + 0.5) / 0.5)))
+    unsaid = np.log(0.5 / (seen + 0.5 * (size + 1)))
     corpus = (seen + 1) / (seen.sum() + size)
 
-    def tally(key):
-        each = [F.sum(F.when(F.col("seen") == i, F.col("count")).otherwise(0)).cast("double") for i in range(size)]
-        return counts.groupBy(*key).agg(F.array(*each).alias("n"))
-
-    def smoothed(n, towards):
-        return F.zip_with(n, towards, lambda a, p: (a + p * HOST_WEIGHT) / (F.aggregate(n, F.lit(0.0), lambda s, v: s + v) + HOST_WEIGHT))
-    suffixes = tally(["suffix"]).select("suffix", smoothed(F.col("n"), F.lit(corpus.tolist())).alias("p"))
-    priors = staged(tally(["host", "suffix"]).join(suffixes, "suffix").select(F.col("host").alias(f"{got}h"), F.transform(smoothed(F.col("n"), F.col("p")), lambda p: F.log(p)).alias(f"{got}p")), "priors")
-
-    rows = rows.join(priors, F.col(names["host"]) == F.col(f"{got}h"), "left")
-    declared_as = F.lit(said[size].tolist())
-    for i in range(size):
-        declared_as = F.when(F.col(names["declared"]) == languages[i], F.lit(said[i].tolist())).otherwise(declared_as)
-    prior = F.coalesce(F.col(f"{got}p"), F.lit(np.log(corpus).tolist()))
-    total = F.zip_with(F.zip_with(F.col(got)["logs"], declared_as, lambda a, b: a + b), prior, lambda a, b: a + b)
-    rows = rows.withColumn(f"{got}t", total)
-    top = F.array_max(f"{got}t")
-    probability = 1 / F.aggregate(F.col(f"{got}t"), F.lit(0.0), lambda s, v: s + F.exp(v - top))
-    at = _best(F.col(f"{got}t"))
-    likely = (F.get(F.col(got)["mean"], at) >= float(-np.log(BUCKETS))) | (F.col(got)["n"] < ENOUGH)
-    accepted = F.coalesce((probability >= SURE) & likely, F.lit(False))
-    verdict = F.struct(F.get(F.lit(languages), at).alias("language"), F.coalesce(probability, F.lit(0.0)).alias("probability"), accepted.alias("accepted"))
-    return rows.select(*[rows[c] for c in docs.columns], verdict.alias(out)), out
+    def tally(*key):  # at most a number for each language
+        each = counts.groupBy(*key, "seen").agg(F.sum("count").alias("n"))
+        return each.groupBy(*key).agg(F.collect_list(F.struct("seen", F.col("n").cast("double").alias("n"))).alias("all"))
+    suffixes = tally("suffix").select("suffix", F.col("all").alias(f"{got}s"))
+    priors = staged(tally("host", "suffix").join(suffixes, "suffix").select(F.col("host").alias(f"{got}k"), F.col("all").alias(f"{got}h"), f"{got}s"), "priors")
+    rows = rows.join(priors, F.col(names["host"]) == F.col(f"{got}k"), "left")
+    shared = docs.sparkSession.sparkContext.broadcast((languages, place, said, unsaid, corpus))
+
+    @F.pandas_udf("language string, probability double, accepted boolean")
+    def verdicts(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        languages, place, said, unsaid, corpus = shared.value
+
+        def declaring(name):
+            p = unsaid.copy()
+            for s, v in said.get(place.get(name, size), ()):
+                p[s] += v
+            return p
+        for mean, n, declared, host, *lists in batches:
+            language, probability, accepted = np.full(len(n), None, object), np.zeros(len(n)), np.zeros(len(n), bool)
+            lettered = np.flatnonzero(mean.notna())
+            step = max(1, CELLS // size)
+            for k in range(0, len(lettered), step):
+                own = lettered[k:k + step]
+                m, many = np.stack([mean.iloc[i] for i in own]), n.to_numpy()[own]
+                declarations, hosts = {}, {}
+                for i in own:
+                    if declared.iloc[i] not in declarations:
+                        declarations[declared.iloc[i]] = declaring(declared.iloc[i])
+                    if host.iloc[i] not in hosts:
+                        hs, hn, ss, sn = (x.iloc[i] for x in lists)
+                        hosts[host.iloc[i]] = np.log(_smoothed(hs, hn, _smoothed(ss, sn, corpus)))
+                total = m * np.minimum(many, EFFECTIVE)[:, None]
+                total += np.stack([declarations[declared.iloc[i]] for i in own])
+                total += np.stack([hosts[host.iloc[i]] for i in own])
+                at = total.argmax(1)
+                sure = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
+                language[own], probability[own] = [languages[a] for a in at], sure
+                accepted[own] = (sure >= SURE) & ((m[np.arange(len(own)), at] >= -np.log(BUCKETS)) | (many < ENOUGH))
+            yield pd.DataFrame({"language": language, "probability": probability, "accepted": accepted})
+    verdict = verdicts(F.col(got)["mean"], F.col(got)["n"], names["declared"], names["host"], *[F.col(f"{got}{k}")[f] for k in "hs" for f in ("seen", "n")])
+    return rows.withColumn(out, verdict).select(*docs.columns, out), out
 
 
 def of_documents(docs: DataFrame) -> tuple[DataFrame, str]:

@@ -436,6 +436,29 @@ def test_language(spark):
     assert lang_fusion.accept(undeclared).count() == 0
 
 
+def test_every_declared_language_has_a_model(spark):
+    """90 languages of made-up words; the last 30 are declared least."""
+    r = random.Random(9)
+    words = {f"l{i:02}": ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)] for i in range(90)}
+    rows = [(100 * i + j, " ".join(r.choices(words[k], k=30)), k, f"h{i}.example") for i, k in enumerate(words) for j in range(8 if i < 60 else 5)]
+    rows += [(9000 + i, " ".join(r.choices(words[k], k=30)), None, "other.example") for i, k in enumerate(words)]
+    want = {d: k for d, _, k, _ in rows} | {9000 + i: k for i, k in enumerate(words)}
+    out, name = lang_fusion.of_documents(docs_of(spark, rows))
+    assert {r.doc_id: (r[name].language, r[name].accepted) for r in out.collect()} == {d: (k, True) for d, k in want.items()}
+
+
+def test_sparse_text_model_is_the_dense_one(monkeypatch):
+    r = np.random.default_rng(3)
+    l, bucket = np.divmod(r.choice(5 * lang_fusion.BUCKETS, 4000, replace=False), lang_fusion.BUCKETS)
+    n, texts = r.integers(1, 90, 4000), [r.integers(0, lang_fusion.BUCKETS, k) for k in (1, 7, 3000)] + [bucket[:50]]
+    dense = lang_fusion.TextModel(5, l, bucket, n)
+    monkeypatch.setattr(lang_fusion, "DENSE", 4)
+    sparse = lang_fusion.TextModel(5, l, bucket, n)
+    assert dense.table is not None and sparse.table is None
+    for x in texts:
+        assert sparse.mean(x) == pytest.approx(dense.mean(x), rel=1e-12)
+
+
 def test_language_of_pages(spark):
     rows, name = lang_fusion.of_pages(common.table(spark, SF, "pages"))
     rows = rows.select(F.col(name)["language"].alias("l"), lang_fusion.declared_in(F.col("html")).alias("d")).collect()
