@@ -1,11 +1,12 @@
 """Main text of web pages by differencing each with the page of nearest address.
 
 A page is cut into lines (its blocks of text) in page order. Markup that only ever holds furniture (scripts, menus, headers, footers,
-sidebars, forms, and elements whose class, id or role says advert, notice, comments and the like) gives no lines. If an article element
-is there, or else a main element, its lines are the text. The lines of a page that has neither are aligned with those
-of the nearest page: pages are sorted by path within each host, and of the two neighbours the one with the longer
+sidebars, forms, and elements whose class, id or role says advert, notice, comments and the like) gives no lines. The others are aligned
+with those of the nearest page: pages are sorted by path within each host, and of the two neighbours the one with the longer
 common beginning is taken (the earlier one on a tie). Lines of the longest common subsequence are shared by both pages, so they are
-furniture and go. A page all of whose lines are shared is a copy of its neighbour and keeps them.
+furniture and go, except in the main region: the article element with the most unshared text if that is at least half of all, or else
+what a main element holds outside of articles. Lines outside of a main element go too, unless the main region is an article there.
+A page all of whose lines are shared and that has no such region is a copy of its neighbour and keeps them.
 
 Places in the sorted order come from a range partition with offsets and neighbours from joins on them, so a host with
 most of the pages needs no group of its own. Null and empty pages give an empty text, null addresses the host "". Pages that
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 from urllib.parse import urlsplit
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,20 +60,18 @@ def _furniture(tag: str, attributes: str, inside: bool) -> bool:
     return False
 
 
-def lines_of(page: str) -> tuple[list[str], bool]:
-    """The lines that may be the main text, and whether the markup says that they are."""
-    lines: dict[str, list[str]] = {"article": [], "main": [], "page": []}
+def lines_of(page: str) -> tuple[list[str], list[int]]:
+    """The lines that may be the main text, and where each is: 2 x the number of its outermost article (0 if in none), + 1 in a main element."""
+    lines, places = [], []
     inside = {"article": 0, "main": 0}
-    seen, text, skip, depth, at = set(), [], "", 0, 0
+    articles, text, skip, depth, at = 0, [], "", 0, 0
 
     def end():
         line = WHITE.sub(" ", html.unescape("".join(text))).strip()
         text.clear()
         if line:
-            lines["page"].append(line)
-            for k, n in inside.items():
-                if n:
-                    lines[k].append(line)
+            lines.append(line)
+            places.append(2 * articles * bool(inside["article"]) + bool(inside["main"]))
     for m in TOKEN.finditer(page):
         if not skip:
             text.append(page[at:m.start()])
@@ -99,15 +99,12 @@ def lines_of(page: str) -> tuple[list[str], bool]:
                 end()
                 skip, depth = tag, 1
         elif tag in inside:
+            articles += tag == "article" and not inside[tag]
             inside[tag] += 1
-            seen.add(tag)
     if not skip:
         text.append(page[at:])
     end()
-    for k in ("article", "main"):
-        if lines[k]:
-            return lines[k], True
-    return lines["page"], False
+    return lines, places
 
 
 def shared(a: list[str], b: list[str]) -> list[bool]:
@@ -136,9 +133,27 @@ def shared(a: list[str], b: list[str]) -> list[bool]:
     return out
 
 
-def own_lines(a: list[str], b: list[str] | None) -> list[str]:
-    both = shared(a, b or [])
-    return a if all(both) else [x for x, s in zip(a, both) if not s]
+def own_lines(lines: list[str], places: list[int], both: list[bool]) -> list[str]:
+    """The text of a page from its lines, where they are and which are shared."""
+    if not lines:
+        return []
+    weight = [0 if s else len(x) for x, s in zip(lines, both)]
+    if not any(weight):  # a copy
+        weight = [len(x) for x in lines]
+    by_article: dict[int, int] = defaultdict(int)
+    for p, w in zip(places, weight):
+        by_article[p >> 1] += w
+    in_main = any(p & 1 for p in places)
+    largest = max((a for a in by_article if a), key=by_article.__getitem__, default=0)
+    outer = sum(w for p, w in zip(places, weight) if p & 1) if in_main else sum(weight)
+    if largest and 2 * by_article[largest] >= outer:
+        kept = [p >> 1 == largest for p in places]
+        if in_main and not any(k and p & 1 for k, p in zip(kept, places)):
+            in_main = False  # the main region is an article outside of it
+    else:
+        kept = [p == 1 for p in places]
+    out = [x for x, p, s, k in zip(lines, places, both, kept) if k or not s and (p & 1 or not in_main)]
+    return out or lines
 
 
 def _address(url: str | None) -> tuple[str, str]:
@@ -157,30 +172,30 @@ def extract(pages: DataFrame) -> DataFrame:
                 part = b.slice(at, 500)
                 got = [lines_of(h.as_py() or "") for h in part.column("html")]
                 hosts, paths = zip(*map(_address, part.column("url").to_pylist()))
+                keys = [[xxhash.xxh3_64_intdigest(x) - (1 << 63) for x in lines] for lines, _ in got]
                 yield pa.record_batch([part.column("page_id"), part.column("url"), pa.array(hosts, pa.string()), pa.array(paths, pa.string()),
-                                       pa.array([x for x, _ in got], pa.list_(pa.string())), pa.array([s for _, s in got], pa.bool_())], ["page_id", "url", "host", "path", "lines", "sure"])
-    rows = ranked(pages.select("page_id", "url", "html").mapInArrow(parse, f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, host string, path string, lines array<string>, sure boolean"),
+                                       pa.array([x for x, _ in got], pa.list_(pa.string())), pa.array([p for _, p in got], pa.list_(pa.int32())), pa.array(keys, pa.list_(pa.int64()))],
+                                      ["page_id", "url", "host", "path", "lines", "places", "keys"])
+    kind = pages.schema["page_id"].dataType.simpleString()
+    rows = ranked(pages.select("page_id", "url", "html").mapInArrow(parse, f"page_id {kind}, url string, host string, path string, lines array<string>, places array<int>, keys array<long>"),
                   [F.col(c) for c in ("host", "path", "page_id", "url")], "pages")
-    near = rows.select("rank", "host", "path", "lines")
+    near = rows.select("rank", "host", "path", "keys")  # hashes of the lines are enough to align them
 
     def beside(step, name):
-        return near.select((F.col("rank") + step).alias("rank"), F.struct("host", "path", "lines").alias(name))
-    sure, open_ = rows.where("sure").select("page_id", "url", "lines"), rows.where("not sure")
-    if open_.isEmpty():  # nothing to align, so no lines to shuffle
-        return _texts(sure)
-    open_ = open_.join(beside(1, "before"), "rank", "left").join(beside(-1, "after"), "rank", "left")
+        return near.select((F.col("rank") + step).alias("rank"), F.struct("host", "path", "keys").alias(name))
+    rows = rows.join(beside(1, "before"), "rank", "left").join(beside(-1, "after"), "rank", "left")
 
     def align(batches):
         for b in batches:
             out = []
-            for host, path, lines, before, after in zip(*(b.column(k).to_pylist() for k in ("host", "path", "lines", "before", "after"))):
-                best, long = None, -1
+            for host, path, lines, places, keys, before, after in zip(*(b.column(k).to_pylist() for k in ("host", "path", "lines", "places", "keys", "before", "after"))):
+                best, long = [], -1
                 for x in (before, after):
                     if x and x["host"] == host and (n := len(os.path.commonprefix([x["path"], path]))) > long:
-                        best, long = x["lines"], n
-                out.append(own_lines(lines, best))
+                        best, long = x["keys"], n
+                out.append(own_lines(lines, places, shared(keys, best)))
             yield pa.record_batch([b.column("page_id"), b.column("url"), pa.array(out, pa.list_(pa.string()))], ["page_id", "url", "lines"])
-    return _texts(sure.unionByName(open_.select("page_id", "url", "host", "path", "lines", "before", "after").mapInArrow(align, sure.schema)))
+    return _texts(rows.select("page_id", "url", "host", "path", "lines", "places", "keys", "before", "after").mapInArrow(align, f"page_id {kind}, url string, lines array<string>"))
 
 
 def _texts(pages: DataFrame) -> DataFrame:

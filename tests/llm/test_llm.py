@@ -346,6 +346,16 @@ def test_pages(spark):
     assert page_diff.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_differencing_decides_regions_of_pages(spark):
+    long = "a long line of the text itself that no other page has "
+    teaser = "<article><p>read this next</p></article>"
+    rows = [(1, "http://a.example/1", f"<main><p>{long}one</p>{teaser}</main>"), (2, "http://a.example/2", f"<main><p>{long}two</p>{teaser}</main>"),
+            (3, "http://b.example/1", f"<div>Home</div><div>{long}three</div>{teaser}"), (4, "http://b.example/2", f"<div>Home</div><div>{long}four</div>{teaser}"),
+            (5, "http://c.example/1", f"<div>Home</div><article><p>{long}five</p><p>as ever</p></article>{teaser}"), (6, "http://c.example/2", f"<div>Home</div><article><p>{long}six</p><p>as ever</p></article>{teaser}")]
+    got = {r.page_id: r.text for r in page_diff.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: f"{long}one", 2: f"{long}two", 3: f"{long}three", 4: f"{long}four", 5: f"{long}five as ever", 6: f"{long}six as ever"}
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     r = random.Random(6)
     for _ in range(200):
