@@ -425,7 +425,7 @@ def _ma_round_half_up(m):
 
 @query("ma_round_nested", """
 select il.unique_id, coalesce(round(round(il.quantity * il.price_per_unit, 2)
-       * cast(il.discount_percentage * 0.01 as decimal(7,4)), 2), 0) as pct_discount
+       * (il.discount_percentage * 0.01), 2), 0) as pct_discount
 from t_supplier_invoice_lines il""", ("pct_discount",))
 def _ma_round_nested(m):
     il = m.supplier_invoice_lines

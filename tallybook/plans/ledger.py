@@ -297,9 +297,10 @@ def invoice_grouping(m: InvoiceModel, how: str) -> DataFrame:
     z_acc = F.aggregate("pct_counts", F.lit(0).cast("decimal(38,4)"),
                         lambda acc, p: (acc + p["n"] * _rounded(
                             invoice_wide_discount(F.col("invoice_net"), p["pct"]))).cast("decimal(38,4)"))
-    g2_acc = F.aggregate("pct_counts", F.lit(0).cast("decimal(38,6)"),
-                         lambda acc, p: (acc + p["n"] * invoice_wide_discount(F.col("invoice_net"), p["pct"]))
-                         .cast("decimal(38,6)"))
+    # line count (12 digits) times amount (25, 10 of them decimal): exact, as is the sum with g1 below
+    g2_acc = F.aggregate("pct_counts", F.lit(0).cast("decimal(34,10)"),
+                         lambda acc, p: (acc + p["n"].cast("decimal(12,0)") * invoice_wide_discount(
+                             F.col("invoice_net"), p["pct"]).cast("decimal(25,10)")).cast("decimal(34,10)"))
     df = df.select("*", F.when(has_pct, z_acc).alias("z"), F.when(has_pct, g2_acc).alias("g2"))
 
     cr = F.col("credit")
