@@ -42,6 +42,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
+def apart(df: DataFrame) -> DataFrame:
+    """``df`` with columns of its own, so that it can meet frames that share its origin."""
+    return df.select(*[F.col(c).alias(c) for c in df.columns])
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
