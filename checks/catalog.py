@@ -9,7 +9,9 @@ decimal widths.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +28,8 @@ from tallybook.operators.aggregates import sum_coalesced
 from tallybook.operators.joins import attach_newest, explode_id_list, left_join_either_key
 from tallybook.plans import customers, ledger, purchase, sales, settlement
 from tallybook.sources.lift import lift
-from tallybook.sources.model import InvoiceModel
+from tallybook.sources.model import InvoiceModel, catalog_tables, publish
+from tallybook.sources.stages import StageStore
 
 CHAIN_CTES = (SETTLEMENT_CTES + ledger_ctes("ac") + ledger_ctes("se") + CUSTOMER_CTES + PURCHASE_CTES
               + SALES_CTES)
@@ -307,7 +310,7 @@ def _jn_fanout(m):
     r = sales.rounded_sales_lines(m).select("line_unique_id", "invdet_auto_id")
     co = m.cost.select(F.col("invoice_line_id").alias("invdet_auto_id"), F.col("cost_type_id").alias("cost_type"))
     qc = m.qcost.select(F.col("invoice_line_id").alias("invdet_auto_id"), F.col("cost_type_id").alias("qcost_type"))
-    return (r.join(sales.cost_pairs(co, qc), "invdet_auto_id", "left")
+    return (sales.lines_with_costs(r, co, qc, sales.no_line_id(m), "line_unique_id")
             .select("line_unique_id", "cost_type", "qcost_type"))
 
 
@@ -415,6 +418,27 @@ def _so_union_preagg(m):
     return settlement.payments_by_source(m)
 
 
+@query("sc_catalog_names", """
+select l.unique_id, l.net, l.vat, l.total_including_vat, po.po_number, nc.code as nominal_code
+from o_lines l left join t_purchase_order po on po.unique_id = l.purchase_order_id
+     left join t_supplier_invoice_lines il on il.unique_id = l.unique_id
+     left join t_nominal_codes nc on nc.unique_id = il.nominal_code_id""", ("net", "vat", "total_including_vat"))
+def _sc_catalog_names(m):
+    """The purchase lines' tables read by their three-part names, through the model and in SQL text."""
+    spark = m.control.sparkSession
+    schema = f"spark_catalog.tallybook_{uuid.uuid4().hex[:12]}"
+    names = ["supplier_invoice", "supplier_invoice_lines", "tax_codes", "nominal_codes", "purchase_order"]
+    publish(m, schema, names)
+    values = purchase.supplier_line_values(replace(m, **catalog_tables(spark, schema, names)))
+    codes = spark.sql(f"""
+        select il.unique_id, nc.code as nominal_code from {schema}.supplier_invoice_lines il
+        left join {schema}.nominal_codes nc on nc.unique_id = il.nominal_code_id""")
+    po = spark.table(f"{schema}.purchase_order").select(F.col("unique_id").alias("purchase_order_id"), "po_number")
+    return (values.join(po, "purchase_order_id", "left").join(codes, "unique_id", "left")
+            .select("unique_id", F.col("total_excluding_vat_including_discount").alias("net"), F.col("total_vat_amount").alias("vat"),
+                    "total_including_vat", "po_number", "nominal_code"))
+
+
 # --------------------------------------------------------------------------- #
 # math                                                                        #
 # --------------------------------------------------------------------------- #
@@ -696,7 +720,7 @@ def _rp_purchase(m):
 
 @query("rp_sales", SALES_SELECT)
 def _rp_sales(m):
-    return sales.sales_export(m)
+    return sales.sales_export(m, StageStore(m.invdets.sparkSession))
 
 
 def spark_query(key: str) -> Callable[[SparkSession, str], DataFrame]:

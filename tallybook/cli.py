@@ -18,6 +18,7 @@ from tallybook.plans.customers import customers_report
 from tallybook.plans.purchase import purchase_export
 from tallybook.plans.sales import sales_export
 from tallybook.sources.model import from_parquet
+from tallybook.sources.stages import StageStore
 
 REPORTS = {"customers": customers_report, "purchase": purchase_export, "sales": sales_export}
 
@@ -25,11 +26,12 @@ REPORTS = {"customers": customers_report, "purchase": purchase_export, "sales":
 def run(spark, model_root: str, out: str, reports: list[str], fmt: str = "parquet") -> list[str]:
     m = from_parquet(spark, model_root)
     written = []
-    for name in reports:
-        w = REPORTS[name](m).write.mode("overwrite")
-        path = f"{out.rstrip('/')}/{name}"
-        (w.option("header", True).csv(path) if fmt == "csv" else w.parquet(path))
-        written.append(path)
+    with StageStore(spark) as store:
+        for name in reports:
+            w = (sales_export(m, store) if name == "sales" else REPORTS[name](m)).write.mode("overwrite")
+            path = f"{out.rstrip('/')}/{name}"
+            (w.option("header", True).csv(path) if fmt == "csv" else w.parquet(path))
+            written.append(path)
     return written
 
 

@@ -245,6 +245,11 @@ def line_partials(m: InvoiceModel) -> DataFrame:
                    ledger_net(qtp, F.col("discount_amount"), F.col("discount_percentage")).alias("lv"))
     df = df.select("*", (F.col("qtp") - F.col("lv")).alias("dv"),
                    ledger_vat(F.col("lv"), F.col("vat_rate")).alias("vat"))
+    return partial_sums(df)
+
+
+def partial_sums(df: DataFrame) -> DataFrame:
+    """:func:`line_partials` of valued lines: type_of_invoice, line_key, discount_percentage, kind, qtp, lv, dv and vat of each."""
     is2 = F.coalesce(F.col("kind") == 2, F.lit(False))
     lv, dv, vat = F.col("lv"), F.col("dv"), F.col("vat")
     keys = ["type_of_invoice", "line_key"]
@@ -271,7 +276,7 @@ def line_partials(m: InvoiceModel) -> DataFrame:
                       _from_units4(F.col("g1")).alias("g1"))
 
 
-def invoice_grouping(m: InvoiceModel, how: str) -> DataFrame:
+def invoice_grouping(m: InvoiceModel, how: str, partials: DataFrame | None = None) -> DataFrame:
     """Per invoice, sums of per-line amounts rounded to 2 dp.
 
     Invoice-wide percentage lines reduce the net and the gross and add to the
@@ -283,9 +288,10 @@ def invoice_grouping(m: InvoiceModel, how: str) -> DataFrame:
     per-invoice context; the invoice net is a window sum over the (at most a
     few) context rows of one invoice id; the result is grouped on the 14
     context keys as the source does, so identical context rows merge.
+    ``partials`` may give the partial sums from a staged result.
     """
     keys = ["type_of_invoice", "line_key"]
-    df = invoice_context(m, how).join(line_partials(m), keys, "left")
+    df = invoice_context(m, how).join(line_partials(m) if partials is None else partials, keys, "left")
     guid = F.col("invoice_guid")
     # rows without an invoice id never meet an invoice total; they are spread
     # over the window's partitions by their own key instead of piling up
@@ -340,9 +346,9 @@ def total_discount_percent(value_no_discount: Column, discount: Column) -> Colum
     return (F.lit(100) - ratio * F.lit(100)).cast("double")
 
 
-def invoice_combined(m: InvoiceModel, how: str) -> DataFrame:
+def invoice_combined(m: InvoiceModel, how: str, partials: DataFrame | None = None) -> DataFrame:
     """Header columns beside the grouped sums (missing sums read 0)."""
-    g = invoice_grouping(m, how)
+    g = invoice_grouping(m, how, partials)
     hdr = m.base_invoice.select(*HEADER_COLS)
     df = hdr.join(g, hdr["unique_id"] == g["invoice_guid"], _check_how(how))
     z = F.lit(0)
@@ -363,10 +369,10 @@ def invoice_combined(m: InvoiceModel, how: str) -> DataFrame:
         F.coalesce(gsign, z).alias("global_discount"))
 
 
-def invoice_totals(m: InvoiceModel, how: str) -> DataFrame:
+def invoice_totals(m: InvoiceModel, how: str, partials: DataFrame | None = None) -> DataFrame:
     """Invoice totals with the credited invoice's id, number, draft flag
     and date, amounts rounded to 2 dp."""
-    i = invoice_combined(m, how)
+    i = invoice_combined(m, how, partials)
     ci = m.base_invoice.select(F.col("unique_id").alias("ci_uid"), F.col("auto_id").alias("credit_id"),
                                F.col("id").alias("credit_number"), F.col("is_draft").alias("credit_is_draft"),
                                F.col("date").alias("credit_date_raised"))
@@ -387,5 +393,5 @@ def invoice_totals(m: InvoiceModel, how: str) -> DataFrame:
 
 
 __all__ = ["invoice_context", "ledger_line_sources", "line_context", "coded_lines", "ledger_values",
-           "invoice_nets", "with_global_discount", "line_partials", "invoice_grouping", "invoice_combined",
+           "invoice_nets", "with_global_discount", "line_partials", "partial_sums", "invoice_grouping", "invoice_combined",
            "invoice_totals", "total_discount_percent", "GROUP_KEYS"]

@@ -7,13 +7,15 @@ are compared as given: normalise their case once when loading, not per join.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegralType, StringType
 
+from tallybook.session import checkpoint_dir
+
 # Table name -> columns the reports read. This is the whole input contract.
 SCHEMA: dict[str, tuple[str, ...]] = {
     "base_invoice": ("unique_id", "auto_id", "id", "credit_note", "credited_invoice_guid", "is_draft",
@@ -188,20 +190,37 @@ def from_parquet(spark: SparkSession, root: str, normalise_guids: bool = True) -
 
 
 def from_catalog(spark: SparkSession, schema: str, normalise_guids: bool = True) -> InvoiceModel:
-    """The same from the tables ``<schema>.<table>`` of the session's catalog."""
+    """The same from the tables ``<schema>.<table>`` of the session's catalogs; ``schema`` may have a catalog's name before it."""
     return _model(lambda name: spark.table(f"{schema}.{name}"), normalise_guids)
 
 
+def catalog_tables(spark: SparkSession, schema: str, names: Sequence[str], normalise_guids: bool = True) -> dict[str, DataFrame]:
+    """Only the tables ``names`` of a schema, as :func:`from_catalog` reads them: for ``dataclasses.replace`` on a model."""
+    return {name: _read(name, spark.table(f"{schema}.{name}"), normalise_guids) for name in names}
+
+
+def publish(m: InvoiceModel, schema: str, names: Sequence[str] | None = None) -> None:
+    """Write the model's tables (``names`` of them) as tables of ``schema``, which is made under the shared folder of
+    ``spark.checkpoint.dir`` if it isn't there. Tables of these names are replaced."""
+    spark = m.base_invoice.sparkSession
+    root = checkpoint_dir(spark).rstrip("/")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{root}/{schema.replace('.', '-')}.db'")
+    for name in names or SCHEMA:
+        getattr(m, name).write.mode("overwrite").saveAsTable(f"{schema}.{name}")
+
+
+def _read(name: str, df: DataFrame, normalise_guids: bool) -> DataFrame:
+    cols = SCHEMA[name]
+    df = df.select(*cols)
+    if normalise_guids:
+        text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+        guids = set(GUID_COLUMNS.get(name, ())) & text
+        df = df.select(*[F.lower(F.col(c)).alias(c) if c in guids else F.col(c) for c in cols])
+    return df
+
+
 def _model(read: Callable[[str], DataFrame], normalise_guids: bool) -> InvoiceModel:
-    tables = {}
-    for name, cols in SCHEMA.items():
-        df = read(name).select(*cols)
-        if normalise_guids:
-            text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
-            guids = set(GUID_COLUMNS.get(name, ())) & text
-            df = df.select(*[F.lower(F.col(c)).alias(c) if c in guids else F.col(c) for c in cols])
-        tables[name] = df
-    return InvoiceModel(**tables).check()
+    return InvoiceModel(**{name: _read(name, read(name), normalise_guids) for name in SCHEMA}).check()
 
 
 def write_model(m: InvoiceModel, root: str, files_per_table: int | None = None) -> None:

@@ -103,3 +103,16 @@ def test_localised_uk_date_across_daylight_saving(spark):
     assert got == ["02/07/2024", "01/01/2024"]
     win = [r[0] for r in df.select(uk_date(localise(F.col("ts"), F.lit("GMT Standard Time")))).collect()]
     assert win == got
+
+
+def test_every_windows_zone_is_known_and_other_names_are_counted(spark):
+    from tallybook.functions.dates import UNKNOWN_ZONE, WINDOWS_TO_IANA, iana_zone, localise, unknown_zones
+    ids = set(spark._jvm.java.time.ZoneId.getAvailableZoneIds().toArray())
+    assert len(WINDOWS_TO_IANA) > 130 and not set(WINDOWS_TO_IANA.values()) - ids
+    names = [*WINDOWS_TO_IANA, "gmt standard time ", "Europe/London", "+05:30", "Nowhere Standard Time", "Nowhere Standard Time", None]
+    df = spark.createDataFrame([(n,) for n in names], "timezone string").withColumn("ts", F.lit("2024-07-01 12:00:00").cast("timestamp_ntz"))
+    got = {r[0]: (r[1], r[2]) for r in df.select("timezone", iana_zone(F.col("timezone")), localise(F.col("ts"), F.col("timezone")).cast("string")).collect()}
+    assert all(got[n][0] == z for n, z in WINDOWS_TO_IANA.items()) and all(got[n][1] for n in WINDOWS_TO_IANA)
+    assert got["gmt standard time "] == ("Europe/London", "2024-07-01 13:00:00") and got["+05:30"][1] == "2024-07-01 17:30:00"
+    assert got["Nowhere Standard Time"] == (UNKNOWN_ZONE, "2024-07-01 12:00:00") and got[None] == (None, None)
+    assert [tuple(r) for r in unknown_zones(df).collect()] == [("Nowhere Standard Time", 2)]
