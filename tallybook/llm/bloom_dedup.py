@@ -3,6 +3,7 @@
 Pass 1 hashes every normalised text into ``HASHES`` cells and keeps, as a packed bit table, the cells
 that at least two rows fell into. Pass 2 tests each row: if any of its cells is not in the table its text
 occurs once and the row passes straight through. Only the others, possibly repeated, are grouped by SHA-256.
+More than ``RANGE_ROWS`` rows are dealt to ranges of the hash, each with both passes; equal texts are in one range.
 A wrongly suspected row is found to be alone in its group, so results are exact.
 
 Nulls count as the empty text, so empty and null texts are equal. Of equal texts the row with the smallest
@@ -12,14 +13,17 @@ the same decision in :func:`decide`; :func:`dedup` returns one of them. An empty
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm.common import fresh, staged
 
 HASHES = 2
-#: Cells for each row, and most cells: the packed table has at most MAX_CELLS / 64 rows (of 16 bytes), which bounds what is broadcast.
-CELLS_PER_ROW, MAX_CELLS = 32, 1 << 24
+#: Cells for each row, and rows of a hash range. Each range has a filter of its own, so that filters grow with the rows while what is
+#: broadcast at a time stays below 2 * CELLS_PER_ROW * RANGE_ROWS / 64 rows of 16 bytes (about 2.1 million).
+CELLS_PER_ROW, RANGE_ROWS = 32, 1 << 21
 
 
 def fingerprint(text: Column) -> Column:
@@ -32,11 +36,10 @@ def _cell(sha: str, i: int, cells: int) -> Column:
     return F.pmod(F.xxhash64(F.col(sha), F.lit(i)), F.lit(cells))
 
 
-def repeated_bits(prints: DataFrame, sha: str) -> tuple[DataFrame, int]:
-    """Pass 1: the cells that two or more rows fell into, 64 to a row (word, bits), and the number of cells."""
+def repeated_bits(prints: DataFrame, sha: str, n: int) -> tuple[DataFrame, int]:
+    """Pass 1 over about ``n`` rows: the cells that two or more rows fell into, 64 to a row (word, bits), and the number of cells."""
     cells = 1024
-    n = prints.count()
-    while cells < min(MAX_CELLS, CELLS_PER_ROW * n):
+    while cells < CELLS_PER_ROW * min(n, RANGE_ROWS):
         cells *= 2
     hit = (prints.select(F.explode(F.array(*[_cell(sha, i, cells) for i in range(HASHES)])).alias("cell"))
            .groupBy("cell").count().where("count >= 2"))
@@ -44,8 +47,17 @@ def repeated_bits(prints: DataFrame, sha: str) -> tuple[DataFrame, int]:
             .agg(F.expr("bit_or(shiftleft(1L, cast(cell & 63 as int)))").alias("bits"))), cells
 
 
+def _range(sha: str, ranges: int) -> Column:
+    """A hash range of the text, apart from the hashes of the cells."""
+    return F.pmod(F.xxhash64(F.col(sha), F.lit(-1)), F.lit(ranges)).cast("int")
+
+
+def _ranges(n: int) -> int:
+    return max(1, -(-n // RANGE_ROWS))
+
+
 def suspect(rows: DataFrame, sha: str, bits: DataFrame, cells: int, flag: str) -> DataFrame:
-    """Pass 2: ``rows`` with the flag whether all their cells are in the table (broadcast: at most MAX_CELLS / 64 rows)."""
+    """Pass 2: ``rows`` with the flag whether all their cells are in the table (broadcast, see RANGE_ROWS)."""
     cols, found = rows.columns, F.lit(True)
     for i in range(HASHES):
         b = bits.select(F.col("word").alias(f"{flag}w{i}"), F.col("bits").alias(f"{flag}b{i}"))
@@ -55,11 +67,22 @@ def suspect(rows: DataFrame, sha: str, bits: DataFrame, cells: int, flag: str) -
     return rows.select(*cols, found.alias(flag))
 
 
+def marked(rows: DataFrame, prints: DataFrame, sha: str, flag: str) -> DataFrame:
+    """``rows`` with the flag whether their text, of hash ``sha``, may be repeated among ``prints`` (staged hashes)."""
+    n = prints.count()
+    ranges, parts = _ranges(n), []
+    for r in range(ranges):
+        def own(df: DataFrame) -> DataFrame:
+            return df.where(_range(sha, ranges) == r) if ranges > 1 else df  # noqa: B023
+        bits, cells = repeated_bits(own(prints.select(sha)), sha, -(-n // ranges))
+        parts.append(suspect(own(rows), sha, staged(bits, "bits"), cells, flag))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def decide(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
     prints = staged(docs.select("doc_id", fingerprint(F.col("text")).alias("text_sha256")), "prints")
-    bits, cells = repeated_bits(prints, "text_sha256")
-    rows = suspect(prints, "text_sha256", staged(bits, "bits"), cells, "maybe")
+    rows = marked(prints, prints, "text_sha256", "maybe")
     once = rows.where(~F.col("maybe")).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     again = rows.where("maybe").drop("maybe")
@@ -74,8 +97,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     folded by a partial aggregation before they are shuffled."""
     sha, flag = fresh(docs, "_sha"), fresh(docs, "_maybe")
     prints = staged(docs.select(fingerprint(F.col("text")).alias(sha)), "prints")
-    bits, cells = repeated_bits(prints, sha)
-    rows = suspect(docs.withColumn(sha, fingerprint(F.col("text"))), sha, staged(bits, "bits"), cells, flag)
+    rows = marked(docs.withColumn(sha, fingerprint(F.col("text"))), prints, sha, flag)
     least = F.min_by(F.struct(*docs.columns), F.struct(F.col("doc_id").isNull(), F.col("doc_id")))
     again = rows.where(flag).groupBy(sha).agg(least.alias(flag)).select(f"{flag}.*")
     return rows.where(~F.col(flag)).select(*docs.columns).unionByName(again)

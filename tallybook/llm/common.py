@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,6 +48,23 @@ def apart(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).alias(c) for c in df.columns])
 
 
+class Kept(dict):
+    """A cache that makes missing values with ``make``; it keeps short keys only, ``most`` at a time. Python workers go on to
+    other stages, so tasks empty it at their end (:meth:`clear`)."""
+
+    def __init__(self, make: Callable, most: int = 100_000, longest: int = 64):
+        super().__init__()
+        self.make, self.most, self.longest = make, most, longest
+
+    def __missing__(self, key):
+        value = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = value
+        return value
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm import federated
-from tallybook.llm.common import staged
+from tallybook.llm.common import Kept
 
 PLACES = 1 << 20
 MAX_TRAIN, ROUNDS, PASSES, RATE, PENALTY, STRONG = 40_000, 4, 3, 0.5, 1.0, 4.0
@@ -40,20 +40,13 @@ IDENTITY_TERMS = (
 WORD, SENTENCE = re.compile(r"[^\W_]+"), re.compile(r"[^.!?\n]+")
 
 
-class _Features(dict):
-    """Word -> places of the word and of its beginnings."""
+def _parts(word: str) -> tuple[int, ...]:
+    """Places of the word and of its beginnings."""
+    parts = [f"={word}", *(word[:n] for n in (4, 5, 6, 7) if n <= len(word))]
+    return tuple(xxhash.xxh3_64_intdigest(p.encode()) % PLACES for p in parts)
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) > 300_000:
-            self.clear()
-        parts = [f"={word}", *(word[:n] for n in (4, 5, 6, 7) if n <= len(word))]
-        places = tuple(xxhash.xxh3_64_intdigest(p.encode()) % PLACES for p in parts)
-        if len(word) <= 64:
-            self[word] = places
-        return places
 
-
-_FEATURES = _Features()  # in each Python worker
+_FEATURES = Kept(_parts)
 
 
 def features(words: set[str]) -> np.ndarray:
@@ -127,19 +120,19 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic",
             both = [[packed(s) for pair in swaps(t or "", terms) for s in pair] for t in texts]
             yield pa.record_batch([pa.array([packed(words_of(t)) for t in texts], pa.binary()), pa.array(both, pa.list_(pa.binary())), batch.column("label"), batch.column("shard")],
                                   ["idx", "swaps", "label", "shard"])
+        _FEATURES.clear()
     rows = sample.select("text", F.col("_label").cast("double").alias("label"), F.pmod(F.xxhash64("doc_id"), F.lit(federated.SHARDS)).cast("int").alias("shard"))
-    rows = staged(rows.mapInArrow(run, kind), "toxicity")
+    rows = federated.dealt(rows.mapInArrow(run, kind))
     kept = rows.sparkSession.sparkContext.broadcast(strong(rows))
 
     def cut(x: bytes) -> bytes:
         x = np.frombuffer(x, np.int32)
         return x[kept.value[x]].tobytes()
 
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.record_batch([pa.array(map(cut, batch.column("idx").to_pylist()), pa.binary()), pa.array([list(map(cut, s)) for s in batch.column("swaps").to_pylist()], pa.list_(pa.binary())),
-                                   batch.column("label"), batch.column("shard")], ["idx", "swaps", "label", "shard"])
-    return federated.train(rows.mapInArrow(choose, kind), [np.zeros(PLACES, np.float32), np.zeros(1, np.float32)], partial(epoch, penalty=penalty), ROUNDS)
+    def chosen(part: pa.Table) -> pa.Table:
+        swapped = pa.array([list(map(cut, s)) for s in part.column("swaps").to_pylist()], pa.list_(pa.binary()))
+        return pa.table({"idx": pa.array(map(cut, part.column("idx").to_pylist()), pa.binary()), "swaps": swapped, "label": part.column("label")})
+    return federated.train(rows, [np.zeros(PLACES, np.float32), np.zeros(1, np.float32)], partial(epoch, penalty=penalty), ROUNDS, prepare=chosen)
 
 
 def score(docs: DataFrame, params: list[np.ndarray]) -> Column:
@@ -150,19 +143,14 @@ def score(docs: DataFrame, params: list[np.ndarray]) -> Column:
         w, b = shared.value
         heavy = np.flatnonzero(w)
         weight = dict(zip(heavy.tolist(), w[heavy].astype(np.float64).tolist()))
-        known: dict[str, tuple[int, ...]] = {}  # word -> its places that have a weight
+        known = Kept(lambda word: tuple(p for p in _parts(word) if p in weight))
 
         for texts in batches:
             out = []
             for t in texts:
                 places: set[int] = set()
                 for word in words_of(t):
-                    got = known.get(word)
-                    if got is None:
-                        if len(known) > 400_000:
-                            known.clear()
-                        got = known[word] = tuple(p for p in _FEATURES[word] if p in weight)
-                    places.update(got)
+                    places.update(known[word])
                 out.append(b[0] + sum(weight[p] for p in sorted(places)))
             yield pd.Series(1 / (1 + np.exp(-np.clip(np.array(out, np.float64), -500, 500))))
     return scored("text")

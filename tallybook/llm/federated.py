@@ -21,14 +21,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     labels = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & learn).groupBy("doc_id").agg(F.max(label).alias("_label"))
     n = labels.count()
     part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, most / max(1, n)))
-    labels = labels.where(part).withColumnRenamed("doc_id", "_labelled")
+    labels = F.broadcast(labels.where(part).withColumnRenamed("doc_id", "_labelled"))  # about ``most`` short rows, so no text is shuffled
     return docs.join(labels, docs["doc_id"] == labels["_labelled"]).drop("_labelled")
 
 
-def train(rows: DataFrame, params: list[np.ndarray], epoch: Callable, rounds: int, after: Callable = lambda p: p) -> list[np.ndarray]:
-    """``epoch(params, table, round)`` passes over a shard's rows (an Arrow table) and returns new parameters; ``rows`` has a column ``shard``."""
+def dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` by their column ``shard``, written for :func:`train`."""
+    return staged(rows.repartition(SHARDS, "shard").sortWithinPartitions("shard", F.xxhash64(*rows.columns)), "training")
+
+
+def train(rows: DataFrame, params: list[np.ndarray], epoch: Callable, rounds: int, after: Callable = lambda p: p, prepare: Callable = lambda t: t) -> list[np.ndarray]:
+    """``epoch(params, table, round)`` passes over a shard's rows (an Arrow table, from :func:`dealt` and through ``prepare``) and returns new parameters."""
     spark = rows.sparkSession
-    rows = staged(rows.repartition(SHARDS, "shard").sortWithinPartitions("shard", F.xxhash64(*rows.columns)), "training")
     if rows.isEmpty():
         return params
     shapes = [(p.shape, p.dtype) for p in params]
@@ -38,7 +42,7 @@ def train(rows: DataFrame, params: list[np.ndarray], epoch: Callable, rounds: in
         def run(batches):
             tables = [b for b in batches if b.num_rows]
             if tables:
-                got = epoch([p.copy() for p in shared.value], pa.Table.from_batches(tables), turn)
+                got = epoch([p.copy() for p in shared.value], prepare(pa.Table.from_batches(tables)), turn)
                 yield pa.record_batch([pa.array([sum(t.num_rows for t in tables)], pa.int64()), pa.array([b"".join(p.tobytes() for p in got)], pa.binary())], ["n", "params"])
         got = rows.coalesce(SHARDS).mapInArrow(run, "n long, params binary").collect()  # SHARDS rows
         sums = [np.zeros(s, np.float64) for s, _ in shapes]

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm import federated
+from tallybook.llm.common import Kept
 
 WORDS, FACTORS = 1 << 16, 8
 MAX_TRAIN, ROUNDS, RATE, DECAY = 24_000, 8, 0.15, 1e-6
@@ -32,17 +33,7 @@ for _k, _chars in enumerate((b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"#$%
     _KINDS[list(_chars), _k] = 1
 
 
-class _Places(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        place = xxhash.xxh3_64_intdigest(word) % WORDS
-        if len(word) <= 64:
-            self[word] = place
-        return place
-
-
-_PLACES = _Places()  # in each Python worker
+_PLACES = Kept(lambda word: xxhash.xxh3_64_intdigest(word) % WORDS)
 
 
 def features(text: str | None, declared: float | None) -> tuple[np.ndarray, np.ndarray]:
@@ -110,8 +101,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality
             got = [features(t, n) for t, n in zip(b.column("text").to_pylist(), b.column("n_chars").to_pylist())]
             yield pa.record_batch([pa.array([i.astype(np.int32).tobytes() for i, _ in got], pa.binary()), pa.array([x.tobytes() for _, x in got], pa.binary()), b.column("label"), b.column("shard")],
                                   ["idx", "val", "label", "shard"])
+        _PLACES.clear()
     rows = sample.select("text", F.col("n_chars").cast("double").alias("n_chars"), F.col("_label").cast("double").alias("label"), F.pmod(F.xxhash64("doc_id"), F.lit(federated.SHARDS)).cast("int").alias("shard"))
-    return federated.train(rows.mapInArrow(run, "idx binary, val binary, label double, shard int"), start_params(), epoch, ROUNDS)
+    return federated.train(federated.dealt(rows.mapInArrow(run, "idx binary, val binary, label double, shard int")), start_params(), epoch, ROUNDS)
 
 
 def score(docs: DataFrame, params: list[np.ndarray]) -> Column:
@@ -127,4 +119,5 @@ def score(docs: DataFrame, params: list[np.ndarray]) -> Column:
                 z, _ = machine(shared.value, np.concatenate([i for i, _ in got]), np.concatenate([x for _, x in got]), np.cumsum(sizes) - sizes)
                 out.append(1 / (1 + np.exp(-z.astype(np.float64))))
             yield pd.Series(np.concatenate(out) if out else np.zeros(0))
+        _PLACES.clear()
     return scored("text", F.col("n_chars").cast("double"))

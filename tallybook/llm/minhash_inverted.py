@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import fresh, staged
+from tallybook.llm.common import Kept, fresh, staged
 
 WIDTH, SHARE = 4, 80  # words in a shingle; percent of the union that linked sets have in common
 COORDINATES, MATCHES = 64, 34
@@ -42,17 +42,7 @@ _B = _RNG.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = h
-        return h
-
-
-_WORDS = _WordHashes()  # in each Python worker
+_WORDS = Kept(xxhash.xxh3_64_intdigest)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:

@@ -28,10 +28,10 @@ from tallybook.llm.common import partitions, scratch, staged
 
 END_ID = 1
 BITS, LOW = 20, np.uint64(1 << 31)
-LANES, STRIDE, BLOCK_TOKENS = 512, 256, 1 << 18
+LANES, STRIDE, BLOCK_TOKENS = 1024, 128, 1 << 18
 MAGIC, HEAD = b"RNS1", struct.Struct("<4sQIIIIII")
 #: Pre-tokens that a worker remembers the ids of, and the longest of them.
-CACHE_WORDS, CACHE_CHARS = 400_000, 64
+CACHE_WORDS, CACHE_CHARS = 100_000, 64
 #: Characters other than ASCII, Latin-1, Latin Extended-A and general punctuation.
 OTHER = re.compile("[^\x00-\x1b\x20-\x84\x86-\u017f\u2010-\u2027\u2030-\u205e]")
 #: The pattern of the word vocabulary's pre-tokenizer (fixed value), and its matches in lower-case texts without those others.

@@ -187,3 +187,29 @@ def test_zone_bounds_hold():
     least, most = zone_negatives.bounds(a, b.min(axis=0)[None], b.max(axis=0)[None])
     score = zone_negatives.products(a, b)
     assert (score >= least).all() and (score <= most).all()
+
+
+def test_bloom_filter_by_hash_ranges(spark, monkeypatch):
+    """With many ranges the decisions stay, and unique rows pass at any number of rows."""
+    from pyspark.sql import functions as F
+
+    from tallybook.llm import bloom_dedup
+
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 6 == 5, F.lit("same")).otherwise(F.concat(F.lit("text "), (F.col("id") - F.col("id") % 2).cast("string"))).alias("text"))
+    want = sorted(map(str, bloom_dedup.decide(docs).collect()))
+    kept = sorted(map(str, bloom_dedup.dedup(docs).collect()))
+    monkeypatch.setattr(bloom_dedup, "RANGE_ROWS", 1000)
+    assert sorted(map(str, bloom_dedup.decide(docs).collect())) == want and sorted(map(str, bloom_dedup.dedup(docs).collect())) == kept
+    unique = spark.range(6000).select(F.sha2(F.col("id").cast("string"), 256).alias("sha"))
+    assert bloom_dedup.marked(unique, unique, "sha", "maybe").where("maybe").count() < 0.05 * 6000
+
+
+def test_sampled_labels_shuffle_no_text(spark):
+    from pyspark.sql import functions as F
+
+    from tallybook.llm import federated
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    sample = federated.labelled_sample(docs, spark.read.parquet(f"{SF}/labels.parquet"), "toxic", F.lit(True), 1000)
+    plan = sample._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
