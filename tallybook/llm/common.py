@@ -31,14 +31,23 @@ def ship(spark: SparkSession) -> None:
 _SHIPPED: set[str] = set()
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, paths: list[str] | None = None) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back, so that later uses
-    see one and the same result and a lost executor costs no recomputation."""
+    see one and the same result and a lost executor costs no recomputation. ``paths`` gets the folder, for :func:`dropped`."""
     path = scratch(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
+    if paths is not None:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged folders that nothing reads any more."""
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 

@@ -1,19 +1,22 @@
 """Near-duplicates by an inverted join of MinHash signature coordinates.
 
-A document's set holds its distinct 4-word shingles (64-bit hashes). Documents with equal sets form one node.
-Each node has a signature of ``COORDINATES`` minima and is posted under its coordinate-value pairs. Pairs of nodes
-that agree in at least ``MATCHES`` coordinates are kept, and their similarity is confirmed on the full sets:
+A document's set holds its distinct shingles of ``width`` words (64-bit hashes). Documents with equal sets form one node.
+Each node has a signature of ``COORDINATES`` minima. Pairs of nodes that agree in at least ``MATCHES`` coordinates are kept, and their
+similarity is confirmed on the full sets. Two such nodes differ in at most COORDINATES - MATCHES = 30 coordinates, so of the 32 pairs of neighbouring
+coordinates they agree in at least COMMON = 2 whole ones. Nodes are therefore posted under the values of two coordinates at once, which
+makes lists of texts that are merely alike far shorter (a similarity of 0.4 agrees in 16 % of them):
 
-* values that only one node has are left out; a node left with fewer than MATCHES can have no partner;
-* prefix: of a node's c remaining lists, in ascending order of length, two nodes that agree in MATCHES of them share
-  one of the first c - MATCHES + 1, so only those are merged;
-* skip: the longest MATCHES - 1 lists are never merged; their collisions are counted on the signatures.
+* values that only one node has are left out; a node left with fewer than COMMON can have no partner;
+* prefix and skip: of a node's c lists, in ascending order of length, two nodes that share COMMON of them share one of the first
+  c - COMMON + 1; the longest is never merged, its collisions are counted on the signatures.
 
 For two sets of similarity 0.8 the chance of fewer than MATCHES agreements is 3e-7.
 
 A list of n nodes isn't expanded into all pairs: first each node meets the pivots of its shortest lists and components are
-formed, with further rounds and other pivots while many pairs are left and get fewer; then all pairs of a list that lie in
-different components are compared, so no component is missed. Links inside a component change nothing and aren't needed.
+formed, with further rounds and other pivots while many pairs are left and get fewer. Then pairs of a list that lie in
+different components are compared, so no component is missed; links inside a component change nothing and aren't needed. If there are more than FEW
+for each posting, as with many texts that share a passage and are no copies, only pairs that also share one of their rarest shingles are: of two
+sets A, B with the required overlap each has one of the |A| - needed(A) + 1 rarest of the other's, rarity being counted over the nodes in question.
 
 Texts without words (null, empty) have an empty set, no links, and are kept. Rows that repeat a doc_id are one document
 as far as their texts agree. A null doc_id is larger than any other. An empty table gives an empty result.
@@ -29,12 +32,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import Kept, fresh, staged
+from tallybook.llm.common import Kept, dropped, fresh, staged
 
 WIDTH, SHARE = 4, 80  # words in a shingle; percent of the union that linked sets have in common
 COORDINATES, MATCHES = 64, 34
+COMMON = COORDINATES // 2 - (COORDINATES - MATCHES)  # whole pairs of coordinates in which two nodes with MATCHES agree at least
 #: Lists of a node that star rounds use (its shortest ones), most star rounds, and pairs for each posting at which they end.
-STAR_LISTS, ROUNDS, FEW = 8, 4, 2
+STAR_LISTS, ROUNDS, FEW = 4, 3, 2
+#: Bits of the filter that spares most texts the way to the sets; a full one lets too many pass, which are left out at the join.
+FILTER_BITS = 1 << 26
 
 _RNG = np.random.default_rng(20240601)
 _A = _RNG.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) | np.uint64(1)
@@ -71,46 +77,76 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return least
 
 
-def _signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, node (128-bit hash of the set; null if empty), tokens (coordinate << 32 | value)."""
-    place = np.arange(COORDINATES, dtype=np.uint64) << np.uint64(32)
+def list_keys(signatures: np.ndarray) -> np.ndarray:
+    """[row, pair of coordinates]: number of the pair and hash of its two values."""
+    both = signatures.astype(np.uint64)
+    mixed = _mix((both[:, ::2] << np.uint64(32) | both[:, 1::2]) + np.uint64(1)) >> np.uint64(5)
+    return (mixed | np.arange(COORDINATES // 2, dtype=np.uint64) << np.uint64(59)).view(np.int64)
 
+
+def _signatures(docs: DataFrame, width: int) -> DataFrame:
+    """doc_id, text_key, n_shingles, node (128-bit hash of the set; null if empty), signature (32-bit minima)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
-                sizes, nodes, tokens = [], [], []
+                sizes, nodes, signatures = [], [], []
                 for text in part.column("text"):
-                    s = shingle_set(text.as_py())
+                    s = shingle_set(text.as_py(), width)
                     sizes.append(len(s))
                     nodes.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                    tokens.append((signature(s) | place).astype(np.int64) if len(s) else None)
-                yield pa.record_batch([part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(tokens, pa.list_(pa.int64()))],
-                                      ["doc_id", "n_shingles", "node", "tokens"])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, node binary, tokens array<long>")
+                    signatures.append(signature(s).astype(np.uint32).tobytes() if len(s) else None)
+                yield pa.record_batch([part.column("doc_id"), part.column("text_key"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(signatures, pa.binary())],
+                                      ["doc_id", "text_key", "n_shingles", "node", "signature"])
+        _WORDS.clear()
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text").mapInArrow(
+        run, "doc_id long, text_key long, n_shingles long, node binary, signature binary")
 
 
-def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, shingles of the ``nodes`` (node, doc), from the texts of one document of each."""
+def _posts(nodes: DataFrame) -> DataFrame:
+    """id, key of each node's lists."""
     def run(batches):
         for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                s = [shingle_set(t.as_py()) for t in b.slice(at, 1000).column("text")]
+            for at in range(0, b.num_rows, 2000):
+                part = b.slice(at, 2000)
+                keys = list_keys(np.frombuffer(b"".join(part.column("signature").to_pylist()), np.uint32).reshape(-1, COORDINATES))
+                yield pa.record_batch([pa.array(np.repeat(part.column("id").to_numpy(), keys.shape[1])), pa.array(keys.ravel())], ["id", "key"])
+    return nodes.select("id", "signature").mapInArrow(run, "id long, key long")
+
+
+def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """id, shingles of ``nodes`` (id, node, doc), from the texts of one document of each. Texts whose doc_id isn't in a filter of the
+    nodes' bits are passed over where they lie; no text is shuffled."""
+    place = F.pmod(F.xxhash64(F.col("doc")), F.lit(FILTER_BITS))
+    words = (nodes.select(place.alias("at")).groupBy(F.shiftright("at", 6).alias("word"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("bits")).toPandas())  # at most FILTER_BITS / 64 rows
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    bits[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches):
+        for b in batches:
+            at = b.column("at").to_numpy()
+            b = b.filter(pa.array((shared.value[at >> 6] >> (at & 63) & 1).astype(bool)))
+            for k in range(0, b.num_rows, 1000):
+                s = [shingle_set(t.as_py(), width) for t in b.slice(k, 1000).column("text")]
                 yield pa.record_batch([pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in s], pa.binary()), pa.array([x.tobytes() for x in s], pa.binary())], ["node", "shingles"])
-    ids = nodes.select("doc").distinct()
-    texts = docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(ids["doc"]), "left_semi").select("text")
-    sets = texts.mapInArrow(run, "node binary, shingles binary")
-    return sets.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+        _WORDS.clear()
+    sets = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").select(place.alias("at"), "text").mapInArrow(run, "node binary, shingles binary")
+    return sets.join(nodes.select("node", "id"), "node").dropDuplicates(["id"]).select("id", "shingles")
 
 
-def _confirm(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+def _confirm(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, stages: list[str]) -> DataFrame:
     """Those of ``pairs`` (a, b) that are linked."""
     def side(k):
-        return nodes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("tokens").alias(f"t{k}"))
-    small, large = F.least("na", "nb"), F.greatest("na", "nb")
-    agree = F.size(F.filter(F.zip_with("ta", "tb", lambda x, y: x == y), lambda same: same))
-    near = staged(pairs.join(side("a"), "a").join(side("b"), "b")
-                  .where((small * 100 >= large * SHARE) & (agree >= MATCHES)).select("a", "b"), "near")
+        return nodes.select(F.col("id").alias(k), F.col("n").alias(f"n{k}"), F.col("signature").alias(f"s{k}"))
+
+    def alike(batches):
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint32).reshape(-1, COORDINATES) for c in ("sa", "sb"))
+            small, large = np.sort([b.column("na").to_numpy(), b.column("nb").to_numpy()], axis=0)
+            yield b.select(["a", "b"]).filter(pa.array(((x == y).sum(axis=1) >= MATCHES) & (small * 100 >= large * SHARE)))
+    near = staged(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(alike, "a long, b long"), "near", stages)
 
     def run(batches):
         for b in batches:
@@ -120,79 +156,125 @@ def _confirm(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
                 both = len(x) + len(y) - len(np.union1d(x, y))
                 keep.append(100 * both >= SHARE * (len(x) + len(y) - both))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-    full = near.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
-    return staged(full.select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary"), "links")
+    full = near.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(
+        sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
+    return staged(full.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long"), "links", stages)
 
 
-def components(links: DataFrame) -> DataFrame:
-    """node, root (its component's smallest node) of every end of the links (a, b): large and small stars in turn."""
-    star = staged(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    seen = None
+def components(links: DataFrame, stages: list[str]) -> DataFrame:
+    """id, root (its component's smallest id) of every end of the links (a, b): large and small stars in turn."""
+    star = staged(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges", stages)
+    seen, mine = None, []
     while True:
         sums = star.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if tuple(sums) == seen:
-            return star.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(star.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+            dropped(star.sparkSession, mine[:-1])
+            stages += mine[-1:]
+            return star.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(star.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())
         seen = tuple(sums)
         both = star.unionByName(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
+        # the least neighbours are written, so that a join can be split where one id has very many
+        least = staged(both.groupBy("u").agg(F.min("v").alias("m")), "least", mine)
         # large star: larger neighbours move to the smallest one; small star: smaller neighbours do
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
-        large = staged(large, "large")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = staged(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct(), "large", mine)
+        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "least", mine)
         star = staged(large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-                      .select("e.*").where("u <> v").distinct(), "small")
+                      .select("e.*").where("u <> v").distinct(), "small", mine)
+        dropped(star.sparkSession, mine[:-1])
+        mine = mine[-1:]
 
 
-def link(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
+def _all_pairs(known: DataFrame, runs: DataFrame) -> DataFrame:
+    """a, b: pairs of a list from different components. ``known``: key, root, id, merged, n; ``runs``: key, root of those lists."""
+    a = known.join(runs.select("key", F.col("root").alias("other")), "key").where("root < other").select("key", "other", F.col("id").alias("a"), F.col("merged").alias("ma"), F.col("n").alias("na"))
+    b = known.select(F.col("key").alias("kb"), F.col("root").alias("rb"), F.col("id").alias("b"), F.col("merged").alias("mb"), F.col("n").alias("nb"))
+    once = F.array_min(F.array_intersect("ma", "mb")) == F.col("key")  # a pair of several lists is taken from one
+    alike = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * SHARE
+    return a.join(b, (a["key"] == b["kb"]) & (a["other"] == b["rb"]) & alike & once).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _rare_pairs(known: DataFrame, sets: DataFrame, stages: list[str]) -> DataFrame:
+    """a, b: pairs of different components that share one of their rarest shingles, among the nodes of ``known`` (id, root, n)."""
+    def run(batches):
+        for b in batches:
+            for k in range(b.num_rows):
+                x = np.frombuffer(b.column("shingles")[k].as_buffer(), np.uint64).view(np.int64)
+                yield pa.record_batch([pa.array(np.full(len(x), b.column("id")[k].as_py())), pa.array(x)], ["id", "shingle"])
+    nodes = staged(known.select("id", "root", "n").distinct(), "open-nodes", stages)
+    each = sets.join(nodes.select("id"), "id").select("id", "shingles").mapInArrow(run, "id long, shingle long")
+    often = staged(each.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1"), "often", stages)
+    shared = each.join(often, "shingle").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("often", "shingle"))).alias("shared"))
+    # of n shingles a partner has at least n * SHARE / 100; those that are nobody else's come first and take places of the prefix
+    prefix = F.col("n") - F.ceil(F.col("n") * SHARE / 100) + 1 - (F.col("n") - F.size("shared"))
+    rare = nodes.join(shared, "id").where(prefix > 0).select("id", "root", "n", F.transform(F.slice("shared", F.lit(1), F.greatest(prefix, F.lit(0)).cast("int")), lambda s: s["shingle"]).alias("rare"))
+    rare = staged(rare.select("*", F.explode("rare").alias("shingle")), "rare", stages)
+    a, b = (rare.select("shingle", *[F.col(c).alias(c + k) for c in ("id", "root", "n", "rare")]) for k in "ab")
+    once = F.array_min(F.array_intersect("rarea", "rareb")) == F.col("shingle")
+    alike = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * SHARE
+    return a.join(b, "shingle").where((F.col("ida") < F.col("idb")) & (F.col("roota") != F.col("rootb")) & alike & once).select(F.col("ida").alias("a"), F.col("idb").alias("b"))
+
+
+def grouped(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """One row per row of ``docs``: doc_id, text_key (a hash of the text), n_shingles, node (null without words), and
+    of its component the smallest doc_id and the text_key of a row that has it (component_id, component_text)."""
     spark = docs.sparkSession
-    rows = staged(_signatures(docs), "signatures")
-    nodes = staged(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n"), F.first("tokens").alias("tokens")), "nodes")
-    posts = nodes.select("node", F.explode("tokens").alias("token"))
-    lengths = staged(posts.groupBy("token").agg(F.count(F.lit(1)).alias("length")).where("length > 1"), "lengths")
-    lists = (posts.join(lengths, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("length", "token"))).alias("lists"))  # at most COORDINATES
-             .where(F.size("lists") >= MATCHES)
+    stages: list[str] = []  # superseded ones are deleted at the end
+    rows = staged(_signatures(docs, width), "signatures")
+    nodes = rows.where("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key"))).alias("first"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
+    nodes = staged(nodes.select(F.monotonically_increasing_id().alias("id"), "node", "first", F.col("first.doc_id").alias("doc"), "n", "signature"), "nodes", stages)
+    posts = _posts(nodes)
+    lengths = staged(posts.groupBy("key").agg(F.count(F.lit(1)).alias("length")).where("length > 1"), "lengths", stages)
+    lists = (posts.join(lengths, "key").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("length", "key"))).alias("lists"))  # at most COORDINATES / 2
+             .where(F.size("lists") >= COMMON)
              .withColumn("typical", F.aggregate("lists", F.lit(0).cast("long"), lambda a, l: a + l["length"]))
-             .withColumn("merged", F.transform(F.slice("lists", F.lit(1), F.size("lists") - MATCHES + 1), lambda l: l["token"]))
-             .select("node", "typical", "merged", F.posexplode("merged").alias("place", "token")))
-    lists = staged(lists, "lists")
-    some = staged(lists.select("node").distinct().join(nodes, "node"), "candidates")
-    sets = staged(_sets(docs, some.select("node", "doc")), "sets")
+             .withColumn("merged", F.transform(F.slice("lists", F.lit(1), F.greatest(F.size("lists") - COMMON + 1, F.lit(0))), lambda l: l["key"]))
+             .select("id", "typical", "merged", F.posexplode("merged").alias("place", "key")))
+    lists = staged(lists, "lists", stages)
+    some = staged(nodes.join(lists.select("id").distinct(), "id", "left_semi"), "candidates", stages)
+    sets = staged(_sets(docs, some, width), "sets", stages)
     size = lists.count()
 
     def labelled(roots):
-        return lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    roots = spark.createDataFrame([], "node binary, root binary")
+        return lists.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+
+    def merged_into(roots, pairs):
+        return components(_confirm(pairs, some, sets, stages).unionByName(roots.select(F.col("id").alias("a"), F.col("root").alias("b"))), stages)
+    roots = spark.createDataFrame([], "id long, root long")
     left = None
     for turn in range(ROUNDS):
         first = labelled(roots).where(F.col("place") < STAR_LISTS)
         # first the most typical member, the one with the longest lists, later any other
-        order = F.struct(F.col("typical") if turn == 0 else F.lit(0).cast("long"), F.xxhash64("node", F.lit(turn)))
-        pivots = first.groupBy("token").agg(F.max_by(F.struct("node", "root"), order).alias("p"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        pairs = first.join(staged(pivots, "pivots"), "token").where("root <> p.root").select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
-        roots = components(_confirm(pairs, some, sets).unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-        runs = staged(labelled(roots).groupBy("token", "root").agg(F.count(F.lit(1)).alias("n")), "runs")
-        open_ = staged(runs.groupBy("token").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("same"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high"), "open")
+        order = F.struct(F.col("typical") if turn == 0 else F.lit(0).cast("long"), F.xxhash64("id", F.lit(turn)))
+        pivots = first.groupBy("key").agg(F.max_by(F.struct("id", "root"), order).alias("p"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+        pairs = first.join(staged(pivots, "pivots", stages), "key").where("root <> p.root").select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")).distinct()
+        roots = merged_into(roots, pairs)
+        runs = staged(labelled(roots).groupBy("key", "root").agg(F.count(F.lit(1)).alias("n")), "runs", stages)
+        open_ = staged(runs.groupBy("key").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("same"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high"), "open", stages)
         before, left = left, int(open_.agg(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2)).first()[0] or 0)
         if left <= FEW * size or before and left > 0.7 * before:
             break
-    if left:  # all pairs of a list from different components
-        known = labelled(roots).join(open_.select("token"), "token", "left_semi").join(some.select("node", "n"), "node").select("token", "root", "node", "merged", "n")
-        a = known.join(runs.select("token", F.col("root").alias("other")), "token").where("root < other").select("token", "other", F.col("node").alias("a"), F.col("merged").alias("ma"), F.col("n").alias("na"))
-        b = known.select(F.col("token").alias("tb"), F.col("root").alias("rb"), F.col("node").alias("b"), F.col("merged").alias("mb"), F.col("n").alias("nb"))
-        once = F.array_min(F.array_intersect("ma", "mb")) == F.col("token")  # a pair of several lists is taken from one
-        alike = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * SHARE
-        pairs = a.join(b, (a["token"] == b["tb"]) & (a["other"] == b["rb"]) & alike & once).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        roots = components(_confirm(pairs, some, sets).unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-    owner = nodes.join(roots, "node", "left").select("node", "doc", F.coalesce("root", "node").alias("root"))
-    least = owner.groupBy("root").agg(F.min("doc").alias("component_id"))
-    owner = staged(owner.join(least, "root").select("node", "component_id"), "owners")
-    out = rows.join(owner, "node", "left").select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-
-
-def dedup(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that link to one with a smaller doc_id."""
-    gone = link(docs).where(~F.col("kept")).select(F.col("doc_id").alias(fresh(docs, "_gone"))).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone[gone.columns[0]], "left_anti")
+    if left:
+        known = labelled(roots).join(open_.select("key"), "key", "left_semi").join(some.select("id", "n"), "id").select("key", "root", "id", "merged", "n")
+        pairs = _all_pairs(known, runs) if left <= FEW * size else _rare_pairs(known, sets, stages)
+        roots = merged_into(roots, pairs)
+    owner = nodes.join(roots, "id", "left").select("node", "first", F.coalesce("root", "id").alias("root"))
+    least = staged(owner.groupBy("root").agg(F.min("first").alias("least")), "roots", stages)
+    owner = staged(owner.join(least, "root").select("node", F.col("least.doc_id").alias("c"), F.col("least.text_key").alias("t")), "owners")
+    dropped(spark, stages)
+    none = F.col("node").isNull()
+    return rows.drop("signature").join(owner, "node", "left").select(
+        "doc_id", "text_key", "n_shingles", "node", F.when(none, F.col("doc_id")).otherwise(F.col("c")).alias("component_id"), F.when(none, F.col("text_key")).otherwise(F.col("t")).alias("component_text"))
+
+
+def link(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
+    return grouped(docs, width).select("doc_id", "n_shingles", "component_id").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """``docs`` with one document of each component, that of the smallest doc_id (and, of several texts with it, one). Rows go by id
+    and text, so another text with the id of one that goes stays."""
+    same = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_key") == F.col("component_text"))
+    id_, key = fresh(docs, "_gone"), fresh(docs, "_gone_text")
+    gone = grouped(docs, width).where(~same).select(F.col("doc_id").alias(id_), F.col("text_key").alias(key)).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone[id_]) & (F.xxhash64(docs["text"]) == gone[key]), "left_anti")

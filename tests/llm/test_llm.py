@@ -141,9 +141,37 @@ def test_near_dedup_rows(spark):
 
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 140)] + [(139, 200), (300, 300)]
-    links = spark.createDataFrame([(f"{a:03}".encode(), f"{b:03}".encode()) for a, b in edges], "a binary, b binary")
-    got = {bytes(r.node).decode(): bytes(r.root).decode() for r in minhash_inverted.components(links).collect()}
-    assert got == {f"{i:03}": "000" for i in range(41)} | {f"{i:03}": "100" for i in (*range(100, 140), 200)}
+    links = spark.createDataFrame(edges, "a long, b long")
+    got = {r.id: r.root for r in minhash_inverted.components(links, []).collect()}
+    assert got == {i: 0 for i in range(41)} | {i: 100 for i in (*range(100, 140), 200)}
+
+
+def test_near_dedup_goes_by_id_and_text(spark):
+    """Another text with the id of a near copy stays; of near copies without an id, or with one id, one stays."""
+    r = random.Random(1)
+    text = lambda n: [("".join(r.choices("abcdefgh", k=6))) for _ in range(n)]
+    one, alone, other, none = text(60), text(40), text(30), text(50)
+    rows = [(1, " ".join(one)), (2, " ".join([*one, "more"])), (2, " ".join(alone)), (3, " ".join(other)), (3, " ".join([*other, "again"])),
+            (None, " ".join(none)), (None, " ".join([*none, "end"])), (4, None), (5, "")]
+    out = sorted((str(x.doc_id), x.text) for x in minhash_inverted.dedup(docs_of(spark, rows)).collect())
+    assert [d for d, _ in out] == ["1", "2", "3", "4", "5", "None"] and (str(2), " ".join(alone)) in out and (str(1), " ".join(one)) in out
+
+
+def test_shingle_width_is_a_parameter(spark):
+    rows = [(1, " ".join(f"w{i}" for i in range(30))), (2, " ".join(f"w{i}" for i in range(30)).replace("w15", "x"))]
+    sizes = {w: [x.n_shingles for x in minhash_inverted.link(docs_of(spark, rows), width=w).collect()] for w in (1, 5)}
+    assert sizes == {1: [30, 30], 5: [26, 26]}
+    assert {x.component_id for x in minhash_inverted.link(docs_of(spark, rows), width=1).collect()} == {1}
+    assert {x.component_id for x in minhash_inverted.link(docs_of(spark, rows), width=5).collect()} == {1, 2}
+
+
+def test_rare_shingles_lose_no_pair(spark, monkeypatch):
+    """Chains, stars and a shared passage with no star round that helps: every pair left comes from rare shingles."""
+    monkeypatch.setattr(minhash_inverted, "STAR_LISTS", 0)
+    monkeypatch.setattr(minhash_inverted, "FEW", 0)
+    rows = near_rows()
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in minhash_inverted.link(docs_of(spark, rows)).collect())
+    assert got == brute_components(rows)
 
 
 # ---- tokens
