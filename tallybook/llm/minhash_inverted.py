@@ -205,13 +205,15 @@ def _rare_pairs(known: DataFrame, sets: DataFrame, stages: list[str]) -> DataFra
     often = staged(each.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1"), "often", stages)
     shared = each.join(often, "shingle").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("often", "shingle"))).alias("shared"))
     # of n shingles a partner has at least n * SHARE / 100; those that are nobody else's come first and take places of the prefix
-    prefix = F.col("n") - F.ceil(F.col("n") * SHARE / 100) + 1 - (F.col("n") - F.size("shared"))
-    rare = nodes.join(shared, "id").where(prefix > 0).select("id", "root", "n", F.transform(F.slice("shared", F.lit(1), F.greatest(prefix, F.lit(0)).cast("int")), lambda s: s["shingle"]).alias("rare"))
-    rare = staged(rare.select("*", F.explode("rare").alias("shingle")), "rare", stages)
-    a, b = (rare.select("shingle", *[F.col(c).alias(c + k) for c in ("id", "root", "n", "rare")]) for k in "ab")
-    once = F.array_min(F.array_intersect("rarea", "rareb")) == F.col("shingle")
-    alike = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * SHARE
-    return a.join(b, "shingle").where((F.col("ida") < F.col("idb")) & (F.col("roota") != F.col("rootb")) & alike & once).select(F.col("ida").alias("a"), F.col("idb").alias("b"))
+    alone = F.col("n") - F.size("shared")
+    prefix = F.col("n") - F.ceil(F.col("n") * SHARE / 100) + 1 - alone
+    rare = nodes.join(shared, "id").where(prefix > 0).select("id", "root", "n", alone.alias("alone"), F.slice("shared", F.lit(1), F.greatest(prefix, F.lit(0)).cast("int")).alias("rare"))
+    rare = staged(rare.select("id", "root", "n", "alone", "rare", F.posexplode("rare").alias("place", "s")).select("id", "root", "n", "rare", "s", (F.col("n") - F.col("alone") - F.col("place")).alias("rest")), "rare", stages)
+    a, b = (rare.select(F.col("s.shingle").alias("shingle"), *[F.col(c).alias(c + k) for c in ("id", "root", "n", "rare", "s", "rest")]) for k in "ab")
+    # a pair is taken from the first shingle in this order that both have; what follows it on either side bounds what they share
+    once = F.array_min(F.array_intersect("rarea", "rareb")) == F.col("sa")
+    enough = F.least("resta", "restb") * (100 + SHARE) >= (F.col("na") + F.col("nb")) * SHARE
+    return a.join(b, "shingle").where((F.col("ida") < F.col("idb")) & (F.col("roota") != F.col("rootb")) & enough & once).select(F.col("ida").alias("a"), F.col("idb").alias("b"))
 
 
 def grouped(docs: DataFrame, width: int = WIDTH) -> DataFrame:
