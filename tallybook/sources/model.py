@@ -2,7 +2,8 @@
 
 Names are snake_case versions of the source tables; column names likewise
 (``InvoiceGuid`` -> ``invoice_guid``). Ids that are GUIDs in the source system
-are compared as given: normalise their case once when loading, not per join.
+are compared without regard to case: :func:`ingest` writes them in lower case once,
+beside the stored text of those that reports show.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegralType, StringType
 
@@ -179,14 +180,35 @@ GUID_COLUMNS: dict[str, tuple[str, ...]] = {
 }
 
 
-def from_parquet(spark: SparkSession, root: str, normalise_guids: bool = True) -> InvoiceModel:
+#: The GUID keys that reports show as they are stored. Their text lies beside the key, in ``<column>_text``.
+REPORTED_GUIDS: dict[str, tuple[str, ...]] = {
+    "base_invoice": ("unique_id",), "supplier_invoice": ("unique_id",), "subcontractor_invoice": ("unique_id",)}
+
+
+def stored(df: DataFrame, key: str) -> Column:
+    """A key of a model table as it is stored, for display."""
+    return F.col(f"{key}_text" if f"{key}_text" in df.columns else key)
+
+
+def from_parquet(spark: SparkSession, root: str, normalise_guids: bool | None = None) -> InvoiceModel:
     """Read the model from ``<root>/<table>.parquet`` (one folder or file per table).
 
-    Only the columns in :data:`SCHEMA` are selected, so scans read no more.
-    Text GUID keys (:data:`GUID_COLUMNS`) are lower-cased unless
-    ``normalise_guids`` is False; numeric ids are left as they are.
+    Only the columns in :data:`SCHEMA` (and the stored text of :data:`REPORTED_GUIDS`) are selected, so scans read no more.
+    A folder that :func:`ingest` wrote is read as it is. Of any other, text GUID keys (:data:`GUID_COLUMNS`) are lower-cased at the
+    scan; numeric ids are left as they are. ``normalise_guids`` says which, if it is given.
     """
-    return _model(lambda name: spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet"), normalise_guids)
+    def read(name: str) -> DataFrame:
+        return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+    if normalise_guids is None:
+        normalise_guids = "unique_id_text" not in read("base_invoice").columns
+    return _model(read, normalise_guids)
+
+
+def ingest(spark: SparkSession, source: str, target: str, files_per_table: int | None = None) -> InvoiceModel:
+    """Write the raw tables under ``source`` with canonical keys under ``target`` and return the model that reads them:
+    joins there compare plain columns, scans hold no expression on a key, so that filters and runtime filters on keys reach the files."""
+    write_model(from_parquet(spark, source, normalise_guids=True), target, files_per_table)
+    return from_parquet(spark, target, normalise_guids=False)
 
 
 def from_catalog(spark: SparkSession, schema: str, normalise_guids: bool = True) -> InvoiceModel:
@@ -211,11 +233,14 @@ def publish(m: InvoiceModel, schema: str, names: Sequence[str] | None = None) ->
 
 def _read(name: str, df: DataFrame, normalise_guids: bool) -> DataFrame:
     cols = SCHEMA[name]
-    df = df.select(*cols)
+    shown = [c for c in REPORTED_GUIDS.get(name, ()) if f"{c}_text" in df.columns]
+    df = df.select(*cols, *[f"{c}_text" for c in shown])
     if normalise_guids:
         text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
         guids = set(GUID_COLUMNS.get(name, ())) & text
-        df = df.select(*[F.lower(F.col(c)).alias(c) if c in guids else F.col(c) for c in cols])
+        new = [c for c in REPORTED_GUIDS.get(name, ()) if c in guids and c not in shown]
+        df = df.select(*[F.lower(F.col(c)).alias(c) if c in guids else F.col(c) for c in cols], *[f"{c}_text" for c in shown],
+                       *[F.col(c).alias(f"{c}_text") for c in new])
     return df
 
 
