@@ -7,9 +7,11 @@ import base64
 import hashlib
 import itertools
 import math
+import os
 import random
 import re
 import struct
+import time
 import zlib
 
 import duckdb
@@ -398,6 +400,60 @@ def test_shared_lines_are_a_longest_common_subsequence():
         assert all(x in rest for x in both)
 
 
+def test_shared_lines_in_halves_and_of_many_repeats(monkeypatch):
+    r = random.Random(8)
+    cases = [tuple(["abc"[r.randrange(3)] for _ in range(r.randint(0, 40))] for _ in range(2)) for _ in range(60)]
+    whole = [sum(page_diff.shared(a, b)) for a, b in cases]
+    monkeypatch.setattr(page_diff, "CELLS", 16)
+    for (a, b), n in zip(cases, whole):
+        both = [x for x, s in zip(a, page_diff.shared(a, b)) if s]
+        rest = iter(b)
+        assert len(both) == n and all(x in rest for x in both)
+    monkeypatch.undo()
+    start = time.monotonic()
+    assert sum(page_diff.shared(["x", *["same"] * 20_000, "y"], ["z", *["same"] * 20_000, "w", "same"])) == 20_000
+    page_diff.lines_of("<svg>" * 8000 + "<article>" + "<svg>" * 8000)
+    assert time.monotonic() - start < 6
+
+
+@pytest.mark.parametrize("html,text", [
+    ('<article><section id="related-work"><p>a</p></section><h2 id="share-prices">b</h2><div class="ad-hoc">c</div><p class="search">d</p><p>e <math><mi>x</mi></math></p></article>', "a b c d e x"),
+    ('<article><p>a</p><div class="related-posts">b</div><div class="ad-slot">c</div><div class="comment-list">d</div><div class="ad">e</div><div id="comments">f</div></article>', "a"),
+    ('<article><p>a<svg/>b</p><p>c<svg><text>no</text></svg>d</p><p>e <svg><text>no<p>f</p></article>', "ab cd e f"),
+    ("<article><p>a</p></article><script>var x = '<p>code</p>';", "a"), ("<p>a<style>p { color: red }", "a"), ("<p>a<button>buy</button>b", "ab"),
+])
+def test_what_is_text_and_what_is_not(html, text):
+    assert " ".join(page_diff.lines_of(html)[0]) == text
+
+
+def test_pages_of_many_ranges_meet_their_neighbours(spark):
+    """Any number of ranges gives what one does, that is the neighbours in the whole order, for a hot host and repeated addresses too."""
+    r = random.Random(3)
+    rows = []
+    for i in range(300):
+        host = "hot.example" if i % 3 else f"h{i % 11}.example"
+        url = None if i % 50 == 7 else "http://hot.example/same" if i % 10 == 1 else f"http://{host}/{r.randrange(40)}/{r.randrange(9)}"
+        rows.append((None if i % 90 == 5 else i, url, page(*[f"line {r.randrange(12)}" for _ in range(r.randint(0, 9))]) if i % 40 else None, "x", "y"))
+    order = sorted((*page_diff._place(u, "" if i is None else str(i).rjust(20, "0")), h) for i, u, h, *_ in rows)
+    order = [(host, path, key, *page_diff.lines_of(h or "")) for host, path, key, _, h in order]
+    want = []
+    for k, (host, path, key, lines, places) in enumerate(order):
+        best, long = [], -1
+        for x in (order[k - 1] if k else None, order[k + 1] if k + 1 < len(order) else None):
+            if x and x[0] == host and (n := len(os.path.commonprefix([x[1], path]))) > long:
+                best, long = x[3], n
+        want.append((int(key) if key else None, " ".join(page_diff.own_lines(lines, places, page_diff.shared(lines, best)))))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, part string, host string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("1", "7", "40"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got = [(r.page_id, r.text) for r in page_diff.extract(pages).collect()]
+            assert sorted(got, key=str) == sorted(want, key=str), n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 # ---- classifiers
 
 def test_factorisation_machine_is_the_sum_over_pairs():
