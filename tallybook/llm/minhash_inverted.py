@@ -39,6 +39,8 @@ COORDINATES, MATCHES = 64, 34
 COMMON = COORDINATES // 2 - (COORDINATES - MATCHES)  # whole pairs of coordinates in which two nodes with MATCHES agree at least
 #: Lists of a node that star rounds use (its shortest ones), most star rounds, and pairs for each posting at which they end.
 STAR_LISTS, ROUNDS, FEW = 4, 3, 2
+#: Shingles before a rare one that are kept beside it.
+BESIDE = 8
 #: Bits of the filter that spares most texts the way to the sets; a full one lets too many pass, which are left out at the join.
 FILTER_BITS = 1 << 26
 
@@ -208,12 +210,16 @@ def _rare_pairs(known: DataFrame, sets: DataFrame, stages: list[str]) -> DataFra
     alone = F.col("n") - F.size("shared")
     prefix = F.col("n") - F.ceil(F.col("n") * SHARE / 100) + 1 - alone
     rare = nodes.join(shared, "id").where(prefix > 0).select("id", "root", "n", alone.alias("alone"), F.slice("shared", F.lit(1), F.greatest(prefix, F.lit(0)).cast("int")).alias("rare"))
-    rare = staged(rare.select("id", "root", "n", "alone", "rare", F.posexplode("rare").alias("place", "s")).select("id", "root", "n", "rare", "s", (F.col("n") - F.col("alone") - F.col("place")).alias("rest")), "rare", stages)
-    a, b = (rare.select(F.col("s.shingle").alias("shingle"), *[F.col(c).alias(c + k) for c in ("id", "root", "n", "rare", "s", "rest")]) for k in "ab")
-    # a pair is taken from the first shingle in this order that both have; what follows it on either side bounds what they share
-    once = F.array_min(F.array_intersect("rarea", "rareb")) == F.col("sa")
+    entry = F.transform("rare", lambda s, i: F.struct(
+        s["shingle"].alias("shingle"), (F.col("n") - F.col("alone") - i).alias("rest"),
+        F.transform(F.slice("rare", F.greatest(i - BESIDE + 1, F.lit(1)), F.least(i, F.lit(BESIDE))), lambda t: t["shingle"]).alias("earlier")))
+    rare = staged(rare.select("id", "root", "n", F.explode(entry).alias("e")).select("id", "root", "n", "e.*"), "rare", stages)
+    a, b = (rare.select("shingle", *[F.col(c).alias(c + k) for c in ("id", "root", "n", "rest", "earlier")]) for k in "ab")
+    # what follows the first shingle, in this order, that both have bounds what they share; a pair isn't taken where one of the
+    # BESIDE shingles before on either side is common too, so most pairs are taken once
+    again = F.arrays_overlap("earliera", "earlierb")
     enough = F.least("resta", "restb") * (100 + SHARE) >= (F.col("na") + F.col("nb")) * SHARE
-    return a.join(b, "shingle").where((F.col("ida") < F.col("idb")) & (F.col("roota") != F.col("rootb")) & enough & once).select(F.col("ida").alias("a"), F.col("idb").alias("b"))
+    return a.join(b, "shingle").where((F.col("ida") < F.col("idb")) & (F.col("roota") != F.col("rootb")) & enough & ~again).select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct()
 
 
 def grouped(docs: DataFrame, width: int = WIDTH) -> DataFrame:
