@@ -17,8 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from checks.oracle_chains import (CUSTOMER_CTES, CUSTOMERS_SELECT, PURCHASE_CTES, PURCHASE_SELECT,
-                                  SALES_CTES, SALES_SELECT, SETTLEMENT_CTES, ledger_ctes, localised_uk)
+from checks.oracle_chains import CHAINS, CUSTOMERS_SELECT, PURCHASE_SELECT, RATE_LABEL, SALES_SELECT, localised_uk, whole_number
 from checks.oracle_lift import LIFT_CTES
 from tallybook.functions.dates import localise, uk_date
 from tallybook.functions.money import money, round2
@@ -31,11 +30,9 @@ from tallybook.sources.lift import lift
 from tallybook.sources.model import InvoiceModel, catalog_tables, publish
 from tallybook.sources.stages import StageStore
 
-CHAIN_CTES = (SETTLEMENT_CTES + ledger_ctes("ac") + ledger_ctes("se") + CUSTOMER_CTES + PURCHASE_CTES
-              + SALES_CTES)
-_WITH = "with " + ",\n".join(f"{name} as ({body})" for name, body in LIFT_CTES + CHAIN_CTES)
+_WITH = "with " + ",\n".join(f"{name} as ({body})" for name, body in LIFT_CTES + CHAINS)
 # the chains alone, for model tables registered directly as t_<table> (tests)
-CHAIN_WITH = "with " + ",\n".join(f"{name} as ({body})" for name, body in CHAIN_CTES)
+CHAIN_WITH = "with " + ",\n".join(f"{name} as ({body})" for name, body in CHAINS)
 
 
 def decimals_to_double(df: DataFrame) -> DataFrame:
@@ -67,8 +64,7 @@ def query(key: str, sql: str, dbl: tuple[str, ...] = ()):
 # scans, staging, settings                                                    #
 # --------------------------------------------------------------------------- #
 @query("st_staged_reuse", """
-select tr.customer_auto_id, tr.balance, p.ppm_balance
-from o_total_receivable tr left join o_receivable_ppm p on p.customer_auto_id = tr.customer_auto_id""",
+select customer_auto_id, balance, ppm_balance from o_balance left join o_balance_ppm using (customer_auto_id)""",
        ("balance", "ppm_balance"))
 def _st_staged_reuse(m):
     return customers.receivable_balances(m).select("customer_auto_id", "balance", "ppm_balance")
@@ -120,7 +116,7 @@ def _pr_filter_conj(m):
             .select("unique_id", "id"))
 
 
-@query("pr_in_list_null", "select line_unique_id, type_of_invoice, line_value, global_discount_line from o_rsil",
+@query("pr_in_list_null", "select line_unique_id, type_of_invoice, line_value, global_discount_line from o_sold",
        ("line_value",))
 def _pr_in_list_null(m):
     return sales.rounded_sales_lines(m).select("line_unique_id", "type_of_invoice", "line_value",
@@ -130,7 +126,7 @@ def _pr_in_list_null(m):
 # --------------------------------------------------------------------------- #
 # conditional and null functions                                              #
 # --------------------------------------------------------------------------- #
-@query("ex_null_dispatch", "select line_unique_id, line_value from o_rsl_calc2", ("line_value",))
+@query("ex_null_dispatch", "select line_unique_id, net2 as line_value from o_line_worth", ("line_value",))
 def _ex_null_dispatch(m):
     s = sales.sales_line_sources(m)
     qtp = qty_times_price(F.col("qty"), F.col("price"))
@@ -145,18 +141,18 @@ def _ex_case(m):
                                  .otherwise("SC").alias("type"))
 
 
-@query("ex_case_simple", "select line_unique_id, line_value_no_discount from o_rsil", ("line_value_no_discount",))
+@query("ex_case_simple", "select line_unique_id, line_value_no_discount from o_sold", ("line_value_no_discount",))
 def _ex_case_simple(m):
     return sales.rounded_sales_lines(m).select("line_unique_id", "line_value_no_discount")
 
 
-@query("ex_case_no_else", "select unique_id, type, total_excluding_vat from o_lines", ("total_excluding_vat",))
+@query("ex_case_no_else", "select unique_id, type, total_excluding_vat from o_bought", ("total_excluding_vat",))
 def _ex_case_no_else(m):
     return purchase.supplier_line_values(m).select("unique_id", "type", "total_excluding_vat")
 
 
 @query("ex_coalesce", """
-select line_unique_id, qtimesp, coalesce(vat_rate, 0) as vat_rate from o_rsl_calc""", ("qtimesp", "vat_rate"))
+select line_unique_id, qp as qtimesp, coalesce(vat_rate, 0) as vat_rate from o_line_worth""", ("qtimesp", "vat_rate"))
 def _ex_coalesce(m):
     tax = m.tax_codes.select(F.col("unique_id").alias("tc_uid"), F.col("value").alias("vat_rate"))
     s = sales.sales_line_sources(m).join(tax, F.col("tax_code_id") == F.col("tc_uid"), "left")
@@ -165,7 +161,7 @@ def _ex_coalesce(m):
 
 
 @query("ex_safe_ratio", """
-select unique_id, value_no_discount, total_discount_value, total_discount_percent from o_se_combined""",
+select unique_id, value_no_discount, total_discount_value, total_discount_percent from o_sheets where book = 'every'""",
        ("value_no_discount", "total_discount_value"))
 def _ex_safe_ratio(m):
     return ledger.invoice_combined(m, "left").select("unique_id", "value_no_discount", "total_discount_value",
@@ -187,7 +183,7 @@ def _ex_blank_fallback(m):
                      blank_fallback(F.col("s_acct"), F.col("c_acct")).alias("account_reference"))
 
 
-@query("ex_default_code", "select line_unique_id, coalesce(nom_code, '4000') as nominal_ref from o_rsil")
+@query("ex_default_code", "select line_unique_id, coalesce(nom_code, '4000') as nominal_ref from o_sold")
 def _ex_default_code(m):
     return sales.rounded_sales_lines(m).select(
         "line_unique_id", F.coalesce(F.col("nom_code"), F.lit("4000")).alias("nominal_ref"))
@@ -251,9 +247,9 @@ def _jn_dim_chain(m):
 
 
 @query("jn_left_on_const", """
-select c.id, srl.description as default_library, srcl.uplift, srcl.discount
-from t_customer c left join t_sor_link srcl on c.auto_last_id = srcl.customer_id and srcl.is_default = true
-     left join t_sor_library srl on srl.id = srcl.library_id""", ("uplift", "discount"))
+select c.id, r.default_library, r.uplift, r.discount
+from t_customer c left join (select customer_id, uplift, discount, (select description from t_sor_library y where y.id = library_id) as default_library
+                             from t_sor_link where is_default) r on r.customer_id = c.auto_last_id""", ("uplift", "discount"))
 def _jn_left_on_const(m):
     link = m.sor_link.where(F.col("is_default") == F.lit(True))
     lib = m.sor_library.select(F.col("id").alias("lib_id"), F.col("description").alias("default_library"))
@@ -263,9 +259,9 @@ def _jn_left_on_const(m):
 
 
 @query("jn_or_keys", """
-select il.unique_id, pol.part_number
-from t_supplier_invoice_lines il left join t_purchase_order_lines pol
-     on pol.supplier_invoice_line_id = il.unique_id or pol.supplier_credit_line_id = il.unique_id""")
+select bought.unique_id, ordered.part_number
+from t_supplier_invoice_lines bought left join t_purchase_order_lines ordered
+     on bought.unique_id = ordered.supplier_invoice_line_id or bought.unique_id = ordered.supplier_credit_line_id""")
 def _jn_or_keys(m):
     return left_join_either_key(m.supplier_invoice_lines, "unique_id", m.purchase_order_lines,
                                 "supplier_invoice_line_id", "supplier_credit_line_id").select("unique_id",
@@ -291,10 +287,9 @@ def _jn_self_line(m):
             .select("unique_id", "credited_line_unique_id"))
 
 
-@query("jn_csv_ids", """
-select t.auto_last_id, t.value, jct.description
-from o_tmp1 t left join t_jobctl jct
-     on jct.auto_id = case when trim(t.value) = '' then 0 else try_cast(trim(t.value) as integer) end""")
+@query("jn_csv_ids", f"""
+select auto_last_id, value, (select description from t_jobctl where auto_id = {whole_number('value')}) as description
+from o_picked where list = 'type'""")
 def _jn_csv_ids(m):
     ids = explode_id_list(m.customer, "job_type_ids", ["auto_last_id"], "value")
     jct = m.jobctl.select(F.col("auto_id").alias("jct_id"), "description")
@@ -302,10 +297,7 @@ def _jn_csv_ids(m):
             .select("auto_last_id", "value", "description"))
 
 
-@query("jn_fanout", """
-select rsil.line_unique_id, co.cost_type_id as cost_type, qc.cost_type_id as qcost_type
-from o_rsil rsil left join t_cost co on co.invoice_line_id = rsil.invdet_auto_id
-     left join t_qcost qc on qc.invoice_line_id = rsil.invdet_auto_id""")
+@query("jn_fanout", "select line_unique_id, cost_type, qcost_type from o_sold_costs")
 def _jn_fanout(m):
     r = sales.rounded_sales_lines(m).select("line_unique_id", "invdet_auto_id")
     co = m.cost.select(F.col("invoice_line_id").alias("invdet_auto_id"), F.col("cost_type_id").alias("cost_type"))
@@ -320,7 +312,7 @@ def _jn_quality_filter(m):
     return m.invoice.join(j, F.col("job_auto_id") == F.col("j_auto")).select("unique_id", "job_auto_id")
 
 
-@query("ar_split_explode", "select auto_last_id, value from o_tmp1")
+@query("ar_split_explode", "select auto_last_id, value from o_picked where list = 'type'")
 def _ar_split_explode(m):
     return explode_id_list(m.customer, "job_type_ids", ["auto_last_id"], "value")
 
@@ -328,7 +320,7 @@ def _ar_split_explode(m):
 # --------------------------------------------------------------------------- #
 # aggregations                                                                #
 # --------------------------------------------------------------------------- #
-@query("ag_sum", "select invoice_guid, line_value as invoice_net from o_rsl_calc4", ("invoice_net",))
+@query("ag_sum", "select inv as invoice_guid, sum(net2) as invoice_net from o_line_worth group by inv", ("invoice_net",))
 def _ag_sum(m):
     s = sales.sales_line_sources(m)
     qtp = qty_times_price(F.col("qty"), F.col("price"))
@@ -342,19 +334,19 @@ def _ag_sum_coalesce(m):
     return m.invoice_payments.groupBy("invoice_guid").agg(sum_coalesced(F.col("amount")).alias("amount"))
 
 
-@query("ag_coalesce_sum", "select customer_auto_id, balance from o_total_receivable", ("balance",))
+@query("ag_coalesce_sum", "select customer_auto_id, balance from o_balance", ("balance",))
 def _ag_coalesce_sum(m):
     return customers.receivable_balances(m).select("customer_auto_id", "balance")
 
 
 @query("ag_conditional_sum", "select invoice_guid, type_of_invoice, excluding_vat, discount_value, including_vat "
-                             "from o_ac_grouping", ("excluding_vat", "discount_value", "including_vat"))
+                             "from o_grouped where book = 'whole'", ("excluding_vat", "discount_value", "including_vat"))
 def _ag_conditional_sum(m):
     return ledger.invoice_grouping(m, "inner").select("invoice_guid", "type_of_invoice", "excluding_vat",
                                                       "discount_value", "including_vat")
 
 
-@query("ag_sum_rounded", "select invoice_guid, type_of_invoice, vat_amount, value_no_discount from o_ac_grouping",
+@query("ag_sum_rounded", "select invoice_guid, type_of_invoice, vat_amount, value_no_discount from o_grouped where book = 'whole'",
        ("vat_amount", "value_no_discount"))
 def _ag_sum_rounded(m):
     return ledger.invoice_grouping(m, "inner").select("invoice_guid", "type_of_invoice", "vat_amount",
@@ -368,17 +360,17 @@ def _ag_count(m):
 
 @query("ag_wide_keys", "select type_of_invoice, customer_auto_id, customer_id, customer_name, site_id, site_auto_id, "
                        "site, ppm_contract_id, job_id, job_auto_id, description, user_id, invoice_type, invoice_guid, "
-                       "including_vat from o_se_grouping", ("including_vat",))
+                       "including_vat from o_grouped where book = 'every'", ("including_vat",))
 def _ag_wide_keys(m):
     return ledger.invoice_grouping(m, "left").select(*ledger.GROUP_KEYS, "including_vat")
 
 
-@query("ag_string_agg", "select auto_last_id, names from o_tmp4")
+@query("ag_string_agg", "select auto_last_id, job_categories as names from o_assigned where has_categories")
 def _ag_string_agg(m):
     return customers.job_categories_assigned(m)
 
 
-@query("ag_filtered", "select credited_invoice_guid, total_credit from o_credited", ("total_credit",))
+@query("ag_filtered", "select credited_invoice_guid, total_credit from o_credits", ("total_credit",))
 def _ag_filtered(m):
     return settlement.credit_totals(settlement.invoice_gross(m))
 
@@ -403,12 +395,12 @@ _CTX_COLS = ("invoice_type, customer_auto_id, customer_id, customer_name, site_a
              "ppm_contract_id, job_auto_id, description, user_id, type_of_invoice, invoice_guid, credit")
 
 
-@query("so_union_padded", f"select distinct {_CTX_COLS} from o_ac_ilu")
+@query("so_union_padded", f"select {_CTX_COLS} from o_heads where found and invoice_guid is not null")
 def _so_union_padded(m):
     return ledger.invoice_context(m, "inner").drop("line_key")
 
 
-@query("so_union_coerce", "select line_unique_id, auto_id as invdet_auto_id, type_of_invoice from o_rsl_union")
+@query("so_union_coerce", "select line_unique_id, cost_key as invdet_auto_id, type_of_invoice from o_line_pool")
 def _so_union_coerce(m):
     return sales.sales_line_sources(m).select("line_unique_id", "invdet_auto_id", "type_of_invoice")
 
@@ -419,10 +411,9 @@ def _so_union_preagg(m):
 
 
 @query("sc_catalog_names", """
-select l.unique_id, l.net, l.vat, l.total_including_vat, po.po_number, nc.code as nominal_code
-from o_lines l left join t_purchase_order po on po.unique_id = l.purchase_order_id
-     left join t_supplier_invoice_lines il on il.unique_id = l.unique_id
-     left join t_nominal_codes nc on nc.unique_id = il.nominal_code_id""", ("net", "vat", "total_including_vat"))
+select unique_id, net, vat, total_including_vat, nom_code as nominal_code,
+       (select po_number from t_purchase_order y where y.unique_id = purchase_order_id) as po_number
+from o_bought""", ("net", "vat", "total_including_vat"))
 def _sc_catalog_names(m):
     """The purchase lines' tables read by their three-part names, through the model and in SQL text."""
     spark = m.control.sparkSession
@@ -464,19 +455,19 @@ def _ma_cast_money(m):
     return m.invdets.select("unique_id", money(F.col("qty") * F.col("price")).alias("gross_money"))
 
 
-@query("ma_arith", "select line_unique_id, discount_value, vat_value from o_rsl_calc3", ("discount_value", "vat_value"))
+@query("ma_arith", "select line_unique_id, off2 as discount_value, vat2 as vat_value from o_line_worth", ("discount_value", "vat_value"))
 def _ma_arith(m):
     return sales.sales_line_values(m).select("line_unique_id", "discount_value", "vat_value")
 
 
-@query("ma_abs", "select line_unique_id, abs(line_value) as net_amount, abs(vat_value) as tax_amount from o_rsil",
+@query("ma_abs", "select line_unique_id, abs(line_value) as net_amount, abs(vat_value) as tax_amount from o_sold",
        ("net_amount", "tax_amount"))
 def _ma_abs(m):
     r = sales.rounded_sales_lines(m)
     return r.select("line_unique_id", F.abs("line_value").alias("net_amount"), F.abs("vat_value").alias("tax_amount"))
 
 
-@query("ma_discount_pct", "select line_unique_id, discount_percentage_calc from o_rsil", ("discount_percentage_calc",))
+@query("ma_discount_pct", "select line_unique_id, discount_percentage_calc from o_sold", ("discount_percentage_calc",))
 def _ma_discount_pct(m):
     return sales.rounded_sales_lines(m).select("line_unique_id", "discount_percentage_calc")
 
@@ -496,11 +487,9 @@ def _sr_concat_ws(m):
             .select("unique_id", F.concat_ws("/", F.col("job_id"), F.col("po_number")).alias("job_order")))
 
 
-@query("sr_concat_number", """
-select c.id, case when srcl.uplift > 0 then concat('Uplift', '-', cast(srcl.uplift as varchar), '%')
-                  when srcl.discount > 0 then concat('Discount', '-', cast(srcl.discount as varchar), '%') end
-           as uplift_discount
-from t_customer c left join t_sor_link srcl on c.auto_last_id = srcl.customer_id and srcl.is_default = true""")
+@query("sr_concat_number", f"""
+select id, uplift_discount
+from t_customer left join (select customer_id as auto_last_id, {RATE_LABEL} as uplift_discount from t_sor_link where is_default) using (auto_last_id)""")
 def _sr_concat_number(m):
     link = m.sor_link.where(F.col("is_default") == F.lit(True))
     df = m.customer.join(link, F.col("auto_last_id") == F.col("customer_id"), "left")
@@ -516,8 +505,7 @@ def _sr_left(m):
 
 
 @query("sr_ids_to_names", """
-select t2.auto_last_id, t2.names as job_types, t4.names as job_categories
-from o_tmp2 t2 left join o_tmp4 t4 on t4.auto_last_id = t2.auto_last_id""")
+select auto_last_id, job_types, job_categories from o_assigned""")
 def _sr_ids_to_names(m):
     jt = customers.job_types_assigned(m).withColumnRenamed("names", "job_types")
     jc = customers.job_categories_assigned(m).withColumnRenamed("names", "job_categories")
@@ -556,38 +544,38 @@ def _wn_first_value(m):
 # --------------------------------------------------------------------------- #
 # business chains                                                             #
 # --------------------------------------------------------------------------- #
-@query("bz_exclude_drafts", "select * from o_ed")
+@query("bz_exclude_drafts", "select * from o_issued")
 def _bz_exclude_drafts(m):
     return settlement.non_draft_headers(m)
 
 
-@query("bz_line_union_settlement", "select * from o_set_lines",
+@query("bz_line_union_settlement", "select * exclude (line_value, vat_value, including_vat) from o_due_lines",
        ("qty", "price", "discount_amount", "discount_percentage", "vat_rate"))
 def _bz_line_union_settlement(m):
     return settlement.settlement_lines(m)
 
 
-@query("bz_value_rule1", "select * from o_rule1", ("line_value", "vat_value"))
+@query("bz_value_rule1", "select invoice_guid, line_value, vat_value, credit from o_due_lines", ("line_value", "vat_value"))
 def _bz_value_rule1(m):
     return settlement.valued_settlement_lines(m)
 
 
-@query("bz_signed_gross", "select * from o_signed", ("including_vat",))
+@query("bz_signed_gross", "select invoice_guid, including_vat from o_due_lines", ("including_vat",))
 def _bz_signed_gross(m):
     return settlement.signed_gross(m)
 
 
-@query("bz_invoice_gross", "select * from o_total_calc", ("total_including_vat",))
+@query("bz_invoice_gross", "select * from o_invoice_gross", ("total_including_vat",))
 def _bz_invoice_gross(m):
     return settlement.invoice_gross(m)
 
 
-@query("bz_credit_totals", "select * from o_credited", ("total_credit",))
+@query("bz_credit_totals", "select * from o_credits", ("total_credit",))
 def _bz_credit_totals(m):
     return settlement.credit_totals(settlement.invoice_gross(m))
 
 
-@query("bz_invoice_credit_combine", "select * from o_combine", ("total_including_vat", "total_credit"))
+@query("bz_invoice_credit_combine", "select * from o_due_sides", ("total_including_vat", "total_credit"))
 def _bz_invoice_credit_combine(m):
     return settlement.invoice_credit_combine(m)
 
@@ -603,37 +591,37 @@ _LC = ("invoice_type, customer_auto_id, customer_id, customer_name, site_auto_id
        "discount_line")
 
 
-@query("bz_line_context", f"select {_LC} from o_ac_ilu", ("qty", "price", "discount_amount", "discount_percentage"))
+@query("bz_line_context", f"select {_LC} from o_entries where book = 'whole'", ("qty", "price", "discount_amount", "discount_percentage"))
 def _bz_line_context(m):
     return ledger.line_context(m, "inner").select(*[c.strip() for c in _LC.split(",")])
 
 
-@query("bz_discount_kind", "select type_of_invoice, invoice_guid, line_unique_id, discount_line from o_se_ilu")
+@query("bz_discount_kind", "select type_of_invoice, invoice_guid, line_unique_id, discount_line from o_entries where book = 'every'")
 def _bz_discount_kind(m):
     return ledger.line_context(m, "left").select("type_of_invoice", "invoice_guid", "line_unique_id", "discount_line")
 
 
-@query("bz_tax_nominal", "select invoice_guid, line_unique_id, vat_rate, tax_code, tc_uid as tax_code_id, "
-                         "nominal_code, qtimesp from o_ac_calc", ("vat_rate", "qtimesp"))
+@query("bz_tax_nominal", "select invoice_guid, line_unique_id, vat_rate, tax_code, tax_key as tax_code_id, "
+                         "nominal_code, qp as qtimesp from o_entries where book = 'whole'", ("vat_rate", "qtimesp"))
 def _bz_tax_nominal(m):
     return ledger.coded_lines(m, "inner").select("invoice_guid", "line_unique_id", "vat_rate", "tax_code",
                                                  "tax_code_id", "nominal_code", "qtimesp")
 
 
-@query("bz_value_rule2", "select invoice_guid, line_unique_id, line_value, qtimesp as line_value_no_discount "
-                         "from o_ac_calc2", ("line_value", "line_value_no_discount"))
+@query("bz_value_rule2", "select invoice_guid, line_unique_id, net as line_value, qp as line_value_no_discount "
+                         "from o_entries where book = 'whole'", ("line_value", "line_value_no_discount"))
 def _bz_value_rule2(m):
     return ledger.ledger_values(m, "inner").select("invoice_guid", "line_unique_id", "line_value",
                                                    F.col("qtimesp").alias("line_value_no_discount"))
 
 
-@query("bz_discount_vat", "select invoice_guid, line_unique_id, discount_value, vat_value from o_ac_calc3",
+@query("bz_discount_vat", "select invoice_guid, line_unique_id, saved as discount_value, vat as vat_value from o_entries where book = 'whole'",
        ("discount_value", "vat_value"))
 def _bz_discount_vat(m):
     return ledger.ledger_values(m, "inner").select("invoice_guid", "line_unique_id", "discount_value", "vat_value")
 
 
-@query("bz_global_discount", "select line_unique_id, line_value as global_line_value from o_ac_calc5",
+@query("bz_global_discount", "select line_unique_id, wide as global_line_value from o_wide where book = 'whole'",
        ("global_line_value",))
 def _bz_global_discount(m):
     return (ledger.with_global_discount(m, "inner").where(F.col("discount_line") == 2)
@@ -643,12 +631,12 @@ def _bz_global_discount(m):
 _GROUP_DBL = ("excluding_vat", "value_no_discount", "discount_value", "vat_amount", "including_vat", "global_discount")
 
 
-@query("bz_invoice_grouping", "select * from o_ac_grouping", _GROUP_DBL)
+@query("bz_invoice_grouping", "select * exclude (book) from o_grouped where book = 'whole'", _GROUP_DBL)
 def _bz_invoice_grouping(m):
     return ledger.invoice_grouping(m, "inner")
 
 
-@query("bz_invoice_combined", "select * from o_se_combined",
+@query("bz_invoice_combined", "select * exclude (book) from o_sheets where book = 'every'",
        ("vat_value", "invoice_value", "total_including_vat", "total_discount_value", "value_no_discount",
         "global_discount"))
 def _bz_invoice_combined(m):
@@ -659,40 +647,40 @@ _TOT_DBL = ("vat_value", "invoice_value", "total_including_vat", "total_discount
             "global_discount")
 
 
-@query("bz_invoice_totals", "select * from o_ac_totals", _TOT_DBL)
+@query("bz_invoice_totals", "select * exclude (book) from o_totals where book = 'whole'", _TOT_DBL)
 def _bz_invoice_totals(m):
     return ledger.invoice_totals(m, "inner")
 
 
 @query("bz_receivable", """
-select tr.customer_auto_id, tr.balance, tre.ex_ppm_balance
-from o_total_receivable tr left join o_receivable_ex_ppm tre
-     on tre.customer_auto_id is not distinct from tr.customer_auto_id""", ("balance", "ex_ppm_balance"))
+select a.customer_auto_id, a.balance,
+       (select x.ex_ppm_balance from o_balance_ex_ppm x where x.customer_auto_id is not distinct from a.customer_auto_id) as ex_ppm_balance
+from o_balance a""", ("balance", "ex_ppm_balance"))
 def _bz_receivable(m):
     return customers.receivable_balances(m).select("customer_auto_id", "balance", "ex_ppm_balance")
 
 
-@query("bz_receivable_ppm", "select customer_auto_id, ppm_balance from o_receivable_ppm", ("ppm_balance",))
+@query("bz_receivable_ppm", "select customer_auto_id, ppm_balance from o_balance_ppm", ("ppm_balance",))
 def _bz_receivable_ppm(m):
     return customers.receivable_balances(m).select("customer_auto_id", "ppm_balance")
 
 
-@query("bz_customer_tags", "select level_id, tags from o_custag")
+@query("bz_customer_tags", "select level_id, tags from o_tags")
 def _bz_customer_tags(m):
     return customers.customer_tags(m)
 
 
 @query("bz_supplier_line", """
-select unique_id, purchase_order_id, invoice_number, code as tax_code, vat_code_value, total_excluding_vat,
+select unique_id, purchase_order_id, invoice_number, tax_code, vat_code_value, total_excluding_vat,
        discount_total, net as total_excluding_vat_including_discount, vat as total_vat_amount,
        total_including_vat, nom_code, type
-from o_lines""", ("vat_code_value", "total_excluding_vat", "discount_total", "total_excluding_vat_including_discount",
+from o_bought""", ("vat_code_value", "total_excluding_vat", "discount_total", "total_excluding_vat_including_discount",
                   "total_vat_amount", "total_including_vat"))
 def _bz_supplier_line(m):
     return purchase.supplier_line_values(m)
 
 
-@query("bz_subcontractor_line", "select * from o_total_inv", ("total_excluding_vat", "vat_amount"))
+@query("bz_subcontractor_line", "select * from o_subcontracted", ("total_excluding_vat", "vat_amount"))
 def _bz_subcontractor_line(m):
     return purchase.subcontractor_line_values(m)
 
@@ -702,7 +690,7 @@ select invoice_guid, vat_rate, tax_code, tax_code_id, nom_code, details, unit_va
        invdet_auto_id, line_value, line_value_no_discount, discount_value, discount_percentage_calc, vat_value,
        including_vat, global_discount_line, job_auto_id, type_of_invoice, line_unique_id,
        credited_line_unique_id
-from o_rsil""", ("vat_rate", "unit_value", "qty", "line_value", "line_value_no_discount", "discount_value",
+from o_sold""", ("vat_rate", "unit_value", "qty", "line_value", "line_value_no_discount", "discount_value",
                  "discount_percentage_calc", "vat_value", "including_vat"))
 def _bz_rounded_lines(m):
     return sales.rounded_lines_with_credits(m)
