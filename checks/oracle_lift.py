@@ -13,23 +13,25 @@ select o_orderkey as unique_id, o_orderkey as auto_id, concat('INV', cast(o_orde
        (o_orderstatus = 'P' and o_orderkey % 5 = 0) as is_draft,
        (o_orderpriority = '5-LOW') as passed_to_accounts, o_orderdate as date,
        case when o_orderkey % 4 <> 0 then concat('PO', cast(o_orderkey % 1000 as varchar)) end as order_no,
-       cast(null as varchar) as account_number, cast(null as varchar) as name,
-       cast(null as varchar) as address1, cast(null as varchar) as address2, cast(null as varchar) as address3,
-       cast(null as varchar) as address4, cast(null as varchar) as postcode, cast(null as varchar) as reason
+       case when o_custkey % 9 <> 0 then concat('AC', cast(o_custkey as varchar)) end as account_number,
+       concat('Head ', cast(o_custkey as varchar)) as name, concat(cast(o_orderkey as varchar), ' High Street') as address1,
+       o_orderpriority as address2, case when o_custkey % 2 = 0 then o_orderstatus end as address3,
+       concat('Town ', cast(o_custkey % 40 as varchar)) as address4, concat('PC', cast(o_custkey as varchar)) as postcode,
+       case when o_orderkey % 10 = 9 then concat('reason ', o_orderstatus) end as reason
 from orders"""),
-    ("t_invoice", "select o_orderkey as unique_id, o_orderkey as job_auto_id, cast(null as bigint) as user_id "
+    ("t_invoice", "select o_orderkey as unique_id, o_orderkey as job_auto_id, o_custkey // 15 as user_id "
                   "from orders where o_orderkey % 3 = 0"),
     ("t_job", """
 select o_orderkey as auto_id, concat('J', cast(o_orderkey as varchar)) as id,
        case when o_custkey % 20 <> 0 then o_custkey end as customer_auto_id, o_custkey % 25 as site_auto_id,
        o_orderpriority as description
 from orders where o_orderkey % 30 <> 0"""),
-    ("t_ppm_invoices", "select o_orderkey as unique_id, o_orderkey % 500 as ppm_contract_id "
+    ("t_ppm_invoices", "select o_orderkey as unique_id, o_orderkey - o_orderkey % 20 as ppm_contract_id "
                        "from orders where o_orderkey % 3 = 1"),
     ("t_ppm_contract", """
 select o_orderkey as unique_id, concat('PPM', cast(o_orderkey as varchar)) as ppm_contract_number,
-       cast(null as varchar) as description, o_custkey as customer_auto_id, o_custkey % 25 as site_auto_id
-from orders where o_orderkey < 500"""),
+       concat('contract of ', o_orderpriority) as description, o_custkey as customer_auto_id, o_custkey % 25 as site_auto_id
+from orders where o_orderkey % 20 = 0 and o_orderkey % 140 <> 0"""),
     ("t_cg_invoice", "select o_orderkey as unique_id, case when o_custkey % 20 <> 0 then o_custkey end as "
                      "customer_auto_id from orders where o_orderkey % 3 = 2"),
     ("fx_line", """
@@ -67,22 +69,25 @@ select tax_code_id as unique_id, concat('T', cast(tax_code_id as varchar)) as co
 from (select distinct tax_code_id from fx_line where tax_code_id is not null and tax_code_id <> 3)"""),
     ("t_nominal_codes", "select p_partkey as unique_id, p_brand as code from part where p_partkey % 7 <> 0"),
     ("fx_pay", """
-select event_id % 5000 as invoice_guid, cast(value as decimal(12,2)) as amount, event_type
-from events where event_type in ('purchase', 'signup', 'view')"""),
-    ("t_invoice_payments", "select invoice_guid, amount from fx_pay where event_type = 'purchase'"),
+select event_id // 4 * 6 + case event_id % 4 when 0 then 0 when 1 then 1 else 5 end as invoice_guid,
+       case when event_type <> 'error' then cast(value as decimal(12,2)) end as amount, event_type
+from events where event_type <> 'click'"""),
+    ("t_invoice_payments", "select invoice_guid, amount from fx_pay where event_type in ('purchase', 'error')"),
     ("t_ppm_payments", "select invoice_guid as ppm_contract_invoice_id, amount from fx_pay where event_type = 'signup'"),
     ("t_cg_payments", "select invoice_guid, amount from fx_pay where event_type = 'view'"),
-    ("t_jobeng", "select event_id % 3000 as job_auto_id from events where event_type = 'click'"),
+    ("t_jobeng", "select event_id // 4 * 6 + event_id % 2 * 3 as job_auto_id from events where event_type = 'click'"),
     ("t_customer", """
 select c_custkey as auto_last_id, c_custkey as unique_id, concat('CUST', cast(c_custkey as varchar)) as id,
-       c_name as name, cast(null as varchar) as address1, cast(null as varchar) as address2,
-       cast(null as varchar) as address3, cast(null as varchar) as address4, cast(null as varchar) as postcode,
-       cast(null as varchar) as custom_reference, c_mktsegment as contact, cast(null as varchar) as telephone,
-       cast(null as varchar) as email_address, cast(null as varchar) as vat_number,
+       c_name as name, concat(cast(c_custkey as varchar), ' Low Road') as address1, concat('Unit ', cast(c_nationkey as varchar)) as address2,
+       case when c_custkey % 2 = 1 then c_mktsegment end as address3, concat('County ', cast(c_nationkey as varchar)) as address4,
+       concat('Z', cast(c_custkey as varchar)) as postcode, case when c_custkey % 3 <> 0 then concat('ref ', c_name) end as custom_reference,
+       c_mktsegment as contact, concat('0', cast(1000000 + c_custkey as varchar)) as telephone,
+       concat('c', cast(c_custkey as varchar), '@example.org') as email_address,
+       case when c_custkey % 4 <> 0 then concat('VAT', cast(c_custkey as varchar)) end as vat_number,
        case c_custkey % 3 when 0 then '' when 1 then concat('A', cast(c_custkey as varchar)) end as account_number,
-       cast(null as boolean) as warning1_used, cast(null as varchar) as warning1_comments,
-       cast(null as boolean) as warning2_used, cast(null as varchar) as warning2_comments,
-       cast(null as boolean) as warning3_used, cast(null as varchar) as warning3_comments,
+       (c_custkey % 2 = 0) as warning1_used, case when c_custkey % 2 = 0 then concat('first ', c_mktsegment) end as warning1_comments,
+       case when c_custkey % 3 <> 0 then (c_custkey % 3 = 1) end as warning2_used, concat('second ', c_name) as warning2_comments,
+       (c_acctbal > 5000) as warning3_used, case when c_acctbal > 5000 then 'third' end as warning3_comments,
        (c_acctbal < 0) as inactive,
        case c_custkey % 10 when 0 then null when 1 then ''
             else concat_ws(',', cast(c_nationkey as varchar), cast(c_custkey % 25 as varchar)) end as job_type_ids,
@@ -129,7 +134,7 @@ from fx_line where l_returnflag = 'A'"""),
     ("t_qcost", """
 select line_uid as invoice_line_id, case when l_linestatus = 'F' then 9 else 5 end as cost_type_id,
        l_partkey as schedule_of_rates_item_id, l_partkey as stock_item_id
-from fx_line where l_returnflag in ('A', 'N') and line_no <= 3"""),
+from fx_line where l_returnflag in ('A', 'N')"""),
     ("t_sor_item", "select p_partkey as id, concat('SR', cast(p_partkey as varchar)) as code from part "
                    "where p_partkey % 3 <> 0"),
     ("t_stock_part", "select p_partkey as stock_item_id, concat('PN', cast(p_partkey as varchar)) as number "
@@ -139,7 +144,7 @@ from fx_line where l_returnflag in ('A', 'N') and line_no <= 3"""),
 select o_orderkey as unique_id, (o_orderkey % 2 = 0) as is_supplier,
        case when o_orderkey % 10 in (4, 9) then 1 when o_orderkey % 50 in (8, 13) then 2 else 0 end as type,
        concat('PI', cast(o_orderkey as varchar)) as invoice_number, o_orderdate as date,
-       (o_orderpriority = '5-LOW') as passed_to_accounts, o_orderkey as job_auto_id, o_orderkey % 120 as party_id,
+       (o_orderpriority = '5-LOW') as passed_to_accounts, o_orderkey as job_auto_id, o_custkey // 12 as party_id,
        concat('PON', cast(o_orderkey as varchar)) as po_number
 from orders"""),
     ("t_supplier_invoice", "select unique_id, unique_id as purchase_order_id, invoice_number, type, date, "

@@ -2,8 +2,8 @@
 invoice model, so every report runs over tables that grow with the scale factor.
 
 This is test scaffolding, not part of the engine: it follows the view
-specification in FIXTURES.md §3 and fills the columns that specification
-leaves out with deterministic values (or typed NULLs). The same lift is
+specification in FIXTURES.md §3, with ranges that grow with the tables, and fills the
+columns that specification leaves out with deterministic values. The same lift is
 written independently in DuckDB SQL for the oracle (``checks/oracle_lift.py``).
 
 The modulo and range expressions below decide *which* invoice is of which
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from tallybook.sources.model import InvoiceModel
 
 
-def _null(t: str, name: str):
-    return F.lit(None).cast(t).alias(name)
+def _text(label: str, value):
+    return F.concat(F.lit(label), value.cast("string"))
 
 
 def _read(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -38,7 +38,7 @@ def lift(spark: SparkSession, root: str) -> InvoiceModel:
     region = _read(spark, root, "region")
     events = _read(spark, root, "events")
 
-    k = F.col("o_orderkey")
+    k, ck = F.col("o_orderkey"), F.col("o_custkey")
     base_invoice = orders.select(
         k.alias("unique_id"), k.alias("auto_id"),
         F.concat(F.lit("INV"), k.cast("string")).alias("id"),
@@ -48,20 +48,22 @@ def lift(spark: SparkSession, root: str) -> InvoiceModel:
         (F.col("o_orderpriority") == "5-LOW").alias("passed_to_accounts"),
         F.col("o_orderdate").alias("date"),
         F.when(k % 4 != 0, F.concat(F.lit("PO"), (k % 1000).cast("string"))).alias("order_no"),
-        *[_null("string", c) for c in ("account_number", "name", "address1", "address2", "address3",
-                                       "address4", "postcode", "reason")])
+        F.when(ck % 9 != 0, _text("AC", ck)).alias("account_number"), _text("Head ", ck).alias("name"),
+        F.concat(k.cast("string"), F.lit(" High Street")).alias("address1"), F.col("o_orderpriority").alias("address2"),
+        F.when(ck % 2 == 0, F.col("o_orderstatus")).alias("address3"), _text("Town ", ck % 40).alias("address4"),
+        _text("PC", ck).alias("postcode"), F.when(k % 10 == 9, _text("reason ", F.col("o_orderstatus"))).alias("reason"))
 
     invoice = orders.where(k % 3 == 0).select(k.alias("unique_id"), k.alias("job_auto_id"),
-                                              _null("bigint", "user_id"))
+                                              F.expr("o_custkey div 15").alias("user_id"))
     job = orders.where(k % 30 != 0).select(
         k.alias("auto_id"), F.concat(F.lit("J"), k.cast("string")).alias("id"),
         F.when(F.col("o_custkey") % 20 != 0, F.col("o_custkey")).alias("customer_auto_id"),
         (F.col("o_custkey") % 25).alias("site_auto_id"),
         F.col("o_orderpriority").alias("description"))
-    ppm_invoices = orders.where(k % 3 == 1).select(k.alias("unique_id"), (k % 500).alias("ppm_contract_id"))
-    ppm_contract = orders.where(k < 500).select(
+    ppm_invoices = orders.where(k % 3 == 1).select(k.alias("unique_id"), (k - k % 20).alias("ppm_contract_id"))
+    ppm_contract = orders.where((k % 20 == 0) & (k % 140 != 0)).select(
         k.alias("unique_id"), F.concat(F.lit("PPM"), k.cast("string")).alias("ppm_contract_number"),
-        _null("string", "description"), F.col("o_custkey").alias("customer_auto_id"),
+        _text("contract of ", F.col("o_orderpriority")).alias("description"), F.col("o_custkey").alias("customer_auto_id"),
         (F.col("o_custkey") % 25).alias("site_auto_id"))
     cg_invoice = orders.where(k % 3 == 2).select(
         k.alias("unique_id"),
@@ -111,27 +113,31 @@ def lift(spark: SparkSession, root: str) -> InvoiceModel:
     nominal_codes = part.where(F.col("p_partkey") % 7 != 0).select(
         F.col("p_partkey").alias("unique_id"), F.col("p_brand").alias("code"))
 
-    pay = events.where(F.col("event_type").isin("purchase", "signup", "view")).select(
-        (F.col("event_id") % 5000).alias("invoice_guid"), F.col("value").cast("decimal(12,2)").alias("amount"),
-        F.col("event_type"))
-    invoice_payments = pay.where(F.col("event_type") == "purchase").select("invoice_guid", "amount")
+    # four events meet three of every six invoices, over the whole range; an error is a payment without an amount
+    e, group = F.col("event_id"), F.expr("event_id div 4 * 6")
+    pay = events.where(F.col("event_type") != "click").select(
+        (group + F.when(e % 4 == 0, 0).when(e % 4 == 1, 1).otherwise(5)).alias("invoice_guid"),
+        F.when(F.col("event_type") != "error", F.col("value").cast("decimal(12,2)")).alias("amount"), F.col("event_type"))
+    invoice_payments = pay.where(F.col("event_type").isin("purchase", "error")).select("invoice_guid", "amount")
     ppm_payments = pay.where(F.col("event_type") == "signup").select(
         F.col("invoice_guid").alias("ppm_contract_invoice_id"), "amount")
     cg_payments = pay.where(F.col("event_type") == "view").select("invoice_guid", "amount")
-    jobeng = events.where(F.col("event_type") == "click").select((F.col("event_id") % 3000).alias("job_auto_id"))
+    jobeng = events.where(F.col("event_type") == "click").select((group + e % 2 * 3).alias("job_auto_id"))
 
     c = F.col("c_custkey")
     customer_m = customer.select(
         c.alias("auto_last_id"), c.alias("unique_id"), F.concat(F.lit("CUST"), c.cast("string")).alias("id"),
         F.col("c_name").alias("name"),
-        *[_null("string", x) for x in ("address1", "address2", "address3", "address4", "postcode",
-                                       "custom_reference")],
-        F.col("c_mktsegment").alias("contact"),
-        *[_null("string", x) for x in ("telephone", "email_address", "vat_number")],
+        F.concat(c.cast("string"), F.lit(" Low Road")).alias("address1"), _text("Unit ", F.col("c_nationkey")).alias("address2"),
+        F.when(c % 2 == 1, F.col("c_mktsegment")).alias("address3"), _text("County ", F.col("c_nationkey")).alias("address4"),
+        _text("Z", c).alias("postcode"), F.when(c % 3 != 0, _text("ref ", F.col("c_name"))).alias("custom_reference"),
+        F.col("c_mktsegment").alias("contact"), _text("0", c + 1000000).alias("telephone"),
+        F.concat(F.lit("c"), c.cast("string"), F.lit("@example.org")).alias("email_address"),
+        F.when(c % 4 != 0, _text("VAT", c)).alias("vat_number"),
         F.when(c % 3 == 0, F.lit("")).when(c % 3 == 1, F.concat(F.lit("A"), c.cast("string"))).alias("account_number"),
-        _null("boolean", "warning1_used"), _null("string", "warning1_comments"),
-        _null("boolean", "warning2_used"), _null("string", "warning2_comments"),
-        _null("boolean", "warning3_used"), _null("string", "warning3_comments"),
+        (c % 2 == 0).alias("warning1_used"), F.when(c % 2 == 0, _text("first ", F.col("c_mktsegment"))).alias("warning1_comments"),
+        F.when(c % 3 != 0, c % 3 == 1).alias("warning2_used"), _text("second ", F.col("c_name")).alias("warning2_comments"),
+        (F.col("c_acctbal") > 5000).alias("warning3_used"), F.when(F.col("c_acctbal") > 5000, "third").alias("warning3_comments"),
         (F.col("c_acctbal") < 0).alias("inactive"),
         F.when(c % 10 == 0, F.lit(None).cast("string")).when(c % 10 == 1, F.lit(""))
          .otherwise(F.concat_ws(",", F.col("c_nationkey").cast("string"), (c % 25).cast("string"))).alias("job_type_ids"),
@@ -172,7 +178,7 @@ def lift(spark: SparkSession, root: str) -> InvoiceModel:
         F.col("line_uid").alias("invoice_line_id"),
         F.when(F.col("l_linestatus") == "F", 5).otherwise(9).alias("cost_type_id"),
         F.col("l_suppkey").alias("engineer_auto_id"))
-    qcost = line.where(F.col("l_returnflag").isin("A", "N") & (F.col("line_no") <= 3)).select(
+    qcost = line.where(F.col("l_returnflag").isin("A", "N")).select(
         F.col("line_uid").alias("invoice_line_id"),
         F.when(F.col("l_linestatus") == "F", 9).otherwise(5).alias("cost_type_id"),
         F.col("l_partkey").alias("schedule_of_rates_item_id"), F.col("l_partkey").alias("stock_item_id"))
@@ -187,7 +193,7 @@ def lift(spark: SparkSession, root: str) -> InvoiceModel:
         F.when((k % 10).isin(4, 9), 1).when((k % 50).isin(8, 13), 2).otherwise(0).alias("type"),
         F.concat(F.lit("PI"), k.cast("string")).alias("invoice_number"), F.col("o_orderdate").alias("date"),
         (F.col("o_orderpriority") == "5-LOW").alias("passed_to_accounts"), k.alias("job_auto_id"),
-        (k % 120).alias("party_id"), F.concat(F.lit("PON"), k.cast("string")).alias("po_number"))
+        F.expr("o_custkey div 12").alias("party_id"), F.concat(F.lit("PON"), k.cast("string")).alias("po_number"))
     inv_cols = [F.col("unique_id"), F.col("unique_id").alias("purchase_order_id"), "invoice_number", "type",
                 "date", "passed_to_accounts"]
     supplier_invoice = pinv.where("is_supplier").select(*inv_cols)
