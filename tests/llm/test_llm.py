@@ -351,6 +351,39 @@ def test_threshold_stops_early():
     assert sorted(score, reverse=True) == list(score) == [2 * v for v in range(4999, 4994, -1)] and sum(met) < 100
 
 
+def test_threshold_carries_the_kth_score_and_reads_all_when_it_must():
+    r = np.random.default_rng(1)
+    for x in (r.integers(-9, 9, (700, 6)), np.sort(r.integers(0, 5000, (700, 2)), axis=0), np.repeat(r.integers(-3, 3, (7, 4)), 100, axis=0)):
+        lists, ids = threshold_topk.Lists(np.arange(700)[::-1], x), np.arange(700)[::-1]
+        for q in (x[0], -x[3], np.zeros(x.shape[1], np.int64)):
+            want = sorted((-int(s), int(i)) for s, i in zip(x @ q, ids) if i != 5)[:9]
+            found, score = lists.top(q, 9, 5)
+            assert [(-int(s), int(i)) for s, i in zip(score, found)] == want
+            if np.any(q):
+                floor = -want[4][0]
+                found, score = lists.top(q, 9, 5, floor)
+                assert [w for w in want if -w[0] >= floor] == [(-int(s), int(i)) for s, i in zip(score, found) if s >= floor][:9]
+
+
+def test_huge_components_of_searched_vectors_are_cut(spark):
+    rows = [(0, [1e300, 1.0]), (1, [1e300, 0.0]), (2, [-1e300, 5.0]), (3, [2.0, 3.0])]
+    x = threshold_topk.scaled(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = [(r["rank"], r.vec_id, r.score) for r in threshold_topk.top_k(x, x.where("vec_id = 0"), 10).orderBy("rank").collect()]
+    top = (1 << 63) - 1
+    assert got == [(1, 1, top), (2, 3, top), (3, 2, -top - 1)]
+
+
+@pytest.mark.parametrize("run", [1, 3])
+def test_top_k_over_runs_of_shards(spark, monkeypatch, run):
+    monkeypatch.setattr(threshold_topk, "SHARD_ROWS", 5)
+    monkeypatch.setattr(threshold_topk, "RUN_SHARDS", run)
+    monkeypatch.setattr(threshold_topk, "BLOCK_QUERIES", 2)
+    r = random.Random(7)
+    rows = [(i, [r.gauss(0, 1) for _ in range(4)]) for i in range(0, 400, 4)] + [(i, [1.0] * 4) for i in range(1, 30, 4)]
+    x = threshold_topk.scaled(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert sorted(map(tuple, threshold_topk.top_k(x, x.where("vec_id % 100 = 0"), 3).collect())) == brute_top(rows, 3)
+
+
 # ---- pages
 
 ARTICLE = """<!DOCTYPE html><html lang="en"><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body class="has-sidebar"><nav><ul><li>menu</li></ul></nav><!-- x <p>no</p> -->
