@@ -74,6 +74,12 @@ def op10_lang_fusion(spark, sf_dir):
     return rows.select("doc_id", F.col(name)["language"].alias("language"), F.col(name)["probability"].alias("probability"), F.col(name)["accepted"].alias("kept"))
 
 
+def pages_lang_fusion(spark, sf_dir):
+    """The fusion over pages: markup language, host and suffix of the address beside the text."""
+    rows, name = lang_fusion.of_pages(table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "url", F.col(name)["language"].alias("language"), F.col(name)["probability"].alias("probability"), F.col(name)["accepted"].alias("kept"))
+
+
 def op11_prefix_trie(spark, sf_dir):
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
@@ -91,7 +97,7 @@ def op13_zone_negatives(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (op1_fm_quality, op2_page_diff, op3_length_buckets, op4_threshold_topk, op5_counterfactual_toxicity,
                                    op6_minhash_inverted, op7_byte_bpe, op8_rans_blocks, op9_bloom_dedup, op10_lang_fusion,
-                                   op11_prefix_trie, op12_prefix_forest, op13_zone_negatives)}
+                                   op11_prefix_trie, op12_prefix_forest, op13_zone_negatives, pages_lang_fusion)}
 
 ORACLE = {
     "op4_threshold_topk": """

@@ -13,6 +13,7 @@ import re
 import struct
 import time
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -593,6 +594,66 @@ def test_language_of_pages(spark):
     assert sum(r.l == r.d for r in rows) >= 0.97 * len(rows)
 
 
+def plain_fusion(rows):
+    """(id, text, declared, host) rows -> {id: (language, probability, accepted)}, by the formula alone."""
+    m = lang_fusion
+    grams = {i: [int(b) for b in m.trigrams(t)] for i, t, _, _ in rows}
+    names = sorted({d for _, _, d, _ in rows if d is not None})
+    counts = {k: Counter(b for i, _, d, _ in rows if d == k for b in grams[i]) for k in names}
+    every = sum(counts.values(), Counter())
+    total = sum(every.values())
+    corpus = lambda b: (every[b] + 0.1) / (total + 0.1 * m.BUCKETS)
+    like = {k: Counter() for k in names}
+    for k in names:
+        size = sum(counts[k].values()) + m.SMOOTH
+        like[k] = lambda b, k=k, size=size: math.log((counts[k][b] + m.SMOOTH * corpus(b)) / size)
+    mean = {i: {k: sum(map(like[k], g)) / len(g) for k in names} for i, g in grams.items() if g}
+    seen = {i: max(names, key=lambda k: (v[k], -names.index(k))) for i, v in mean.items()}
+    suffix = lambda h: h.rsplit(".", 1)[1] if "." in h else ""
+    n_seen, n_said, n_host, n_suffix = Counter(), Counter(), Counter(), Counter()
+    for i, _, d, h in rows:
+        if i in seen:
+            n_seen[seen[i]] += 1
+            n_said[d, seen[i]] += 1
+            n_host[h, seen[i]] += 1
+            n_suffix[suffix(h), seen[i]] += 1
+    lettered, size = sum(n_seen.values()), len(names)
+
+    def shares(n, key, towards):
+        all_ = sum(n[key, k] for k in names)
+        return {k: (n[key, k] + m.HOST_WEIGHT * towards[k]) / (all_ + m.HOST_WEIGHT) for k in names}
+    base = {k: (n_seen[k] + 1) / (lettered + size) for k in names}
+    out = {}
+    for i, _, d, h in rows:
+        if i not in seen:
+            out[i] = (None, 0.0, False)
+            continue
+        n, prior = len(grams[i]), shares(n_host, h, shares(n_suffix, suffix(h), base))
+        score = {k: mean[i][k] * min(n, m.EFFECTIVE) + math.log((n_said[d, k] + 0.5) / (n_seen[k] + 0.5 * (size + 1))) + math.log(prior[k]) for k in names}
+        best = max(names, key=lambda k: (score[k], -names.index(k)))
+        p = 1 / sum(math.exp(v - score[best]) for v in score.values())
+        out[i] = (best, p, p >= m.SURE and (mean[i][best] >= -math.log(m.BUCKETS) or n < m.ENOUGH))
+    return out
+
+
+def test_page_query_is_the_fusion_formula(spark):
+    pages = common.table(spark, SF, "pages").select("page_id", F.regexp_replace(F.coalesce("html", F.lit("")), r"(?is)<(script|style)\b.*?</\1\s*>|<[^>]*>", " "),
+                                                    lang_fusion.declared_in(F.col("html")), lang_fusion.host_of(F.col("url")))
+    want = plain_fusion([tuple(r) for r in pages.collect()])
+    got = {r.page_id: r for r in queries.QUERIES["pages_lang_fusion"](spark, SF).collect()}
+    assert set(got) == set(want) and len({h.rsplit(".", 1)[-1] for *_, h in pages.collect()}) > 1
+    for i, (language, p, kept) in want.items():
+        assert (got[i].language, got[i].kept) == (language, kept) and got[i].probability == pytest.approx(p, abs=1e-9)
+
+
+def test_document_query_is_the_fusion_formula(spark):
+    docs = [tuple(r) for r in common.table(spark, SF, "documents").select("doc_id", "text", "lang", F.coalesce("source", F.lit(""))).collect()]
+    want = plain_fusion(docs)
+    for r in queries.QUERIES["op10_lang_fusion"](spark, SF).collect():
+        language, p, kept = want[r.doc_id]
+        assert (r.language, r.kept) == (language, kept) and r.probability == pytest.approx(p, abs=1e-9)
+
+
 # ---- SQL and the pipeline
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
