@@ -122,20 +122,16 @@ def text_model(docs: DataFrame, text: str, declared: str) -> tuple[list[str], Te
     return languages, TextModel(len(languages), *(counts[c].to_numpy(np.int64) for c in ("l", "bucket", "n")))
 
 
-def _likelihoods(docs: DataFrame, text: str, model: TextModel) -> Column:
-    """struct: seen (the language likeliest by the text, null without letters), mean (log likelihood of a trigram, per language), n."""
+def _likeliest(docs: DataFrame, text: str, model: TextModel) -> Column:
+    """The place of the language likeliest by the text; null without letters."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("seen int, mean array<double>, n long")
-    def likelihoods(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("int")
+    def likeliest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            out = []
-            for t in texts:
-                x = trigrams(t)
-                mean = shared.value.mean(x) if len(x) else None
-                out.append((int(np.argmax(mean)) if len(x) else None, mean, len(x)))
-            yield pd.DataFrame({"seen": pd.array([o[0] for o in out], "Int32"), "mean": [o[1] for o in out], "n": [o[2] for o in out]})
-    return likelihoods(text)
+            grams = map(trigrams, texts)
+            yield pd.Series([int(np.argmax(shared.value.mean(x))) if len(x) else None for x in grams], dtype="Int32")
+    return likeliest(text)
 
 
 def _smoothed(seen: np.ndarray | None, n: np.ndarray | None, towards: np.ndarray) -> np.ndarray:
@@ -156,9 +152,9 @@ def identify(docs: DataFrame, text: Column, declared: Column, host: Column) -> t
     if not languages:
         return docs.withColumn(out, F.struct(F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("probability"), F.lit(False).alias("accepted"))), out
     size, place = len(languages), {k: i for i, k in enumerate(languages)}
-    rows = rows.withColumn(got, _likelihoods(rows, names["text"], model))
-    counts = staged(rows.select(F.col(names["host"]).alias("host"), F.col(names["suffix"]).alias("suffix"), F.col(names["declared"]).alias("declared"), F.col(got)["seen"].alias("seen"))
-                    .where("seen is not null").groupBy("host", "suffix", "declared", "seen").count(), "languages")
+    counts = staged(rows.select(F.col(names["host"]).alias("host"), F.col(names["suffix"]).alias("suffix"), F.col(names["declared"]).alias("declared"), _likeliest(rows, names["text"], model).alias("seen"))
+                    .groupBy("host", "suffix", "declared", "seen").count(), "languages")
+    counts = counts.where("seen is not null")  # of the written rows: below the count it would have Spark read each text twice
 
     # how languages are declared: the pairs that occur, each other one counting 0.5
     pairs = [(place.get(r[0], size), r[1], r[2]) for r in counts.groupBy("declared", "seen").agg(F.sum("count").alias("n")).collect()]
@@ -175,24 +171,25 @@ def identify(docs: DataFrame, text: Column, declared: Column, host: Column) -> t
     suffixes = tally("suffix").select("suffix", F.col("all").alias(f"{got}s"))
     priors = staged(tally("host", "suffix").join(suffixes, "suffix").select(F.col("host").alias(f"{got}k"), F.col("all").alias(f"{got}h"), f"{got}s"), "priors")
     rows = rows.join(priors, F.col(names["host"]) == F.col(f"{got}k"), "left")
-    shared = docs.sparkSession.sparkContext.broadcast((languages, place, said, unsaid, corpus))
+    shared = docs.sparkSession.sparkContext.broadcast((model, languages, place, said, unsaid, corpus))
 
     @F.pandas_udf("language string, probability double, accepted boolean")
     def verdicts(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        languages, place, said, unsaid, corpus = shared.value
+        model, languages, place, said, unsaid, corpus = shared.value
 
         def declaring(name):
             p = unsaid.copy()
             for s, v in said.get(place.get(name, size), ()):
                 p[s] += v
             return p
-        for mean, n, declared, host, *lists in batches:
-            language, probability, accepted = np.full(len(n), None, object), np.zeros(len(n)), np.zeros(len(n), bool)
-            lettered = np.flatnonzero(mean.notna())
+        for texts, declared, host, *lists in batches:
+            language, probability, accepted = np.full(len(texts), None, object), np.zeros(len(texts)), np.zeros(len(texts), bool)
             step = max(1, CELLS // size)
-            for k in range(0, len(lettered), step):
-                own = lettered[k:k + step]
-                m, many = np.stack([mean.iloc[i] for i in own]), n.to_numpy()[own]
+            for k in range(0, len(texts), step):
+                got = [(k + i, len(x), model.mean(x)) for i, t in enumerate(texts.iloc[k:k + step]) if len(x := trigrams(t))]
+                if not got:
+                    continue
+                own, many, m = np.array([i for i, *_ in got]), np.array([n for _, n, _ in got]), np.stack([v for *_, v in got])
                 declarations, hosts = {}, {}
                 for i in own:
                     if declared.iloc[i] not in declarations:
@@ -208,7 +205,7 @@ def identify(docs: DataFrame, text: Column, declared: Column, host: Column) -> t
                 language[own], probability[own] = [languages[a] for a in at], sure
                 accepted[own] = (sure >= SURE) & ((m[np.arange(len(own)), at] >= -np.log(BUCKETS)) | (many < ENOUGH))
             yield pd.DataFrame({"language": language, "probability": probability, "accepted": accepted})
-    verdict = verdicts(F.col(got)["mean"], F.col(got)["n"], names["declared"], names["host"], *[F.col(f"{got}{k}")[f] for k in "hs" for f in ("seen", "n")])
+    verdict = verdicts(names["text"], names["declared"], names["host"], *[F.col(f"{got}{k}")[f] for k in "hs" for f in ("seen", "n")])
     return rows.withColumn(out, verdict).select(*docs.columns, out), out
 
 
