@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import ranked, staged
+from tallybook.llm.common import give_back, ranked, staged
 from tallybook.llm.rans import piece_ids
 
 MAX_LENGTH, BUCKETS, BUDGET = 2048, 16, 1 << 16
@@ -53,6 +53,7 @@ def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int = BUCKETS)
 def token_counts(docs: DataFrame, tokenizer: str, added: bool = False) -> DataFrame:
     """doc_id, n_tokens with the end id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         ids = piece_ids(tokenizer, added)
         for b in batches:
             n = [len(ids.encode(t.as_py() or "")) // ids.kind.itemsize + 1 for t in b.column("text")]
