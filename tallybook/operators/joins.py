@@ -3,7 +3,8 @@
 Lookups to small dimensions are plain left joins: adaptive execution turns
 them into broadcast joins once the real (filtered) size is known, and keeps a
 shuffle join when a dimension is large. No broadcast hint is given on tables
-whose size nothing bounds.
+whose size nothing bounds. The tax codes get one: there are as many as VAT rates,
+and a shuffle by them would leave all lines to a handful of tasks.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallybook.operators.skew import tasks_for
+
 
 def null_columns(df: DataFrame, like: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
     """Add every column of ``like`` (except ``skip``) to ``df`` as a typed NULL."""
@@ -33,11 +36,23 @@ def left_join_many(one: DataFrame, many: DataFrame, on: str | Sequence[str],
 
     ``present`` may give those keys from a cheaper source (e.g. the raw table
     an expensive ``many`` is derived from row for row).
+
+    Rows of ``one`` are hashed and those of ``many`` pass by unsorted, so a task's
+    memory follows its keys, not its lines. Adaptive execution merges partitions
+    by compressed size, which would let the narrow anti join take millions of
+    keys in a task: its number of partitions follows the number of rows.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    matched = one.join(many, keys, "inner")
-    present = (many if present is None else present).select(*keys).dropna(how="any").distinct()
-    unmatched = null_columns(one.join(present, keys, "left_anti"), many, skip=keys)
+    matched = one.hint("shuffle_hash").join(many, keys, "inner")
+    source = (many if present is None else present).select(*keys)
+    tasks = tasks_for(source)
+    present = source.dropna(how="any").distinct()
+    if tasks is None:
+        alone = one.join(present, keys, "left_anti")
+    else:  # as an outer join, since an anti join would be moved below the repartition
+        present = present.withColumn("__present", F.lit(True)).repartition(tasks, *keys)
+        alone = one.repartition(tasks, *keys).join(present, keys, "left").where(F.col("__present").isNull()).drop("__present")
+    unmatched = null_columns(alone, many, skip=keys)
     return matched.unionByName(unmatched)
 
 

@@ -8,6 +8,7 @@ are hot is either known beforehand (:func:`join_known_hot`) or measured from row
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 #: A key is hot from this share of all rows on. At most 1 / HOT_SHARE keys are, which bounds what is broadcast.
 HOT_SHARE = 1 / 1024
 PIECES = 16
+#: Rows that one task of a join gets at most, on average, where :func:`tasks_for` sets the number of tasks.
+ROWS_PER_TASK = 500_000
 _PIECE = "__piece"
 
 
@@ -26,6 +29,12 @@ def _copies(pieces: Column) -> Column:
     return F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1))
 
 
+def tasks_for(rows: DataFrame) -> int | None:
+    """Number of partitions in which a join of these rows, which are counted, keeps its tasks small; None if the session's own will do."""
+    n = rows.count()
+    return None if n <= ROWS_PER_TASK else max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), ceil(n / ROWS_PER_TASK))
+
+
 def join_known_hot(many: DataFrame, one: DataFrame, key: str, hot: Column, spread: Sequence[str], how: str = "left",
                    pieces: int | None = None) -> DataFrame:
     """``many JOIN one USING (key)`` where ``hot`` is a value that many rows of ``many`` share.

@@ -63,3 +63,16 @@ def test_string_agg_sorted_skips_nulls_all_null_is_null(spark):
     df = spark.createDataFrame([(1, "b"), (1, None), (1, "a"), (2, None)], "k int, t string")
     got = dict(df.groupBy("k").agg(string_agg("t").alias("s")).collect())
     assert got == {1: "a, b", 2: None}
+
+
+def test_left_join_many_over_many_tasks(spark, monkeypatch):
+    """From some number of lines on, the number of partitions follows it; the rows stay those of the plain join."""
+    from tallybook.operators import skew
+    one = spark.range(3000).select(F.when(F.col("id") % 50 > 0, F.col("id")).alias("k"), F.col("id").alias("x"))
+    many = spark.range(4000).select((F.col("id") % 2000).alias("k"), F.col("id").alias("y"))
+    want = sorted(map(str, one.join(many, "k", "left").select("k", "x", "y").collect()))
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 100)
+    got = left_join_many(one, many, "k").select("k", "x", "y")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and ", 40)" in plan
+    assert sorted(map(str, got.collect())) == want
