@@ -45,7 +45,7 @@ def tagged_lines(m: InvoiceModel) -> DataFrame:
                            "discount_amount", "discount_percentage", "tax_code_id")
     c = m.cg_lines.select(F.lit("C").alias("source"), *cols)
     tax = m.tax_codes.select(F.col("unique_id").alias("tax_code_id"), F.col("value").alias("vat_rate"))
-    return s.unionByName(p).unionByName(c).join(tax, "tax_code_id", "left").drop("tax_code_id")
+    return s.unionByName(p).unionByName(c).join(F.broadcast(tax), "tax_code_id", "left").drop("tax_code_id")
 
 
 def _invoices_with_job(m: InvoiceModel) -> DataFrame:
