@@ -6,10 +6,12 @@ import ctypes
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -85,6 +87,56 @@ def give_back() -> None:
         pass
 
 
+def _bytes(*values: int) -> np.ndarray:
+    among = np.zeros(256, bool)
+    among[list(values)] = True
+    return among
+
+
+_WHITE, _CONTROL_WHITE = (9, 10, 11, 12, 13, 32), (28, 29, 30, 31)
+_KIND = np.zeros(256, np.uint8)  # of letters, digits and signs (all but the apostrophe) of ASCII
+for _k, _chars in enumerate((b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"), 1):
+    _KIND[list(_chars)] = _k
+_CUT, _BEFORE = _bytes(*_WHITE), _bytes(*_WHITE, *_CONTROL_WHITE)
+#: First bytes of the characters beyond ASCII that are white space, and of many that aren't.
+_WIDE = _bytes(0xE1, 0xE2, 0xE3)
+_AFTER = _bytes(*_WHITE, *_CONTROL_WHITE, 0xC2, 0xE1, 0xE2, 0xE3)
+
+
+def units(texts: pa.StringArray) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The texts cut before single ASCII white space characters and between letters, digits and signs of ASCII, and how many units
+    each text has (one at least). No cut is made before white space that may have more of any kind on either side, so a run of it
+    is never parted from itself or from what follows, and none beside an apostrophe."""
+    texts = texts.cast(pa.string()).fill_null("")
+    offsets, data = texts.buffers()[1:]
+    bounds = np.frombuffer(offsets, np.int32)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int32)
+    first, bounds = int(bounds[0]), bounds.astype(np.int64) - bounds[0]
+    data = (data or pa.py_buffer(b"")).slice(first, int(bounds[-1]))
+    raw = np.frombuffer(data, np.uint8)
+    at = np.flatnonzero(_CUT[raw])
+    at = at[(at > 2) & (at + 1 < len(raw))]
+    before = raw[at - 1]
+    white = _BEFORE[before] | (before >= 0x80) & ((raw[at - 2] == 0xC2) | _WIDE[raw[at - 3]])
+    cut, kind = np.zeros(len(raw), bool), _KIND[raw]
+    cut[1:] = (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
+    cut[at[~(white | _AFTER[raw[at + 1]])]] = True
+    at = np.flatnonzero(cut)
+    at = np.delete(at, (i := np.searchsorted(at, bounds))[np.append(at, -1)[i] == bounds])  # texts begin there anyway
+    i = np.searchsorted(at, bounds)
+    ends = np.append(np.insert(at, i[:-1], bounds[:-1]), bounds[-1]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), data).dictionary_encode(), np.diff(i) + 1
+
+
+def text_slices(b: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """``b`` in slices of rows whose texts have about ``most`` bytes, one row at least."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at, done = 0, 0
+    while at < b.num_rows:
+        end = max(at + 1, int(np.searchsorted(sizes, done + most, "right")))
+        yield b.slice(at, end - at)
+        at, done = end, int(sizes[end - 1])
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

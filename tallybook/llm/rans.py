@@ -19,12 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import partitions, scratch, staged
+from tallybook.llm.common import partitions, scratch, staged, text_slices, units
 
 END_ID = 1
 BITS, LOW = 20, np.uint64(1 << 31)
@@ -32,6 +33,8 @@ LANES, STRIDE, BLOCK_TOKENS = 1024, 128, 1 << 18
 MAGIC, HEAD = b"RNS1", struct.Struct("<4sQIIIIII")
 #: Pre-tokens that a worker remembers the ids of, and the longest of them.
 CACHE_WORDS, CACHE_CHARS = 400_000, 64
+#: Bytes of text that are cut into units at a time; each different unit among them is looked at once.
+SLICE = 1 << 23
 #: Characters other than ASCII, Latin-1, Latin Extended-A and general punctuation.
 OTHER = re.compile("[^\x00-\x1b\x20-\x84\x86-\u017f\u2010-\u2027\u2030-\u205e]")
 #: The pattern of the word vocabulary's pre-tokenizer (fixed value), and its matches in lower-case texts without those others.
@@ -39,10 +42,14 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ſ]+|[0-9²³¹¼-¾]|[^\\sa-zªµºß-öø-ſ0-9²³¹¼-¾]+")
 
 
+#: OTHER in the syntax of Arrow's patterns.
+OTHER_RE2 = r"[^\x00-\x1b\x20-\x{84}\x{86}-\x{17f}\x{2010}-\x{2027}\x{2030}-\x{205e}]"
+
+
 # ---- tokens
 
 class PieceIds(dict):
-    """Pre-token -> ids as little-endian bytes, encoded on first use by the tokenizer's model.
+    """Pre-token, or unit of them, of a plain text -> ids as little-endian bytes, encoded on first use by the tokenizer's model.
     With ``added`` the file's special tokens are found in texts, as by the library's default; else their strings are ordinary text."""
 
     def __init__(self, path: str, added: bool = False):
@@ -59,20 +66,22 @@ class PieceIds(dict):
         self.one = struct.Struct("<H" if self.kind.itemsize == 2 else "<I").pack
         self.old: dict[str, bytes] = {}
 
-    def __missing__(self, word: str) -> bytes:
-        if (ids := self.old.get(word)) is None:
-            if word.isascii() and word.isprintable():
-                found = self.model.tokenize(word)
-            else:  # the pre-tokenizer writes each byte as a character, control characters as others
-                found = [t for w, _ in self.pre_tokenizer.pre_tokenize_str(word) for t in self.model.tokenize(w)]
-            ids = b"".join([self.one(t.id) for t in found])
-        if len(word) <= CACHE_CHARS:
+    def __missing__(self, unit: str) -> bytes:
+        if (ids := self.old.get(unit)) is None:
+            ids = b"".join([self.one(t.id) for word in WORD.findall(unit.lower()) for t in self._tokens(word)])
+        if len(unit) <= CACHE_CHARS:
             if len(self) >= CACHE_WORDS:
                 self.old = dict(self)
                 self.clear()
-            self[word] = ids
+            self[unit] = ids
         return ids
 
+    def _tokens(self, word: str) -> list:
+        if word.isascii() and word.isprintable():
+            return self.model.tokenize(word)
+        # the pre-tokenizer writes each byte as a character, control characters as others
+        return [t for w, _ in self.pre_tokenizer.pre_tokenize_str(word) for t in self.model.tokenize(w)]
+
     def encode(self, text: str) -> bytes:
         """As the whole tokenizer would. Where a text has only plain Latin characters and no added token, lower case
         is all that the normalizer does to its words and WORD finds the pre-tokens."""
@@ -80,6 +89,28 @@ class PieceIds(dict):
             return b"".join(map(self.__getitem__, WORD.findall(text.lower())))
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
+    def encode_units(self, texts: pa.StringArray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The ids of different units of the texts, for each unit which they are, and how many units each text has. A plain text's units
+        are such that no pre-token lies across a cut; any other text is one unit."""
+        plain = pa.array(np.zeros(len(texts), bool))
+        if self.known:
+            plain = pc.invert(pc.fill_null(pc.match_substring_regex(texts, OTHER_RE2), False))
+            for a in self.added:
+                plain = pc.and_(plain, pc.invert(pc.fill_null(pc.match_substring(texts, a), False)))
+        cut, own = units(texts.filter(plain))
+        ids = list(map(self.__getitem__, cut.dictionary.to_pylist()))
+        codes = cut.indices.to_numpy()
+        if len(own) == len(texts):
+            return ids, codes, own
+        plain = plain.to_numpy(zero_copy_only=False)
+        sizes = np.ones(len(texts), np.int64)
+        sizes[plain] = own
+        from_plain = np.repeat(plain, sizes)
+        which = np.empty(len(from_plain), np.int64)
+        which[from_plain] = codes
+        which[~from_plain] = np.arange(len(ids), len(ids) + np.count_nonzero(~plain))
+        return ids + [self.encode(t) for t in texts.filter(pa.array(~plain)).to_pylist()], which, sizes
+
 
 _CACHES: dict[tuple[str, bool], PieceIds] = {}  # in each Python worker
 
@@ -91,32 +122,38 @@ def piece_ids(path: str, added: bool = False) -> PieceIds:
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int = END_ID, added: bool = False) -> DataFrame:
-    """doc_id and ids (little-endian bytes, the end id included) of each document."""
+    """doc_id and ids (little-endian bytes, the end id included) of each document; counts is null. Each task adds a row with neither
+    doc_id nor ids, whose counts are how often each id occurs in the task (little-endian, 8 bytes each)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = piece_ids(path, added)
         end = np.array([end_id], pieces.kind).tobytes()
+        counts = np.zeros(pieces.vocabulary, "<i8")
         for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                part = b.slice(at, 1000)
-                ids = pa.array([pieces.encode(t) + end if t else end for t in part.column("text").to_pylist()], pa.binary())
-                yield pa.record_batch([part.column("doc_id"), ids], ["doc_id", "ids"])
+            for part in text_slices(b, "text", SLICE):
+                ids, which, sizes = pieces.encode_units(part.column("text").fill_null(""))
+                every = pa.array(ids, pa.binary()).take(pa.array(which))
+                places = np.frombuffer(every.buffers()[1], np.int32)[np.cumsum([0, *sizes])]
+                data = memoryview(every.buffers()[2] or b"")
+                counts += np.bincount(np.frombuffer(data[:places[-1]], pieces.kind), minlength=len(counts))
+                counts[end_id] += part.num_rows
+                out = pa.array([bytes(data[i:j]) + end for i, j in zip(places, places[1:])], pa.binary())
+                yield pa.record_batch([part.column("doc_id"), out, pa.nulls(len(out), pa.binary())], ["doc_id", "ids", "counts"])
+        yield pa.record_batch([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([counts.tobytes()], pa.binary())], ["doc_id", "ids", "counts"])
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return docs.mapInArrow(run, "doc_id long, ids binary")
+    return docs.mapInArrow(run, "doc_id long, ids binary, counts binary")
 
 
 def count_ids(tokens: DataFrame, path: str, added: bool = False) -> np.ndarray:
-    """How often each id occurs. What reaches the driver is one row per id of the vocabulary."""
+    """How often each id occurs, by the tasks' counts. What reaches the driver is one row per id of the vocabulary."""
     def run(batches):
-        pieces = piece_ids(path, added)
-        n = np.zeros(pieces.vocabulary, np.int64)
+        n = None
         for b in batches:
-            for ids in b.column(0):
-                n += np.bincount(np.frombuffer(ids.as_buffer(), pieces.kind), minlength=len(n)) if len(ids.as_buffer()) > 1 << 14 else 0
-            small = b"".join(x for x in b.column(0).to_pylist() if len(x) <= 1 << 14)
-            n += np.bincount(np.frombuffer(small, pieces.kind), minlength=len(n))
-        at = np.flatnonzero(n)
-        yield pa.record_batch([pa.array(at, pa.int64()), pa.array(n[at], pa.int64())], ["id", "n"])
-    got = tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+            for counts in b.column(0).to_pylist():
+                n = np.frombuffer(counts, "<i8") + (0 if n is None else n)
+        if n is not None:
+            at = np.flatnonzero(n)
+            yield pa.record_batch([pa.array(at, pa.int64()), pa.array(n[at], pa.int64())], ["id", "n"])
+    got = tokens.where("counts is not null").select("counts").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(piece_ids(path, added).vocabulary, np.int64)
     counts[got["id"].to_numpy(np.int64)] = got["n"].to_numpy(np.int64)
     return counts
@@ -243,6 +280,7 @@ def write(docs: DataFrame, tokenizer: str, out: str, block_tokens: int = BLOCK_T
                 n += len(x)
         if ids:
             yield flush()
+    tokens = tokens.where("ids is not null").select("doc_id", "ids")
     (tokens.repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id")
      .mapInArrow(run, "part int, block long, n_tokens long, data binary")
      .write.option("compression", "none").parquet(out))

@@ -258,6 +258,46 @@ def test_word_ids_of_control_characters_are_the_tokenizers():
         assert list(np.frombuffer(own.encode(text), own.kind)) == t.encode(text, add_special_tokens=False).ids, text
 
 
+def odd_texts(n):
+    r = random.Random(11)
+    kinds = ["ab'sté É̈漢Σςİßſ1２½!#,. .  \n\t\x0b\x1c\x85\xa0\u2003\u3000  <|>\x00\x7f\u2019\u2014", "ab é,.\n\xa0'str12vedlm_(İ"]
+    return [None, "", *("".join(r.choices(r.choice(kinds), k=r.randint(0, 14))) for _ in range(n)), "a <|endoftext|> b", None, "<|startoftext|>", ""]
+
+
+def test_units_are_cut_between_words_of_both_patterns():
+    import pyarrow as pa
+    import regex
+
+    texts, find, word = odd_texts(4000), regex.compile(public_tokenizers.PATTERN), regex.compile(rans.SPLIT)
+    for at in (0, 1, 1500):
+        cut, sizes = common.units(pa.array(texts).slice(at))
+        every, ends = cut.to_pylist(), np.cumsum([0, *sizes])
+        for i, t in enumerate(texts[at:]):
+            mine = every[ends[i]:ends[i + 1]]
+            assert "".join(mine) == (t or "")
+            assert [w for u in mine for w in find.findall(u)] == find.findall(t or "") and [w for u in mine for w in word.findall(u)] == word.findall(t or ""), t
+    assert len(common.units(pa.array([], pa.string()))[1]) == 0
+    assert common.units(pa.array(["the cat (the cat), the cat"]))[0].dictionary.to_pylist() == ["the", " cat", " (", "),", " the"]
+
+
+def test_ids_of_units_are_the_tokenizers():
+    import pyarrow as pa
+
+    t, own, texts = Tokenizer.from_file(WORDS), rans.PieceIds(WORDS, True), odd_texts(4000)
+    ids, which, sizes = own.encode_units(pa.array(texts).fill_null(""))
+    ends = np.cumsum([0, *sizes])
+    for i, text in enumerate(texts):
+        got = b"".join(ids[k] for k in which[ends[i]:ends[i + 1]])
+        assert list(np.frombuffer(got, own.kind)) == t.encode(text or "", add_special_tokens=False).ids, text
+    assert len(own.encode_units(pa.array(["and so on, and so on"] * 1000))[0]) == 5  # each different unit is looked at once
+
+
+def test_ids_are_counted_while_they_are_made(spark):
+    rows = rans.tokenize(docs_of(spark, EDGES), WORDS, added=True)
+    ids = np.concatenate([np.frombuffer(r.ids, "<u2") for r in rows.collect() if r.ids is not None])
+    assert (rans.count_ids(rows, WORDS, True) == np.bincount(ids, minlength=len(rans.count_ids(rows, WORDS, True)))).all() and len(ids) > 5000
+
+
 def test_queries_find_added_tokens(spark, tmp_path):
     import corpus_pipeline
 
