@@ -3,7 +3,7 @@
 Texts are split into words (the matches of the vocabulary's pattern). Each distinct word is encoded once: an
 ``aggregate`` folds its bytes, merging in every step the leftmost adjacent pair of least rank, looked up in a
 literal map of ranks; decoding concatenates the binary pieces of the ids. Documents are then put together from
-their words' ids.
+their words' ids: texts are cut into units that no word lies across, and each different unit of a batch is split and put together once.
 
 Words that are frequent in the corpus (at most ``DICTIONARY``, by counts over all documents) are encoded once for
 all and shared; the others once for each batch of documents, so texts are never shuffled. Keys are strings with
@@ -25,20 +25,25 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
+from public_tokenizers import PATTERN
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import staged
+from tallybook.llm.common import staged, text_slices, units
 
 BUCKETS = 1 << 14
 NONE = 2147483647
-DICTIONARY = 1 << 17
+DICTIONARY = 1 << 19
 LONG_WORD = 256
-BATCH_WORDS, COUNTED_WORDS = 1 << 21, 1 << 18
+COUNTED_WORDS = 1 << 18
+#: Bytes of text that are cut into units at a time; rare words are encoded once for each such batch.
+SLICE = 1 << 23
 #: Letters and numbers up to here have long been the same for everyone.
 BEYOND_LATIN = re.compile("[^\x00-\u0250]")
 
@@ -155,6 +160,13 @@ def encode_long(word: bytes, path: str) -> list[int]:
     return [rank[p] for p in parts if p is not None]
 
 
+def _words(texts: pa.StringArray, pattern: regex.Pattern) -> tuple[pa.DictionaryArray, np.ndarray, list[list[str]]]:
+    """The units of the texts, how many each text has, and the words of each different unit. Patterns that may not be cut by
+    :func:`units` have whole texts as units."""
+    cut, sizes = units(texts) if pattern.pattern == PATTERN else (texts.fill_null("").dictionary_encode(), np.ones(len(texts), np.int64))
+    return cut, sizes, [split_words(u, pattern) for u in cut.dictionary.to_pylist()]
+
+
 def _frequent(docs: DataFrame, pattern: str) -> DataFrame:
     """word: those of the corpus that are frequent, at most DICTIONARY."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,8 +176,11 @@ def _frequent(docs: DataFrame, pattern: str) -> DataFrame:
             short = [w for w in n if len(w) <= LONG_WORD // 4]
             return pa.record_batch([pa.array(short, pa.string()), pa.array([n[w] for w in short], pa.int64())], ["word", "n"])
         for b in batches:
-            for text in b.column(0):
-                n.update(split_words(text.as_py() or "", find))
+            for part in text_slices(b, "text", SLICE):
+                cut, _, words = _words(part.column("text"), find)
+                for unit, k in zip(words, np.bincount(cut.indices.to_numpy(), minlength=len(words)).tolist()):
+                    for w in unit:
+                        n[w] += k
                 if len(n) >= COUNTED_WORDS:
                     yield out()
                     n.clear()
@@ -182,77 +197,70 @@ def _frequent(docs: DataFrame, pattern: str) -> DataFrame:
     return counts.where(step >= least if least is not None else F.lit(False)).select("word")
 
 
+def _joined(ids: pa.ListArray) -> pa.StringArray:
+    """The decimal ids of each list, a comma after each of them."""
+    ends = pa.array(np.cumsum([0, *ids.value_lengths().to_pylist()]), pa.int32())
+    text = pc.binary_join(pa.ListArray.from_arrays(ends, ids.flatten().cast(pa.string())), ",")
+    return pc.if_else(pc.equal(ids.value_lengths(), 0), text, pc.binary_join_element_wise(text, "", ","))
+
+
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     frequent = _frequent(docs, pattern).select("word", F.decode(F.encode("word", "UTF-8"), "ISO-8859-1").alias("w"))
-    frequent = frequent.repartition(spark.sparkContext.defaultParallelism).groupBy(F.spark_partition_id()).agg(F.collect_list("word").alias("words"), F.collect_list("w").alias("w"))
-    rows = frequent.select("words", encode_words(F.col("w"), path).alias("got")).toPandas()  # at most DICTIONARY words
-    known = {}
-    for words, got in zip(rows["words"], rows["got"]):
-        known |= {w: (",".join(map(str, g["ids"])), bytes(g["bytes"]), len(g["ids"])) for w, g in zip(words, got)}
-    shared = spark.sparkContext.broadcast((list(known), list(known.values())))
+    frequent = frequent.repartition(4 * spark.sparkContext.defaultParallelism).groupBy(F.spark_partition_id()).agg(F.collect_list("word").alias("words"), F.collect_list("w").alias("w"))
+    rows = frequent.select(F.inline(F.arrays_zip("words", encode_words(F.col("w"), path).alias("got")))).toDF("word", "got")
+    known = rows.select("word", "got.ids", "got.bytes").toArrow().combine_chunks()  # at most DICTIONARY words
+    word, ids, data = (known.column(c).combine_chunks() if known.num_rows else pa.array([], known.schema.field(c).type) for c in ("word", "ids", "bytes"))
+    shared = spark.sparkContext.broadcast((word, _joined(ids), ids.value_lengths().to_numpy().astype(np.int64), data))
 
     def split(batches):
-        find, words = regex.compile(pattern), shared.value[0]
-        code = {w: i for i, w in enumerate(words)}
-        rare: dict[str, int] = {}
-        ids, sizes, codes, n = [], [], [], 0
-
-        def out():
-            keys = [_key(w.encode()) for w in rare]
-            return pa.record_batch([pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())),
-                                    pa.array([np.concatenate(codes).astype("<i4").tobytes()], pa.binary()),
-                                    pa.array([[w if len(w) <= LONG_WORD else "" for w in keys]], pa.list_(pa.string())),
-                                    pa.array([[w for w in keys if len(w) > LONG_WORD]], pa.list_(pa.string()))], ["ids", "sizes", "codes", "words", "long"])
+        find, known = regex.compile(pattern), shared.value[0]
         for b in batches:
-            for d, text in zip(b.column("doc_id").to_pylist(), b.column("text")):
-                got = split_words(text.as_py() or "", find)
-                for w in set(got).difference(code):
-                    code[w] = len(words) + len(rare)
-                    rare[w] = 0
-                ids.append(d)
-                sizes.append(len(got))
-                codes.append(np.fromiter(map(code.__getitem__, got), np.int32, len(got)))
-                n += len(got)
-                if n >= BATCH_WORDS:
-                    yield out()
-                    for w in rare:
-                        del code[w]
-                    rare, ids, sizes, codes, n = {}, [], [], [], 0
-        if ids:
-            yield out()
+            for part in text_slices(b, "text", SLICE):
+                cut, sizes, words = _words(part.column("text"), find)
+                each = pa.array(chain.from_iterable(words), pa.string()).dictionary_encode()
+                place = pc.index_in(each.dictionary, value_set=known)
+                new = place.is_null()
+                rare = [_key(w.encode()) for w in each.dictionary.filter(new).to_pylist()]
+                place, new = place.fill_null(0).to_numpy().copy(), new.to_numpy(zero_copy_only=False)
+                place[new] = np.arange(len(known), len(known) + len(rare))
+                codes = [cut.indices.to_numpy(), np.fromiter(map(len, words), np.int32, len(words)), place[each.indices.to_numpy()]]
+                yield pa.record_batch([pa.array([x], t) for x, t in (
+                    (part.column("doc_id").to_pylist(), pa.list_(pa.int64())), (sizes.tolist(), pa.list_(pa.int64())), *((c.astype("<i4").tobytes(), pa.binary()) for c in codes),
+                    ([w if len(w) <= LONG_WORD else "" for w in rare], pa.list_(pa.string())), ([w for w in rare if len(w) > LONG_WORD], pa.list_(pa.string())))],
+                    ["ids", "sizes", "codes", "lengths", "places", "words", "long"])
 
     def join(batches):
-        values = shared.value[1]
-        base = tuple(list(x) for x in zip(*values)) if values else ([], [], [])
+        _, known_text, known_size, known_data = shared.value
         for b in batches:
-            for ids, sizes, codes, got, long in zip(*(b.column(k) for k in ("ids", "sizes", "codes", "got", "long"))):
-                long = iter([encode_long(w.encode("latin-1"), path) for w in long.as_py()])
-                got = got.values
-                flat, ends = got.field("ids").flatten().to_pylist(), np.cumsum([0, *(got.field("ids").value_lengths().to_pylist())]).tolist()
-                mine = [flat[i:j] for i, j in zip(ends, ends[1:])]
-                data = got.field("bytes").to_pylist()
-                for i, x in enumerate(mine):
-                    if not x:
-                        mine[i] = next(long)
-                        data[i] = b"".join(_pieces(path)[k] for k in mine[i])
-                text = base[0] + [",".join(map(str, x)) for x in mine]
-                data = base[1] + data
-                size = np.array(base[2] + [len(x) for x in mine], np.int64)
-                codes, at, out = np.frombuffer(codes.as_buffer(), "<i4"), 0, []
-                for d, n in zip(ids.as_py(), sizes.as_py()):
-                    c = codes[at:at + n]
-                    at += n
-                    k = c.tolist()
-                    out.append((d, int(size[c].sum()), hashlib.sha256(",".join(map(text.__getitem__, k)).encode()).hexdigest(),
-                                hashlib.sha256(b"".join(map(data.__getitem__, k))).hexdigest()))
-                cols = list(zip(*out))
-                yield pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.string())],
+            for ids, sizes, codes, lengths, places, got, long in zip(*(b.column(k) for k in ("ids", "sizes", "codes", "lengths", "places", "got", "long"))):
+                codes, lengths, places = (np.frombuffer(x.as_buffer(), "<i4") for x in (codes, lengths, places))
+                got, lists = got.values, [encode_long(w.encode("latin-1"), path) for w in long.as_py()]
+                text, size, data = _joined(got.field("ids")), got.field("ids").value_lengths().to_numpy().astype(np.int64), got.field("bytes")
+                if lists:
+                    size, text, data, at = size.copy(), text.to_pylist(), data.to_pylist(), np.flatnonzero(size == 0).tolist()
+                    for i, x in zip(at, lists, strict=True):
+                        size[i], text[i], data[i] = len(x), "".join(f"{k}," for k in x), b"".join(_pieces(path)[k] for k in x)
+                ends, bounds = np.cumsum([0, *lengths]), np.cumsum([0, *sizes.as_py()])
+                total = np.cumsum([0, *np.concatenate([known_size, size])[places]])[ends]
+                total = np.cumsum([0, *np.diff(total)[codes]])[bounds]
+
+                def whole(known, own, kind):  # what a text's units give stands side by side
+                    each = pa.concat_arrays([known, pa.array(own, known.type)]).take(pa.array(places))  # noqa: B023
+                    each = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), each), kind[0]).cast(kind[1]).take(pa.array(codes))  # noqa: B023
+                    return np.frombuffer(each.buffers()[1], np.int64)[bounds].tolist(), memoryview(each.buffers()[2] or b"")  # noqa: B023
+                cut, text = whole(known_text, text, ("", pa.large_string()))
+                coded = [hashlib.sha256(text[i:max(i, j - 1)]).hexdigest() for i, j in zip(cut, cut[1:])]
+                del text
+                cut, data = whole(known_data, data, (b"", pa.large_binary()))
+                decoded = [hashlib.sha256(data[i:j]).hexdigest() for i, j in zip(cut, cut[1:])]
+                del data
+                yield pa.record_batch([pa.array(ids.as_py(), pa.int64()), pa.array(np.diff(total), pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())],
                                       ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-    rows = docs.mapInArrow(split, "ids array<long>, sizes array<long>, codes binary, words array<string>, long array<string>")
-    rows = rows.select("ids", "sizes", "codes", "long", encode_words(F.col("words"), path).alias("got"))
+    rows = docs.mapInArrow(split, "ids array<long>, sizes array<long>, codes binary, lengths binary, places binary, words array<string>, long array<string>")
+    rows = rows.select("ids", "sizes", "codes", "lengths", "places", "long", encode_words(F.col("words"), path).alias("got"))
     return rows.mapInArrow(join, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 

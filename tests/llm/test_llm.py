@@ -190,6 +190,25 @@ def test_byte_bpe(spark):
     assert byte_bpe.encode(docs_of(spark, []), MULTI, public_tokenizers.PATTERN).count() == 0
 
 
+def test_byte_bpe_of_units(spark, monkeypatch):
+    import pyarrow as pa
+    import regex
+
+    e = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.ranks(MULTI), special_tokens={})
+    monkeypatch.setattr(byte_bpe, "DICTIONARY", 60)  # other words are rare
+    rows = [*enumerate(odd_texts(1500)), (9000, "z" * 700 + " ab" + "é" * 300), (9001, "  ab  ")]
+    got = {r.doc_id: r for r in byte_bpe.encode(docs_of(spark, rows), MULTI, public_tokenizers.PATTERN).collect()}
+    assert len(got) == len(rows)
+    for d, t in rows:
+        ids = e.encode_ordinary(t or "")
+        want = (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest())
+        assert (got[d].n_tokens, got[d].ids_sha256, got[d].decoded_sha256) == want, t
+    cut, sizes, words = byte_bpe._words(pa.array(["and so on, and so on"] * 1000), regex.compile(public_tokenizers.PATTERN))
+    assert len(words) == 5 and (sizes == 7).all()  # each different unit is split once
+    plain = byte_bpe.encode(docs_of(spark, rows[:50]), MULTI, r"[^ ]+|[ ]+").collect()  # a pattern that is not known to allow cuts
+    assert sorted(r.decoded_sha256 for r in plain) == sorted(hashlib.sha256((t or "").encode()).hexdigest() for _, t in rows[:50])
+
+
 def test_byte_bpe_fold_and_heap_agree(spark):
     r = random.Random(3)
     words = ["".join(r.choices("abcdefghetaoinéü漢 #", k=r.randint(1, 40))) for _ in range(150)]
