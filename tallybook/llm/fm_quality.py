@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm import federated
-from tallybook.llm.common import Kept
+from tallybook.llm.common import Kept, give_back
 
 WORDS, FACTORS = 1 << 16, 8
 MAX_TRAIN, ROUNDS, RATE, DECAY = 24_000, 8, 0.15, 1e-6
@@ -102,6 +102,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality
             yield pa.record_batch([pa.array([i.astype(np.int32).tobytes() for i, _ in got], pa.binary()), pa.array([x.tobytes() for _, x in got], pa.binary()), b.column("label"), b.column("shard")],
                                   ["idx", "val", "label", "shard"])
         _PLACES.clear()
+        give_back()
     rows = sample.select("text", F.col("n_chars").cast("double").alias("n_chars"), F.col("_label").cast("double").alias("label"), F.pmod(F.xxhash64("doc_id"), F.lit(federated.SHARDS)).cast("int").alias("shard"))
     return federated.train(federated.dealt(rows.mapInArrow(run, "idx binary, val binary, label double, shard int")), start_params(), epoch, ROUNDS)
 
@@ -120,4 +121,5 @@ def score(docs: DataFrame, params: list[np.ndarray]) -> Column:
                 out.append(1 / (1 + np.exp(-z.astype(np.float64))))
             yield pd.Series(np.concatenate(out) if out else np.zeros(0))
         _PLACES.clear()
+        give_back()
     return scored("text", F.col("n_chars").cast("double"))

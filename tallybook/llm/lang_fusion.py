@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import fresh, staged
+from tallybook.llm.common import fresh, give_back, staged
 
 BUCKETS, DENSE = 1 << 14, 64
 #: Languages of which a counting task holds counts at a time, and cells (rows x languages) of a step of the verdicts.
@@ -118,6 +118,7 @@ def text_model(docs: DataFrame, text: str, declared: str) -> tuple[list[str], Te
                         held[i] = np.zeros(BUCKETS, np.int64)
                     held[i] += np.bincount(trigrams(t.as_py()), minlength=BUCKETS)
         yield from counted()
+        give_back()
     counts = docs.select(declared, text).mapInArrow(run, "l int, bucket int, n long").groupBy("l", "bucket").agg(F.sum("n").alias("n")).toPandas()
     return languages, TextModel(len(languages), *(counts[c].to_numpy(np.int64) for c in ("l", "bucket", "n")))
 
@@ -131,6 +132,7 @@ def _likeliest(docs: DataFrame, text: str, model: TextModel) -> Column:
         for texts in batches:
             grams = map(trigrams, texts)
             yield pd.Series([int(np.argmax(shared.value.mean(x))) if len(x) else None for x in grams], dtype="Int32")
+        give_back()
     return likeliest(text)
 
 
@@ -205,6 +207,7 @@ def identify(docs: DataFrame, text: Column, declared: Column, host: Column) -> t
                 language[own], probability[own] = [languages[a] for a in at], sure
                 accepted[own] = (sure >= SURE) & ((m[np.arange(len(own)), at] >= -np.log(BUCKETS)) | (many < ENOUGH))
             yield pd.DataFrame({"language": language, "probability": probability, "accepted": accepted})
+        give_back()
     verdict = verdicts(names["text"], names["declared"], names["host"], *[F.col(f"{got}{k}")[f] for k in "hs" for f in ("seen", "n")])
     return rows.withColumn(out, verdict).select(*docs.columns, out), out
 

@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import give_back, ranked, staged
-from tallybook.llm.rans import piece_ids
+from tallybook.llm.common import give_back, ranked, staged, text_slices
+from tallybook.llm.rans import SLICE, PieceIds
 
 MAX_LENGTH, BUCKETS, BUDGET = 2048, 16, 1 << 16
 
@@ -54,10 +54,16 @@ def token_counts(docs: DataFrame, tokenizer: str, added: bool = False) -> DataFr
     """doc_id, n_tokens with the end id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()
-        ids = piece_ids(tokenizer, added)
+        pieces = PieceIds(tokenizer, added)  # not kept: Python workers go on to other stages
         for b in batches:
-            n = [len(ids.encode(t.as_py() or "")) // ids.kind.itemsize + 1 for t in b.column("text")]
-            yield pa.record_batch([b.column("doc_id"), pa.array(n, pa.int64())], ["doc_id", "n_tokens"])
+            for part in text_slices(b, "text", SLICE):
+                ids, which, sizes = pieces.encode_units(part.column("text").fill_null(""))
+                n = np.fromiter(map(len, ids), np.int64, len(ids))[which] // pieces.kind.itemsize
+                n = np.add.reduceat(n, np.cumsum(sizes) - sizes) + 1
+                yield pa.record_batch([part.column("doc_id"), pa.array(n, pa.int64())], ["doc_id", "n_tokens"])
+                del ids, which
+        del pieces
+        give_back()
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long")
 
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import Kept, dropped, fresh, staged
+from tallybook.llm.common import Kept, dropped, fresh, give_back, staged
 
 WIDTH, SHARE = 4, 80  # words in a shingle; percent of the union that linked sets have in common
 COORDINATES, MATCHES = 64, 34
@@ -101,6 +101,7 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
                 yield pa.record_batch([part.column("doc_id"), part.column("text_key"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(signatures, pa.binary())],
                                       ["doc_id", "text_key", "n_shingles", "node", "signature"])
         _WORDS.clear()
+        give_back()
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text").mapInArrow(
         run, "doc_id long, text_key long, n_shingles long, node binary, signature binary")
 
@@ -134,6 +135,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
                 s = [shingle_set(t.as_py(), width) for t in b.slice(k, 1000).column("text")]
                 yield pa.record_batch([pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in s], pa.binary()), pa.array([x.tobytes() for x in s], pa.binary())], ["node", "shingles"])
         _WORDS.clear()
+        give_back()
     sets = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").select(place.alias("at"), "text").mapInArrow(run, "node binary, shingles binary")
     return sets.join(nodes.select("node", "id"), "node").dropDuplicates(["id"]).select("id", "shingles")
 

@@ -335,6 +335,42 @@ def test_queries_find_added_tokens(spark, tmp_path):
 
 # ---- packing
 
+def test_packing_leaves_nothing_in_python_workers(spark):
+    import os
+
+    import pyarrow as pa
+
+    def held():
+        def run(batches):
+            from tallybook.llm import rans as own
+            time.sleep(0.2)
+            yield from (pa.record_batch([pa.array([os.getpid()]), pa.array([sum(map(len, own._CACHES.values()))])], ["pid", "n"]) for _ in batches)
+        most: dict[int, int] = {}
+        for r in spark.range(0, 64, 1, 8).mapInArrow(run, "pid long, n long").collect():
+            most[r.pid] = max(most.get(r.pid, 0), r.n)
+        return most
+    common.ship(spark)
+    before = held()
+    r = random.Random(12)
+    rows = [(d, " ".join("".join(r.choices("abcdefghij", k=9)) for _ in range(200))) for d in range(200)]
+    assert length_buckets.token_counts(docs_of(spark, rows).repartition(8), WORDS, True).count() == 200
+    assert all(n <= before.get(pid, 0) for pid, n in held().items())
+
+
+def test_stages_hand_few_rows_at_a_time_to_python(spark):
+    import corpus_pipeline
+
+    key, docs = "spark.sql.execution.arrow.maxRecordsPerBatch", docs_of(spark, EDGES)
+    old = spark.conf.get(key)
+    try:
+        for rows, want in (("10000", 1000), ("0", 1000), ("300", 300)):
+            spark.conf.set(key, rows)
+            corpus_pipeline.packing(spark, docs, "")
+            assert int(spark.conf.get(key)) == want
+    finally:
+        spark.conf.set(key, old)
+
+
 def test_boundaries_are_optimal():
     r = random.Random(1)
     for _ in range(30):
