@@ -17,6 +17,9 @@ formed, with further rounds and other pivots while many pairs are left and get f
 different components are compared, so no component is missed; links inside a component change nothing and aren't needed. If there are more than FEW
 for each posting, as with many texts that share a passage and are no copies, only pairs that also share one of their rarest shingles are: of two
 sets A, B with the required overlap each has one of the |A| - needed(A) + 1 rarest of the other's, rarity being counted over the nodes in question.
+Near copies of one text that are no copies of each other share most of these, too. So a set is also summed up by parities, whose differences
+are a lower bound of those of the sets: a pair beyond what a link allows isn't listed. If there are more of the others than nodes, first the nearest
+pair of each two components is compared, then those of components that are still different.
 
 Texts without words (null, empty) have an empty set, no links, and are kept. Rows that repeat a doc_id are one document
 as far as their texts agree. A null doc_id is larger than any other. An empty table gives an empty result.
@@ -41,6 +44,8 @@ COMMON = COORDINATES // 2 - (COORDINATES - MATCHES)  # whole pairs of coordinate
 STAR_LISTS, ROUNDS, FEW = 4, 3, 2
 #: Shingles before a rare one that are kept beside it.
 BESIDE = 8
+#: Words of 64 bits in which a set is summed up by the parity of its shingles in each of so many places.
+PARITIES = 8
 #: Bits of the filter that spares most texts the way to the sets; a full one lets too many pass, which are left out at the join.
 FILTER_BITS = 1 << 26
 
@@ -79,6 +84,12 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return least
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """A bit for each place: whether an odd number of shingles fall there. Two sets differ in as many shingles as bits at least."""
+    odd = np.bincount((shingles % np.uint64(64 * PARITIES)).astype(np.int64), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def list_keys(signatures: np.ndarray) -> np.ndarray:
     """[row, pair of coordinates]: number of the pair and hash of its two values."""
     both = signatures.astype(np.uint64)
@@ -118,7 +129,7 @@ def _posts(nodes: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """id, shingles of ``nodes`` (id, node, doc), from the texts of one document of each. Texts whose doc_id isn't in a filter of the
+    """id, shingles, odd (:func:`parities`) of ``nodes`` (id, node, doc), from the texts of one document of each. Texts whose doc_id isn't in a filter of the
     nodes' bits are passed over where they lie; no text is shuffled."""
     place = F.pmod(F.xxhash64(F.col("doc")), F.lit(FILTER_BITS))
     words = (nodes.select(place.alias("at")).groupBy(F.shiftright("at", 6).alias("word"))
@@ -133,11 +144,12 @@ def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
             b = b.filter(pa.array((shared.value[at >> 6] >> (at & 63) & 1).astype(bool)))
             for k in range(0, b.num_rows, 1000):
                 s = [shingle_set(t.as_py(), width) for t in b.slice(k, 1000).column("text")]
-                yield pa.record_batch([pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in s], pa.binary()), pa.array([x.tobytes() for x in s], pa.binary())], ["node", "shingles"])
+                yield pa.record_batch([pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in s], pa.binary()), pa.array([x.tobytes() for x in s], pa.binary()),
+                                       pa.array([parities(x) for x in s], pa.list_(pa.int64()))], ["node", "shingles", "odd"])
         _WORDS.clear()
         give_back()
-    sets = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").select(place.alias("at"), "text").mapInArrow(run, "node binary, shingles binary")
-    return sets.join(nodes.select("node", "id"), "node").dropDuplicates(["id"]).select("id", "shingles")
+    sets = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").select(place.alias("at"), "text").mapInArrow(run, "node binary, shingles binary, odd array<long>")
+    return sets.join(nodes.select("node", "id"), "node").dropDuplicates(["id"]).select("id", "shingles", "odd")
 
 
 def _confirm(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, stages: list[str]) -> DataFrame:
@@ -198,7 +210,8 @@ def _all_pairs(known: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 def _rare_pairs(known: DataFrame, sets: DataFrame, stages: list[str]) -> DataFrame:
-    """a, b: pairs of different components that share one of their rarest shingles, among the nodes of ``known`` (id, root, n)."""
+    """a, b, low, high (their components), differ: pairs of different components that share one of their rarest shingles and whose parities don't differ in more places
+    than the sets of a link may, among the nodes of ``known`` (id, root, n)."""
     def run(batches):
         for b in batches:
             for k in range(b.num_rows):
@@ -215,13 +228,31 @@ def _rare_pairs(known: DataFrame, sets: DataFrame, stages: list[str]) -> DataFra
     entry = F.transform("rare", lambda s, i: F.struct(
         s["shingle"].alias("shingle"), (F.col("n") - F.col("alone") - i).alias("rest"),
         F.transform(F.slice("rare", F.greatest(i - BESIDE + 1, F.lit(1)), F.least(i, F.lit(BESIDE))), lambda t: t["shingle"]).alias("earlier")))
-    rare = staged(rare.select("id", "root", "n", F.explode(entry).alias("e")).select("id", "root", "n", "e.*"), "rare", stages)
-    a, b = (rare.select("shingle", *[F.col(c).alias(c + k) for c in ("id", "root", "n", "rest", "earlier")]) for k in "ab")
+    words = [f"odd{i}" for i in range(PARITIES)]
+    rare = rare.join(sets.select("id", *[F.get("odd", F.lit(i)).alias(w) for i, w in enumerate(words)]), "id")
+    rare = staged(rare.select("id", "root", "n", *words, F.explode(entry).alias("e")).select("id", "root", "n", *words, "e.*"), "rare", stages)
+    a, b = (rare.select("shingle", *[F.col(c).alias(c + k) for c in ("id", "root", "n", *words, "rest", "earlier")]) for k in "ab")
     # what follows the first shingle, in this order, that both have bounds what they share; a pair isn't taken where one of the
     # BESIDE shingles before on either side is common too, so most pairs are taken once
     again = F.arrays_overlap("earliera", "earlierb")
     enough = F.least("resta", "restb") * (100 + SHARE) >= (F.col("na") + F.col("nb")) * SHARE
-    return a.join(b, "shingle").where((F.col("ida") < F.col("idb")) & (F.col("roota") != F.col("rootb")) & enough & ~again).select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct()
+    differ = sum((F.bit_count(F.col(f"{w}a").bitwiseXOR(F.col(f"{w}b"))) for w in words), F.lit(0))
+    near = differ * (100 + SHARE) <= (F.col("na") + F.col("nb")) * (100 - SHARE)
+    return a.join(b, "shingle").where((F.col("ida") < F.col("idb")) & (F.col("roota") != F.col("rootb")) & enough & near & ~again).select(F.col("ida").alias("a"), F.col("idb").alias("b"), F.least("roota", "rootb").alias("low"), F.greatest("roota", "rootb").alias("high"), differ.alias("differ")).distinct()
+
+
+def _nearest(pairs: DataFrame) -> DataFrame:
+    """a, b: of each two components the pair whose parities differ least."""
+    return pairs.groupBy("low", "high").agg(F.min(F.struct("differ", "a", "b")).alias("p")).select("p.a", "p.b")
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """``pairs`` of components that are still different by ``roots`` (id, root, of nodes with links)."""
+    both = pairs.select("low", "high").distinct()
+    for k in ("low", "high"):
+        both = both.join(roots.select(F.col("id").alias(k), F.col("root").alias(f"now_{k}")), k, "left")
+    both = both.where(F.coalesce("now_low", "low") != F.coalesce("now_high", "high")).select("low", "high")
+    return pairs.join(both, ["low", "high"], "left_semi")
 
 
 def grouped(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -265,8 +296,14 @@ def grouped(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             break
     if left:
         known = labelled(roots).join(open_.select("key"), "key", "left_semi").join(some.select("id", "n"), "id").select("key", "root", "id", "merged", "n")
-        pairs = _all_pairs(known, runs) if left <= FEW * size else _rare_pairs(known, sets, stages)
-        roots = merged_into(roots, pairs)
+        if left <= FEW * size:
+            pairs = _all_pairs(known, runs)
+        else:
+            pairs = staged(_rare_pairs(known, sets, stages), "rare-pairs", stages)
+            if pairs.count() > some.count():  # one pair of two components is enough if it is linked; the others wait for what is left
+                roots = merged_into(roots, _nearest(pairs))
+                pairs = _apart(pairs, roots)
+        roots = merged_into(roots, pairs.select("a", "b"))
     owner = nodes.join(roots, "id", "left").select("node", "first", F.coalesce("root", "id").alias("root"))
     least = staged(owner.groupBy("root").agg(F.min("first").alias("least")), "roots", stages)
     owner = staged(owner.join(least, "root").select("node", F.col("least.doc_id").alias("c"), F.col("least.text_key").alias("t")), "owners")

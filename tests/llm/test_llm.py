@@ -178,6 +178,40 @@ def test_rare_shingles_lose_no_pair(spark, monkeypatch):
     assert got == brute_components(rows)
 
 
+def test_near_copies_of_one_text_are_compared_within_bounds(spark, monkeypatch):
+    """Near copies of one text, some linked and some not: few pairs that aren't linked are compared, and of two components not every linked one."""
+    r = random.Random(7)
+    word = lambda: "".join(r.choices("abcdefghij", k=5))
+    base, rows, compared, confirm = [word() for _ in range(120)], [], [], minhash_inverted._confirm
+    edits = [{r.randrange(120): word()} for _ in range(12)]
+    for i in range(120):  # edits that others have too, and of its own
+        t = list(base)
+        for e in [*r.sample(edits, 2 + i % 3), *({r.randrange(120): word()} for _ in range(i % 4))]:
+            for at, w in e.items():
+                t[at] = w
+        rows.append((i, " ".join(t)))
+    monkeypatch.setattr(minhash_inverted, "STAR_LISTS", 0)
+    monkeypatch.setattr(minhash_inverted, "FEW", 0)
+    monkeypatch.setattr(minhash_inverted, "_confirm", lambda pairs, *rest: (compared.append(pairs.count()), confirm(pairs, *rest))[1])
+    got = sorted((x.doc_id, x.n_shingles, x.component_id) for x in minhash_inverted.link(docs_of(spark, rows), width=5).collect())
+    assert got == brute_components(rows, 5)
+    assert len({c for _, _, c in got}) > 10  # some stay alone
+    sets = [minhash_inverted.shingle_set(t, 5) for _, t in rows]
+    same = lambda x, y: len(np.intersect1d(x, y))
+    linked = sum(100 * same(x, y) >= 80 * (len(x) + len(y) - same(x, y)) for x, y in itertools.combinations(sets, 2))
+    assert sum(compared) < 1.5 * linked
+
+
+def test_parities_bound_differences():
+    r = np.random.default_rng(2)
+    for n in (1, 20, 300, 3000):
+        x = np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64))
+        y = np.unique(np.concatenate([x[n // 5:], r.integers(0, 1 << 63, n // 4, dtype=np.uint64)]))
+        p, q = (minhash_inverted.parities(z).view(np.uint64) for z in (x, y))
+        assert len(p) == minhash_inverted.PARITIES and int(np.bitwise_count(p ^ q).sum()) <= len(np.setxor1d(x, y))
+    assert not minhash_inverted.parities(np.array([], np.uint64)).any()
+
+
 # ---- tokens
 
 def test_byte_bpe(spark):
