@@ -35,7 +35,7 @@ from public_tokenizers import PATTERN
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import staged, text_slices, units
+from tallybook.llm.common import give_back, staged, text_slices, units
 
 BUCKETS = 1 << 14
 NONE = 2147483647
@@ -185,6 +185,8 @@ def _frequent(docs: DataFrame, pattern: str) -> DataFrame:
                     yield out()
                     n.clear()
         yield out()
+        n.clear()
+        give_back()
     counts = staged(docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     step = (F.log2("n") * 8).cast("int")
     steps = counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect()  # at most 8 x 64 rows
@@ -213,10 +215,12 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     rows = frequent.select(F.inline(F.arrays_zip("words", encode_words(F.col("w"), path).alias("got")))).toDF("word", "got")
     known = rows.select("word", "got.ids", "got.bytes").toArrow().combine_chunks()  # at most DICTIONARY words
     word, ids, data = (known.column(c).combine_chunks() if known.num_rows else pa.array([], known.schema.field(c).type) for c in ("word", "ids", "bytes"))
-    shared = spark.sparkContext.broadcast((word, _joined(ids), ids.value_lengths().to_numpy().astype(np.int64), data))
+    # apart, as a Python worker needs either of them
+    shared_words = spark.sparkContext.broadcast(word)
+    shared = spark.sparkContext.broadcast((_joined(ids), ids.value_lengths().to_numpy().astype(np.int64), data))
 
     def split(batches):
-        find, known = regex.compile(pattern), shared.value[0]
+        find, known = regex.compile(pattern), shared_words.value
         for b in batches:
             for part in text_slices(b, "text", SLICE):
                 cut, sizes, words = _words(part.column("text"), find)
@@ -231,9 +235,11 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                     (part.column("doc_id").to_pylist(), pa.list_(pa.int64())), (sizes.tolist(), pa.list_(pa.int64())), *((c.astype("<i4").tobytes(), pa.binary()) for c in codes),
                     ([w if len(w) <= LONG_WORD else "" for w in rare], pa.list_(pa.string())), ([w for w in rare if len(w) > LONG_WORD], pa.list_(pa.string())))],
                     ["ids", "sizes", "codes", "lengths", "places", "words", "long"])
+                del cut, sizes, words, each, place, new, rare, codes
+                give_back()
 
     def join(batches):
-        _, known_text, known_size, known_data = shared.value
+        known_text, known_size, known_data = shared.value
         for b in batches:
             for ids, sizes, codes, lengths, places, got, long in zip(*(b.column(k) for k in ("ids", "sizes", "codes", "lengths", "places", "got", "long"))):
                 codes, lengths, places = (np.frombuffer(x.as_buffer(), "<i4") for x in (codes, lengths, places))
@@ -257,6 +263,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 cut, data = whole(known_data, data, (b"", pa.large_binary()))
                 decoded = [hashlib.sha256(data[i:j]).hexdigest() for i, j in zip(cut, cut[1:])]
                 del data
+                give_back()
                 yield pa.record_batch([pa.array(ids.as_py(), pa.int64()), pa.array(np.diff(total), pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())],
                                       ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     rows = docs.mapInArrow(split, "ids array<long>, sizes array<long>, codes binary, lengths binary, places binary, words array<string>, long array<string>")

@@ -243,6 +243,18 @@ def test_byte_bpe_of_units(spark, monkeypatch):
     assert sorted(r.decoded_sha256 for r in plain) == sorted(hashlib.sha256((t or "").encode()).hexdigest() for _, t in rows[:50])
 
 
+def test_byte_bpe_gives_memory_back(spark, monkeypatch, tmp_path):
+    """Python workers that count, split and join words return what a batch has taken."""
+    def noted(at=str(tmp_path)):
+        import sys
+        import uuid
+        with open(f"{at}/{uuid.uuid4().hex}", "w") as f:
+            f.write(sys._getframe(1).f_code.co_name)
+    monkeypatch.setattr(byte_bpe, "give_back", noted, raising=False)
+    assert byte_bpe.encode(docs_of(spark, EDGES), MULTI, public_tokenizers.PATTERN).count() == len(EDGES)
+    assert {f.read_text() for f in tmp_path.iterdir()} == {"run", "split", "join"}
+
+
 def test_byte_bpe_fold_and_heap_agree(spark):
     r = random.Random(3)
     words = ["".join(r.choices("abcdefghetaoinéü漢 #", k=r.randint(1, 40))) for _ in range(150)]
