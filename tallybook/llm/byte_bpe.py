@@ -22,8 +22,7 @@ import heapq
 import json
 import re
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 from itertools import chain
 
@@ -38,7 +37,8 @@ from pyspark.sql import functions as F
 from tallybook.llm.common import give_back, staged, text_slices, units
 
 BUCKETS = 1 << 14
-NONE = 2147483647
+#: Ids as characters, from the first that stands for no byte on and without those that UTF-16 uses in pairs; the last one sorts after all.
+FIRST_MARK, PAIRS, AFTER_PAIRS, LAST_MARK = 0x100, 0xD800, 0xE000, "\U0010ffff"
 DICTIONARY = 1 << 19
 LONG_WORD = 256
 COUNTED_WORDS = 1 << 18
@@ -46,6 +46,8 @@ COUNTED_WORDS = 1 << 18
 SLICE = 1 << 23
 #: Letters and numbers up to here have long been the same for everyone.
 BEYOND_LATIN = re.compile("[^\x00-\u0250]")
+#: What the pattern finds as one word: letters, digits or signs, where that is sure.
+PLAIN = r"\A ?(?:[A-Za-zªµºÀ-ÖØ-öø-\x{24f}]+|[0-9]+|[!-/:-@\[-`{-~]+)\z"
 
 
 @cache
@@ -81,12 +83,39 @@ def _key(piece: bytes) -> str:
     return piece.decode("latin-1")
 
 
-def rank_map(path: str) -> Column:
-    """Literal: the rank of each piece, in ``BUCKETS`` small maps by CRC-32, since a map is searched from end to end."""
-    maps: list[dict] = [{} for _ in range(BUCKETS)]
-    for piece, rank in ranks(path).items():
-        maps[zlib.crc32(_key(piece).encode()) % BUCKETS][_key(piece)] = rank
-    return F.from_json(F.lit(json.dumps(maps)), "array<map<string,int>>")
+def _mark(rank: int) -> str:
+    """The character that stands for an id; they sort as the ids do."""
+    return chr(FIRST_MARK + rank if FIRST_MARK + rank < PAIRS else FIRST_MARK + rank - PAIRS + AFTER_PAIRS)
+
+
+def _rank(mark: Column) -> Column:
+    return F.ascii(mark) - F.when(mark < chr(AFTER_PAIRS), FIRST_MARK).otherwise(FIRST_MARK + AFTER_PAIRS - PAIRS)
+
+
+@cache
+def _merges(path: str) -> tuple[str, str]:
+    """What :func:`merge_map` and :func:`apart_map` have, as JSON."""
+    rank, entries, apart = ranks(path), [["  " + LAST_MARK] for _ in range(BUCKETS)], {}
+    for x, r in rank.items():
+        for i in range(1, len(x)):
+            if x[:i] in rank and x[i:] in rank:
+                key = " " + _mark(rank[x[:i]]) + _mark(rank[x[i:]])
+                entries[zlib.crc32(key.encode()) % BUCKETS].append(key + _mark(r))
+        if encode_long(x, path) != [r]:
+            apart[_key(x)] = r
+    return json.dumps(["".join(e) for e in entries], ensure_ascii=False), json.dumps(apart)
+
+
+def merge_map(path: str) -> Column:
+    """Literal map: the mark of each piece by the marks of any two pieces that it can be put together from. It is held in ``BUCKETS``
+    short strings by CRC-32, as a map is searched from end to end and has objects of its own for each entry: a space, the two and
+    what they give; before them the answer for those that are not found, at 3."""
+    return F.from_json(F.lit(_merges(path)[0]), "array<string>")
+
+
+def apart_map(path: str) -> Column:
+    """Literal: the ranks of pieces that merges of their bytes don't lead to, so that they are found as whole words only (few or none)."""
+    return F.from_json(F.lit(_merges(path)[1]), "map<string,int>")
 
 
 def piece_list(path: str) -> Column:
@@ -98,38 +127,45 @@ def piece_list(path: str) -> Column:
 
 
 def encode_words(words: Column, path: str) -> Column:
-    """array of words (a character for each byte) -> array of struct(ids, bytes)."""
-    def look(table, key):
-        return F.coalesce(F.try_element_at(F.get(table, F.crc32(key.cast("binary")).bitwiseAND(BUCKETS - 1).cast("int")), key), F.lit(NONE))
+    """array of words (a character for each byte) -> array of struct(ids, bytes).
+
+    The fold's state are two strings: a mark for each piece, and one for what each two neighbours would give (``LAST_MARK``:
+    nothing). Strings are cut and searched at once, where arrays would be copied by element in each step."""
+    def one(x, f):  # f of a value that is computed once, and not copied
+        return F.aggregate(F.array().cast("array<int>"), x, lambda a, _: a, f)
 
-    def one(x, f):  # f of a value that is computed once
-        return F.get(F.transform(F.array(x), f), F.lit(0))
+    def pair(table, *two):
+        return one(F.concat(F.lit(" "), *two), lambda key: one(F.get(table, F.crc32(key.cast("binary")).bitwiseAND(BUCKETS - 1).cast("int")),
+                                                               lambda entries: F.substring(entries, F.instr(entries, key) + 3, F.lit(1))))
 
     def merge(table, s):
-        p, r = s["p"], s["r"]
-
-        def at(i):
-            both = F.concat(F.get(p, i), F.get(p, i + 1))
-            return one(both, lambda m: F.struct(
-                F.concat(F.slice(p, 1, i), F.array(m), F.slice(p, i + 3, F.size(p))).alias("p"),
-                F.concat(F.slice(r, 1, F.greatest(i - 1, F.lit(0))),
-                         F.when(i > 0, F.array(look(table, F.concat(F.get(p, i - 1), m)))).otherwise(F.array().cast("array<int>")),
-                         F.when(i + 2 < F.size(p), F.array(look(table, F.concat(m, F.get(p, i + 2))))).otherwise(F.array().cast("array<int>")),
-                         F.slice(r, i + 3, F.size(p))).alias("r")))
-        return F.when(F.array_min(r) == NONE, s).otherwise(one((F.array_position(r, F.array_min(r)) - 1).cast("int"), at))
+        p, r, rest = s["p"], s["r"], F.lit(2147483647)
+
+        def at(m, i):
+            return F.struct(F.concat(F.substring(p, F.lit(1), i - 1), m, F.substring(p, i + 2, rest)).alias("p"),
+                            F.concat(F.substring(r, F.lit(1), i - 2), pair(table, F.substring(p, i - 1, F.lit(1)), m),
+                                     pair(table, m, F.substring(p, i + 2, F.lit(1))), F.substring(r, i + 2, rest)).alias("r"))
+        return one(F.array_min(F.split(r, "")), lambda m: F.when(m == LAST_MARK, s).otherwise(one(F.instr(r, m), lambda i: at(m, i))))
+
+    def single(w):
+        return F.translate(w, bytes(range(256)).decode("latin-1"), "".join(_mark(ranks(path)[bytes([i])]) for i in range(256)))
 
     def fold(table, w):
-        chars = F.split(w, "")
-        pairs = F.transform(F.sequence(F.lit(0), F.length(w) - 2), lambda i: look(table, F.substring(w, i + 1, F.lit(2))))
-        return F.aggregate(F.sequence(F.lit(2), F.length(w)), F.struct(chars.alias("p"), pairs.alias("r")),
-                           lambda s, _: merge(table, s), lambda s: F.transform(s["p"], lambda x: look(table, x)))
+        end = F.lit(LAST_MARK)  # no neighbour
+
+        def start(chars):
+            pairs = F.transform(F.sequence(F.lit(1), F.length(w) - 1), lambda i: pair(table, F.substring(chars, i, F.lit(2))))
+            return F.struct(F.concat(end, chars, end).alias("p"), F.concat(end, F.array_join(pairs, ""), end).alias("r"))
+        return F.aggregate(F.sequence(F.lit(2), F.length(w)), one(single(w), start), lambda s, _: merge(table, s),
+                           lambda s: F.transform(F.split(F.substring(s["p"], F.lit(2), F.length(s["p"]) - 2), ""), _rank))
 
-    def ids(table, w):
-        return one(look(table, w), lambda whole: F.when(whole != NONE, F.array(whole)).when(F.length(w) == 0, F.array().cast("array<int>")).otherwise(fold(table, w)))
+    def ids(apart, table, w):
+        return one(F.try_element_at(apart, w), lambda whole: F.when(whole.isNotNull(), F.array(whole)).when(F.length(w) == 0, F.array().cast("array<int>"))
+                   .when(F.length(w) == 1, F.array(_rank(single(w)))).otherwise(fold(table, w)))
 
-    def both(table, pieces, w):
-        return one(ids(table, w), lambda i: F.struct(i.alias("ids"), F.aggregate(i, F.lit(b""), lambda a, k: F.concat(a, F.get(pieces, k))).alias("bytes")))
-    return one(rank_map(path), lambda t: one(piece_list(path), lambda p: F.transform(words, lambda w: both(t, p, w))))
+    def both(apart, table, pieces, w):
+        return one(ids(apart, table, w), lambda i: F.struct(i.alias("ids"), F.aggregate(i, F.lit(b""), lambda a, k: F.concat(a, F.get(pieces, k))).alias("bytes")))
+    return one(apart_map(path), lambda a: one(merge_map(path), lambda t: one(piece_list(path), lambda p: F.transform(words, lambda w: both(a, t, p, w)))))
 
 
 def encode_long(word: bytes, path: str) -> list[int]:
@@ -160,32 +196,51 @@ def encode_long(word: bytes, path: str) -> list[int]:
     return [rank[p] for p in parts if p is not None]
 
 
-def _words(texts: pa.StringArray, pattern: regex.Pattern) -> tuple[pa.DictionaryArray, np.ndarray, list[list[str]]]:
+def _words(texts: pa.StringArray, pattern: regex.Pattern) -> tuple[pa.DictionaryArray, np.ndarray, pa.ListArray]:
     """The units of the texts, how many each text has, and the words of each different unit. Patterns that may not be cut by
-    :func:`units` have whole texts as units."""
-    cut, sizes = units(texts) if pattern.pattern == PATTERN else (texts.fill_null("").dictionary_encode(), np.ones(len(texts), np.int64))
-    return cut, sizes, [split_words(u, pattern) for u in cut.dictionary.to_pylist()]
+    :func:`units` have whole texts as units. A unit of one kind of plain characters is a word and need not be split."""
+    if pattern.pattern == PATTERN:
+        cut, sizes = units(texts)
+        plain = pc.match_substring_regex(cut.dictionary, PLAIN).to_numpy(zero_copy_only=False)
+    else:
+        cut, sizes = texts.cast(pa.string()).fill_null("").dictionary_encode(), np.ones(len(texts), np.int64)
+        plain = np.zeros(len(cut.dictionary), bool)
+    found = [split_words(u, pattern) for u in cut.dictionary.filter(pa.array(~plain)).to_pylist()]
+    lengths = np.ones(len(plain), np.int64)
+    lengths[~plain] = np.fromiter(map(len, found), np.int64, len(found))
+    ends = np.cumsum([0, *lengths])
+    own = np.ones(ends[-1], bool)
+    own[ends[:-1][plain]] = False
+    at = np.empty(ends[-1], np.int64)
+    at[~own], at[own] = np.flatnonzero(plain), np.arange(len(plain), len(plain) + int(own.sum()))
+    words = pa.concat_arrays([cut.dictionary, pa.array(chain.from_iterable(found), pa.string())]).take(pa.array(at))
+    return cut, sizes, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words)
 
 
 def _frequent(docs: DataFrame, pattern: str) -> DataFrame:
     """word: those of the corpus that are frequent, at most DICTIONARY."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, n = regex.compile(pattern), Counter()
+        find, seen, n = regex.compile(pattern), [], 0
 
         def out():
-            short = [w for w in n if len(w) <= LONG_WORD // 4]
-            return pa.record_batch([pa.array(short, pa.string()), pa.array([n[w] for w in short], pa.int64())], ["word", "n"])
+            all_ = pa.concat_tables(seen).group_by("word").aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(["word", "n"])
+            seen.clear()
+            return all_.combine_chunks().to_batches()
         for b in batches:
             for part in text_slices(b, "text", SLICE):
                 cut, _, words = _words(part.column("text"), find)
-                for unit, k in zip(words, np.bincount(cut.indices.to_numpy(), minlength=len(words)).tolist()):
-                    for w in unit:
-                        n[w] += k
-                if len(n) >= COUNTED_WORDS:
-                    yield out()
-                    n.clear()
-        yield out()
-        n.clear()
+                each = words.values.dictionary_encode()
+                times = np.repeat(np.bincount(cut.indices.to_numpy(), minlength=len(words)), words.value_lengths().to_numpy())
+                times = np.bincount(each.indices.to_numpy(), times, len(each.dictionary)).astype(np.int64)
+                new = pa.table([each.dictionary, pa.array(times)], ["word", "n"])
+                seen.append(new.filter(pc.less_equal(pc.utf8_length(new["word"]), LONG_WORD // 4)))
+                n += seen[-1].num_rows
+                del cut, words, each, times, new
+                if n >= COUNTED_WORDS:
+                    yield from out()
+                    n = 0
+        if seen:
+            yield from out()
         give_back()
     counts = staged(docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     step = (F.log2("n") * 8).cast("int")
@@ -201,7 +256,7 @@ def _frequent(docs: DataFrame, pattern: str) -> DataFrame:
 
 def _joined(ids: pa.ListArray) -> pa.StringArray:
     """The decimal ids of each list, a comma after each of them."""
-    ends = pa.array(np.cumsum([0, *ids.value_lengths().to_pylist()]), pa.int32())
+    ends = pa.array(np.append(0, np.cumsum(ids.value_lengths().to_numpy())), pa.int32())
     text = pc.binary_join(pa.ListArray.from_arrays(ends, ids.flatten().cast(pa.string())), ",")
     return pc.if_else(pc.equal(ids.value_lengths(), 0), text, pc.binary_join_element_wise(text, "", ","))
 
@@ -218,19 +273,21 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     # apart, as a Python worker needs either of them
     shared_words = spark.sparkContext.broadcast(word)
     shared = spark.sparkContext.broadcast((_joined(ids), ids.value_lengths().to_numpy().astype(np.int64), data))
+    del known, word, ids, data
+    pa.default_memory_pool().release_unused()
 
     def split(batches):
         find, known = regex.compile(pattern), shared_words.value
         for b in batches:
             for part in text_slices(b, "text", SLICE):
                 cut, sizes, words = _words(part.column("text"), find)
-                each = pa.array(chain.from_iterable(words), pa.string()).dictionary_encode()
+                each = words.values.dictionary_encode()
                 place = pc.index_in(each.dictionary, value_set=known)
                 new = place.is_null()
                 rare = [_key(w.encode()) for w in each.dictionary.filter(new).to_pylist()]
                 place, new = place.fill_null(0).to_numpy().copy(), new.to_numpy(zero_copy_only=False)
                 place[new] = np.arange(len(known), len(known) + len(rare))
-                codes = [cut.indices.to_numpy(), np.fromiter(map(len, words), np.int32, len(words)), place[each.indices.to_numpy()]]
+                codes = [cut.indices.to_numpy(), words.value_lengths().to_numpy(), place[each.indices.to_numpy()]]
                 yield pa.record_batch([pa.array([x], t) for x, t in (
                     (part.column("doc_id").to_pylist(), pa.list_(pa.int64())), (sizes.tolist(), pa.list_(pa.int64())), *((c.astype("<i4").tobytes(), pa.binary()) for c in codes),
                     ([w if len(w) <= LONG_WORD else "" for w in rare], pa.list_(pa.string())), ([w for w in rare if len(w) > LONG_WORD], pa.list_(pa.string())))],

@@ -264,6 +264,42 @@ def test_byte_bpe_fold_and_heap_agree(spark):
         assert list(g.ids) == byte_bpe.encode_long(w.encode(), MULTI) and bytes(g.bytes) == w.encode()
 
 
+def test_byte_bpe_fold_of_any_vocabulary(spark, tmp_path):
+    """Pieces that merges don't lead to are found as whole words only, ids may leave gaps, and two pairs may give the same piece."""
+    r = random.Random(5)
+    rank = {bytes([i]): i for i in range(256)} | {b"abc": 300, b"aa": 301, b"aaa": 55039, b"ba": 55040, b"ab": 60000, b"aba": 60001, b"bab": 302, b"cc": 303, b"ccab": 299}
+    path = str(tmp_path / "own.tiktoken")
+    with open(path, "wb") as f:
+        f.writelines(base64.b64encode(x) + b" %d\n" % k for x, k in rank.items())
+    e = tiktoken.Encoding("own", pat_str=r"(?s).+", mergeable_ranks=rank, special_tokens={})
+    words = ["abc", "aaa", "ccab", "", "a", "\x00", *("".join(r.choices("abc", k=r.randint(2, 30))) for _ in range(300))]
+    got = spark.createDataFrame([(words,)], "w array<string>").select(byte_bpe.encode_words(F.col("w"), path).alias("x")).first().x
+    for w, g in zip(words, got, strict=True):
+        assert list(g.ids) == e.encode_ordinary(w) and bytes(g.bytes) == w.encode(), w
+
+
+def test_byte_bpe_copies_no_arrays_in_a_step():
+    """Steps of the fold neither slice arrays nor search them, and let-bindings do not copy what they bind."""
+    text = str(byte_bpe.encode_words(F.col("w"), MULTI))
+    assert "aggregate(" in text and "array_position(" not in text and "slice(" not in text
+
+
+def test_plain_units_are_not_split(monkeypatch):
+    import pyarrow as pa
+    import regex
+
+    asked, split = [], byte_bpe.split_words
+    monkeypatch.setattr(byte_bpe, "split_words", lambda text, pattern: asked.append(text) or split(text, pattern))
+    texts = ["and so on, été ŉ 12 (x)", "don't  go 漢字", "", None, *odd_texts(800)]
+    cut, sizes, words = byte_bpe._words(pa.array(texts), pattern := regex.compile(public_tokenizers.PATTERN))
+    at = cut.indices.to_pylist()
+    for t, n in zip(texts, sizes.tolist(), strict=True):
+        mine, at = at[:n], at[n:]
+        assert [w for i in mine for w in words[i].as_py()] == split(t or "", pattern)
+    plain = {"and", " so", " on", ",", " été", " ŉ", " 12", " (", "x", ")"}
+    assert plain <= set(cut.dictionary.to_pylist()) and not plain & set(asked) and {"don't", " 漢字"} & set(asked)
+
+
 def test_words_of_new_characters():
     import regex
 
