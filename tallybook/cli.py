@@ -28,7 +28,8 @@ def run(spark, model_root: str, out: str, reports: list[str], fmt: str = "parque
     written = []
     with StageStore(spark) as store:
         for name in reports:
-            w = (sales_export(m, store) if name == "sales" else REPORTS[name](m)).write.mode("overwrite")
+            staged = {} if name == "customers" else {"store": store}
+            w = REPORTS[name](m, **staged).write.mode("overwrite")
             path = f"{out.rstrip('/')}/{name}"
             (w.option("header", True).csv(path) if fmt == "csv" else w.parquet(path))
             written.append(path)

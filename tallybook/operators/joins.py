@@ -67,10 +67,21 @@ def left_join_either_key(left: DataFrame, left_key: str, right: DataFrame,
     same multiset: a right row matches a left row iff one of its keys equals
     the left key, and it is emitted once per left row it matches.
     """
-    jk = "__either_key"
-    exploded = (right.select("*", F.explode(F.array_distinct(F.array(F.col(key_a), F.col(key_b)))).alias(jk))
-                .where(F.col(jk).isNotNull()))
-    return left.join(exploded, left[left_key] == exploded[jk], "left").drop(jk)
+    return left_join_keyed(left, left_key, either_keyed(right, key_a, key_b))
+
+
+EITHER_KEY = "__either_key"
+
+
+def either_keyed(right: DataFrame, key_a: str, key_b: str) -> DataFrame:
+    """Each row of ``right`` once per distinct non-NULL key."""
+    return (right.select("*", F.explode(F.array_distinct(F.array(F.col(key_a), F.col(key_b)))).alias(EITHER_KEY))
+            .where(F.col(EITHER_KEY).isNotNull()))
+
+
+def left_join_keyed(left: DataFrame, left_key: str, keyed: DataFrame) -> DataFrame:
+    """The join of :func:`left_join_either_key` with rows of :func:`either_keyed`, which may be staged."""
+    return left.join(keyed, left[left_key] == keyed[EITHER_KEY], "left").drop(EITHER_KEY)
 
 
 def explode_id_list(df: DataFrame, list_col: str, keep: Sequence[str], value: str = "value") -> DataFrame:
