@@ -693,7 +693,7 @@ select invoice_guid, vat_rate, tax_code, tax_code_id, nom_code, details, unit_va
 from o_sold""", ("vat_rate", "unit_value", "qty", "line_value", "line_value_no_discount", "discount_value",
                  "discount_percentage_calc", "vat_value", "including_vat"))
 def _bz_rounded_lines(m):
-    return sales.rounded_lines_with_credits(m)
+    return sales.rounded_lines_with_credits(m, StageStore(m.invdets.sparkSession))
 
 
 @query("rp_customers", CUSTOMERS_SELECT)

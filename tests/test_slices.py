@@ -58,14 +58,14 @@ def odd(spark):
         cost=m.cost.unionByName(shared).unionByName(m.cost.where(some(5, "invoice_line_id"))), qcost=m.qcost.unionByName(qshared)).check()
 
 
-@pytest.mark.parametrize("report", [sales.sales_export, purchase.purchase_export])
+@pytest.mark.parametrize("report", [sales.rounded_lines_with_credits, sales.sales_export, purchase.purchase_export])
 def test_slices_give_the_same_rows(spark, odd, sliced, report):
     want = rows(report(odd))
     with StageStore(spark) as store:
         assert rows(report(odd, store=store)) == want and sum(want.values()) > 1000
 
 
-@pytest.mark.parametrize("key, sorts", [("rp_sales", 1), ("rp_purchase", 1)])
+@pytest.mark.parametrize("key, sorts", [("bz_rounded_lines", 0), ("rp_sales", 1), ("rp_purchase", 1)])
 def test_what_is_left_of_a_sliced_query_shuffles_only_to_sort(spark, sliced, key, sorts):
     plan = SPARK[key](lift(spark, SF))._jdf.queryExecution().executedPlan().toString()
     # the lift makes its tax codes from the lines
